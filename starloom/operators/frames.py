@@ -59,9 +59,15 @@ def table_shape(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, rows)
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """Table written in code, as a plan of literals: Catalyst knows how small it is."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def literal_table(spark: SparkSession, codes: dict[int, str], key: str, label: str) -> DataFrame:
     """Small lookup table from a mapping written in code."""
-    return spark.createDataFrame(list(codes.items()), f"{key} int, {label} string")
+    return literal_rows(spark, list(codes.items()), [key, label])
 
 
 def pivot_sum(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -19,7 +20,10 @@ NULL_SLICES = 4096
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate, the one Spark itself plans broadcasts with."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    plan = getattr(df, "_jdf", None)
+    if plan is None:  # a remote session does not tell; take it as large
+        return sys.maxsize
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def dim_join(
@@ -51,9 +55,11 @@ def sliced_join(
     """Shuffle join in which a hot left key is cut into slices of about ``hot_rows`` rows.
 
     The rows per key are counted with a map-side combined aggregate. A hot
-    left row picks its slice from its own content, so a rerun task puts it in
-    the same place; the matching right rows are repeated once per slice. Valid
-    for joins that keep left rows: inner, left, left_semi, left_anti.
+    left row picks its slice from its content and the partition it is read
+    from: a rerun task puts it in the same place, and equal rows from different
+    partitions still spread. The matching right rows are repeated once per
+    slice. Valid for joins that keep left rows: inner, left, left_semi,
+    left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type <{how}> would repeat right rows")
@@ -69,7 +75,7 @@ def sliced_join(
     slices = F.when(keyless, F.lit(NULL_SLICES).cast("bigint")).otherwise(
         F.coalesce("_slices", F.lit(1).cast("bigint"))
     )
-    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
+    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns])
     spread = (
         left.join(F.broadcast(hot), on, "left")
         .withColumn("_slice", F.pmod(row_hash, slices))
@@ -85,15 +91,14 @@ def sliced_join(
 
 
 def code_join(fact: DataFrame, codes: DataFrame, fact_key: str, code_key: str, how: str = "inner") -> DataFrame:
-    """Join a fact to a code list; both keys are read as whole numbers.
+    """Join a fact to a code list; both keys are compared as numbers.
 
     Covers a numeric fact key against a text code key (``582.0`` and ``'582'``).
-    Rows whose code is NULL or unknown drop out of the inner form.
+    Rows whose code is NULL, no number or unknown drop out of the inner form.
     """
-    keyed = codes.withColumn(code_key, F.col(code_key).try_cast("double").try_cast("int"))
-    renamed = keyed.withColumnRenamed(code_key, "_code")
-    coded = fact.withColumn("_code", F.col(fact_key).try_cast("double").try_cast("int"))
-    return dim_join(coded, renamed, ["_code"], how).drop("_code")
+    numbered = codes.withColumn(code_key, F.col(code_key).try_cast("double")).withColumnRenamed(code_key, "_code")
+    coded = fact.withColumn("_code", F.col(fact_key).try_cast("double"))
+    return dim_join(coded, numbered, ["_code"], how).drop("_code")
 
 
 def role_join(fact: DataFrame, lookup: DataFrame, roles: dict[str, str], key: str, label: str) -> DataFrame:

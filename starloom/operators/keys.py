@@ -16,11 +16,16 @@ def dense_ids(df: DataFrame, order: list[str], name: str, start: int = 1) -> Dat
     The rows are range-partitioned and sorted once and written down with their
     position inside their partition. A second pass counts the rows of each
     partition; the running total over those counts (one row per partition) is
-    the offset added to each position.
+    the offset added to each position. Rows that tie on ``order`` are told
+    apart by content and source partition, so many equal rows still spread.
     """
+    tie = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
+    ranked = [*order, "_tie"]
     placed = materialize(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        df.withColumn("_tie", tie)
+        .repartitionByRange(*ranked)
+        .sortWithinPartitions(*ranked)
+        .drop("_tie")
         .withColumn("_place", F.monotonically_increasing_id()),
         name,
     )

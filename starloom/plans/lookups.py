@@ -25,10 +25,13 @@ def lookup_rows(events: DataFrame, table: str, order: list[str] | None = None, w
     return latest.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in spec["columns"]])
 
 
-def build_lookup_tables(events: DataFrame, root: str, without_quotes: bool = False) -> None:
+def build_lookup_tables(
+    events: DataFrame, root: str, order: list[str] | None = None, without_quotes: bool = False
+) -> None:
+    """Write the three tables; ``order`` says which of two rows with one key was written last."""
     for table, spec in LOOKUP_TABLES.items():
         write_lookup(
-            lookup_rows(events, table, without_quotes=without_quotes),
+            lookup_rows(events, table, order, without_quotes),
             f"{root}/{table}",
             spec["partition_key"],
             spec["clustering"],

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RESULT = "check string, actual bigint, expected bigint, passed boolean"
+from starloom.operators.frames import literal_rows
 
 
 class QualityError(ValueError):
@@ -105,7 +105,7 @@ def table_set(spark: SparkSession, tables: dict[str, DataFrame], expected: list[
         (f"{name} is expected", int(name in expected), 1) for name in sorted(found)
     ] + [(f"{name} is found", int(name in found), 1) for name in expected]
     widths = [(f"{name} has two columns", int(len(df.columns) >= 2), 1) for name, df in sorted(tables.items())]
-    known = spark.createDataFrame(names + widths, "check string, actual bigint, expected bigint")
+    known = literal_rows(spark, names + widths, ["check", "actual", "expected"])
     # one row is enough to know that a table is not empty
     filled = [
         table_checks(df.limit(1), {f"{name} has rows": (F.count(F.lit(1)), 1)}) for name, df in sorted(tables.items())

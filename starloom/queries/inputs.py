@@ -36,7 +36,7 @@ def activity_log(spark: SparkSession, folder: str) -> DataFrame:
         "if(play, concat('Track ', k div 3), NULL) AS song",
         "if(play, concat('Artist ', k div 4), NULL) AS artist",
         "if(play, round(900 + k / 10D, 2) + if(event_id % 7 = 0, 0.75D, 0D), NULL) AS length",
-        "user_id * 100 + day(ts) AS sessionId",
+        "user_id * 10 + day(ts) div 10 AS sessionId",
         "concat('City ', user_id % 40, ', S', user_id % 10) AS location",
         "concat('agent ', event_id % 5) AS userAgent",
     )
@@ -53,7 +53,7 @@ LOG_SQL = """log AS (
          CASE WHEN play THEN 'Artist ' || (k // 4) END AS artist,
          CASE WHEN play THEN round(900 + k / 10.0::DOUBLE, 2)
               + CASE WHEN event_id % 7 = 0 THEN 0.75::DOUBLE ELSE 0::DOUBLE END END AS length,
-         user_id * 100 + day(ts) AS sessionId,
+         user_id * 10 + day(ts) // 10 AS sessionId,
          'City ' || (user_id % 40) || ', S' || (user_id % 10) AS location,
          'agent ' || (event_id % 5) AS userAgent
   FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k,
@@ -97,7 +97,7 @@ def arrivals_raw(spark: SparkSession, folder: str) -> DataFrame:
         "cast(month(l_shipdate) as double) AS i94mon",
         "cast(l_suppkey % 27 as double) AS i94cit",
         "cast(l_partkey % 26 as double) AS i94res",
-        "concat('P', lpad(cast(l_suppkey % 60 as string), 2, '0')) AS i94port",
+        "concat('P', lpad(cast(l_partkey % 60 as string), 2, '0')) AS i94port",
         "arr AS arrdate",
         "cast(if(l_linenumber = 7, 9, l_linenumber) as double) AS i94mode",
         "concat('S', l_partkey % 10) AS i94addr",
@@ -120,7 +120,7 @@ arrivals AS (
   SELECT CAST(l_orderkey * 10 + l_linenumber AS DOUBLE) AS cicid,
          CAST(year(l_shipdate) AS DOUBLE) AS i94yr, CAST(month(l_shipdate) AS DOUBLE) AS i94mon,
          CAST(l_suppkey % 27 AS DOUBLE) AS i94cit, CAST(l_partkey % 26 AS DOUBLE) AS i94res,
-         'P' || lpad(CAST(l_suppkey % 60 AS VARCHAR), 2, '0') AS i94port,
+         'P' || lpad(CAST(l_partkey % 60 AS VARCHAR), 2, '0') AS i94port,
          arr AS arrdate,
          CAST(CASE WHEN l_linenumber = 7 THEN 9 ELSE l_linenumber END AS DOUBLE) AS i94mode,
          'S' || (l_partkey % 10) AS i94addr,

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from starloom.functions.timeparts import epoch_ms_to_ts
 from starloom.operators.dedup import last_per_key
-from starloom.operators.frames import duplicate_report, null_profile, table_shape, top_n
-from starloom.plans import lookups
+from starloom.operators.frames import duplicate_report, null_profile, outer_union, table_shape, top_n
+from starloom.plans import lookups, music
 from starloom.queries.inputs import LOG_SQL, activity_log
 from starloom.queries.registry import query, table
 from starloom.session import scratch_path
@@ -69,35 +70,35 @@ def duplicate_keys(spark, folder):
 # -- lookups -----------------------------------------------------------------------
 
 
-@query("SELECT l_partkey, l_suppkey, l_quantity FROM lineitem WHERE l_orderkey = 77 AND l_linenumber = 3")
+@query("SELECT l_partkey, l_suppkey, l_quantity FROM lineitem WHERE l_orderkey = 12 AND l_linenumber = 5")
 def lookup_by_compound_key(spark, folder):
     lines = table(spark, folder, "lineitem")
-    return lookups.find(lines, ["l_partkey", "l_suppkey", "l_quantity"], l_orderkey=77, l_linenumber=3)
+    return lookups.find(lines, ["l_partkey", "l_suppkey", "l_quantity"], l_orderkey=12, l_linenumber=5)
 
 
-SESSION = f"""WITH {LOG_SQL} SELECT song, artist, firstName, lastName, event_id AS itemInSession FROM log
-WHERE userId = 8 AND sessionId = 805 AND page = 'NextSong'"""
+def _event_rows(spark, folder):
+    """The plays in the shape of the event files; the hour numbers the items of a session."""
+    log = music.plays(activity_log(spark, folder)).where(F.col("userId").isNotNull())
+    return log.withColumn("itemInSession", F.hour(epoch_ms_to_ts(F.col("ts"))))
 
 
-def _event_rows(spark, folder):
-    """The log in the shape of the event files; the event id numbers the items."""
-    log = activity_log(spark, folder).where("page = 'NextSong' AND userId IS NOT NULL")
-    return log.withColumn("itemInSession", F.col("event_id"))
+ROWS = f"""WITH {LOG_SQL}, rows AS (SELECT *, CAST(hour(make_timestamp(ts * 1000)) AS INTEGER) AS itemInSession
+FROM log WHERE page = 'NextSong' AND userId IS NOT NULL)"""
 
 
-@query(SESSION)
+@query(f"{ROWS} SELECT song, artist, firstName, lastName, itemInSession FROM rows WHERE userId = 9 AND sessionId = 91")
 def lookup_sorted_session(spark, folder):
     """One session's plays in clustering order, filtered where they lie."""
     return lookups.find(
         _event_rows(spark, folder),
         ["song", "artist", "firstName", "lastName", "itemInSession"],
         ["itemInSession"],
-        userId=8,
-        sessionId=805,
+        userId=9,
+        sessionId=91,
     )
 
 
-@query(f"WITH {LOG_SQL} SELECT DISTINCT song, firstName, lastName, userId FROM log WHERE song = 'Track 9' AND userId IS NOT NULL")
+@query(f"{ROWS} SELECT DISTINCT song, firstName, lastName, userId FROM rows WHERE song = 'Track 9'")
 def lookup_listeners_of_song(spark, folder):
     """Every listener of one song once; the filter on the key runs before the reduction."""
     heard = lookups.find(_event_rows(spark, folder), ["song", "userId", "firstName", "lastName"], song="Track 9")
@@ -105,28 +106,22 @@ def lookup_listeners_of_song(spark, folder):
 
 
 @query(
-    f"""WITH {LOG_SQL}
-SELECT 'play' AS asked, song, artist, firstName, lastName FROM
-  (SELECT song, artist, NULL AS firstName, NULL AS lastName FROM log WHERE sessionId = 805 AND event_id = 205 AND page = 'NextSong' AND userId IS NOT NULL)
-UNION ALL SELECT 'session', song, artist, firstName, lastName FROM log
-  WHERE userId = 8 AND sessionId = 805 AND page = 'NextSong'
-UNION ALL SELECT DISTINCT 'listeners', song, NULL, firstName, lastName FROM log
-  WHERE song = 'Track 9' AND userId IS NOT NULL"""
+    f"""{ROWS}, written AS (SELECT *, row_number() OVER (PARTITION BY sessionId, itemInSession
+  ORDER BY ts DESC, artist DESC, song DESC, length DESC) AS rn FROM rows)
+SELECT 'play' AS asked, song, artist, NULL AS firstName, NULL AS lastName FROM written
+  WHERE sessionId = 91 AND itemInSession = 1 AND rn = 1
+UNION ALL SELECT 'session', song, artist, firstName, lastName FROM written WHERE userId = 9 AND sessionId = 91 AND rn = 1
+UNION ALL SELECT DISTINCT 'listeners', song, NULL, firstName, lastName FROM rows WHERE song = 'Track 9'"""
 )
 def lookup_tables_answers(spark, folder):
-    """The three laid-out tables are written, then each answers its question."""
+    """The three laid-out tables are written (the last write per key wins), then each answers its question."""
     root = scratch_path(spark, "lookups")
-    lookups.build_lookup_tables(_event_rows(spark, folder), root)
-    play = lookups.play_in_session(spark, root, 805, 205).drop("length")
-    session = lookups.plays_of_session(spark, root, 8, 805)
-    listeners = lookups.listeners_of_song(spark, root, "Track 9")
-    answers = [
-        answer.withColumn("asked", F.lit(asked))
-        for asked, answer in (("play", play), ("session", session), ("listeners", listeners))
-    ]
-    first, second, third = answers
-    return (
-        first.unionByName(second, allowMissingColumns=True)
-        .unionByName(third, allowMissingColumns=True)
-        .select("asked", "song", "artist", "firstName", "lastName")
+    lookups.build_lookup_tables(_event_rows(spark, folder), root, ["ts"])
+    answers = {
+        "play": lookups.play_in_session(spark, root, 91, 1).drop("length"),
+        "session": lookups.plays_of_session(spark, root, 9, 91),
+        "listeners": lookups.listeners_of_song(spark, root, "Track 9"),
+    }
+    return outer_union(*[rows.withColumn("asked", F.lit(asked)) for asked, rows in answers.items()]).select(
+        "asked", "song", "artist", "firstName", "lastName"
     )

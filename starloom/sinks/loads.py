@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,9 @@ from starloom.operators.merge import absent_rows, upserted
 from starloom.session import materialize
 from starloom.sources.files import subfolders
 
+# Partitions of one batch that are named one by one in the filter on the target.
+LITERAL_PARTITIONS = 500
+
 LOAD_MODES = ("append", "overwrite", "errorifexists")
 
 
@@ -44,6 +49,20 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> Non
     )
 
 
+def _touched(target: DataFrame, batch: DataFrame, partition_by: list[str]) -> DataFrame:
+    """The part of ``target`` that lies in the partitions of ``batch``.
+
+    A few partition values become literals, which prune the folders before
+    the scan is planned; more of them become a semi-join.
+    """
+    parts = batch.select(*partition_by).distinct()
+    few = parts.limit(LITERAL_PARTITIONS + 1).collect()
+    if len(few) > LITERAL_PARTITIONS:
+        return target.join(parts, partition_by, "left_semi")
+    wanted = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(part[c]) for c in partition_by]) for part in few]
+    return target.where(reduce(lambda a, b: a | b, wanted, F.lit(False)))
+
+
 def insert_if_absent(
     batch: DataFrame, path: str, keys: list[str], order: list[str], partition_by: list[str] | None = None
 ) -> None:
@@ -59,8 +78,7 @@ def insert_if_absent(
         return
     target = spark.read.schema(batch.schema).parquet(path)
     if partition_by and set(partition_by) <= set(keys):
-        touched = batch.select(*partition_by).distinct()
-        target = target.join(touched, partition_by, "left_semi")
+        target = _touched(target, batch, partition_by)
     load(absent_rows(target, batch, keys, order), path, "append", partition_by)
 
 
@@ -81,7 +99,7 @@ def upsert(
     target = spark.read.schema(batch.schema).parquet(path)
     by_part = bool(partition_by) and set(partition_by) <= set(keys)
     if by_part:
-        target = target.join(batch.select(*partition_by).distinct(), partition_by, "left_semi")
+        target = _touched(target, batch, partition_by)
     merged = materialize(upserted(target, batch, keys, order), "upsert").select(*batch.columns)
     if by_part:
         replace_partitions(merged, path, partition_by)
