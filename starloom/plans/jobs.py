@@ -24,9 +24,8 @@ def _with_month(df: DataFrame) -> DataFrame:
 
 def stage_music(spark: SparkSession, logs: str, songs: str, out: str) -> tuple[DataFrame, DataFrame]:
     """Parse the JSON sources once into staging tables; every later step reads those."""
-    load(music.typed_log(files.read_logs(spark, logs)), f"{out}/staging/events", "overwrite")
-    load(files.read_songs(spark, songs), f"{out}/staging/songs", "overwrite")
-    return spark.read.parquet(f"{out}/staging/events"), spark.read.parquet(f"{out}/staging/songs")
+    log = load(music.typed_log(files.read_logs(spark, logs)), f"{out}/staging/events", "overwrite")
+    return log, load(files.read_songs(spark, songs), f"{out}/staging/songs", "overwrite")
 
 
 def build_music_star(
@@ -40,10 +39,11 @@ def build_music_star(
     pin_utc(spark)
     log, metadata = stage_music(spark, logs, songs, out)
     played = music.plays(log)
+    tables: dict[str, DataFrame] = {}
 
     def save(name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        load(df, f"{out}/tables/{name}", mode, partition_by)
-        return spark.read.parquet(f"{out}/tables/{name}")
+        tables[name] = load(df, f"{out}/tables/{name}", mode, partition_by)
+        return tables[name]
 
     if rules == "keyed":
         song_dim = save("songs", music.songs_dim(metadata, "first"))
@@ -80,11 +80,11 @@ def build_music_star(
         fact_dim = save("songplays", _with_month(music.songplays_strict(log, metadata)), MONTHS)
         times = music.time_dim(fact_dim, F.col("start_time"), weekday="sunday0", distinct=False)
         save("time", times, MONTHS)
-        return files.restore_tables(spark, f"{out}/tables")
+        return tables
     else:
         raise ValueError(f"rule set <{rules}> is not known")
     save("songplays", _with_month(fact), MONTHS)
-    return files.restore_tables(spark, f"{out}/tables")
+    return tables
 
 
 def music_quality(tables: dict[str, DataFrame]) -> DataFrame:
@@ -130,9 +130,11 @@ def build_arrivals_star(spark: SparkSession, raw_root: str, labels: str, out: st
     raw = files.restore_tables(spark, f"{raw_root}/raw")
     texts = files.read_texts(spark, labels)
 
+    tables: dict[str, DataFrame] = {}
+
     def save(folder: str, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        load(df, f"{out}/{folder}/{name}", partition_by=partition_by)
-        return spark.read.parquet(f"{out}/{folder}/{name}")
+        tables[name] = load(df, f"{out}/{folder}/{name}", partition_by=partition_by)
+        return tables[name]
 
     countries = save("staging", "countries_table", arrivals.countries_codes(texts, ["file"]))
     save("staging", "states_table", arrivals.states_codes(texts, ["file"]))
@@ -149,7 +151,11 @@ def build_arrivals_star(spark: SparkSession, raw_root: str, labels: str, out: st
     save("ops", "country_temperatures_table", arrivals.country_temperatures(climate))
     save("ops", "date_table", arrivals.date_table(fact))
 
-    report = quality.table_set(spark, files.restore_tables(spark, f"{out}/ops"), schemas.ARRIVALS_STAR)
+    found = {
+        name: tables[name] if name in tables else spark.read.parquet(path)
+        for name, path in files.subfolders(spark, f"{out}/ops").items()
+    }
+    report = quality.table_set(spark, found, schemas.ARRIVALS_STAR)
     quality.require(report)
     return report
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from starloom.queries.registry import query, table
 from starloom.session import scratch_path
-from starloom.sinks.loads import insert_if_absent, load, upsert
+from starloom.sinks.loads import insert_if_absent, load, read_as, upsert
 
 COLUMNS = ["event_id", "user_id", "event_type", "value"]
 PICK = "event_id, user_id, event_type, value"
@@ -29,8 +29,7 @@ def append_load(spark, folder):
     first, second = _batches(spark, folder)
     path = scratch_path(spark, "append")
     load(first, path)
-    load(second, path, "append")
-    return spark.read.schema(first.schema).parquet(path)
+    return load(second, path, "append")
 
 
 @query(f"WITH {BATCHES} SELECT * FROM two")
@@ -38,8 +37,7 @@ def overwrite_load(spark, folder):
     first, second = _batches(spark, folder)
     path = scratch_path(spark, "overwrite")
     load(first, path, partition_by=["event_type"])
-    load(second, path, "overwrite", partition_by=["event_type"])
-    return spark.read.schema(first.schema).parquet(path).select(*COLUMNS)
+    return load(second, path, "overwrite", partition_by=["event_type"])
 
 
 @query(f"WITH {BATCHES} SELECT * FROM one UNION ALL SELECT * FROM two WHERE event_id NOT IN (SELECT event_id FROM one)")
@@ -49,7 +47,7 @@ def insert_if_absent_load(spark, folder):
     path = scratch_path(spark, "insert")
     load(first, path)
     insert_if_absent(second.unionAll(second), path, ["event_id"], ["value"])
-    return spark.read.schema(first.schema).parquet(path)
+    return read_as(first, path)
 
 
 @query(f"WITH {BATCHES} SELECT * FROM two UNION ALL SELECT * FROM one WHERE event_id NOT IN (SELECT event_id FROM two)")
@@ -60,4 +58,4 @@ def upsert_last_write(spark, folder):
     path = scratch_path(spark, "upsert")
     load(first, path)
     upsert(older.unionAll(second), path, ["event_id"], ["value"])
-    return spark.read.schema(first.schema).parquet(path)
+    return read_as(first, path)

@@ -23,8 +23,8 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
-def load(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: list[str] | None = None) -> None:
-    """Write a table. ``overwrite`` replaces all of it, ``append`` adds without looking.
+def load(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: list[str] | None = None) -> DataFrame:
+    """Write a table and return it as read back. ``overwrite`` replaces all, ``append`` adds without looking.
 
     Rows are brought together by partition value first, so each partition gets
     few files instead of one per task. The split is by rebalance: a partition
@@ -36,6 +36,12 @@ def load(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: li
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return read_as(df, path)
+
+
+def read_as(df: DataFrame, path: str) -> DataFrame:
+    """The table at ``path`` under the columns of ``df``; works for a table without rows, too."""
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
@@ -76,7 +82,7 @@ def insert_if_absent(
         # the same reduction a present, empty table would lead to
         load(absent_rows(batch.limit(0), batch, keys, order), path, partition_by=partition_by)
         return
-    target = spark.read.schema(batch.schema).parquet(path)
+    target = read_as(batch, path)
     if partition_by and set(partition_by) <= set(keys):
         target = _touched(target, batch, partition_by)
     load(absent_rows(target, batch, keys, order), path, "append", partition_by)
@@ -96,7 +102,7 @@ def upsert(
     if not table_exists(spark, path):
         load(upserted(batch.limit(0), batch, keys, order), path, partition_by=partition_by)
         return
-    target = spark.read.schema(batch.schema).parquet(path)
+    target = read_as(batch, path)
     by_part = bool(partition_by) and set(partition_by) <= set(keys)
     if by_part:
         target = _touched(target, batch, partition_by)

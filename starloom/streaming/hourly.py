@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.plans import music, quality
 from starloom.session import pin_utc
-from starloom.sinks.loads import insert_if_absent, load
+from starloom.sinks.loads import insert_if_absent, load, read_as
 from starloom.sources import files
 from starloom.sources.staging import month_path
 
@@ -30,10 +30,9 @@ def run_hourly(
     ``overwrite`` for the dimensions.
     """
     pin_utc(spark)
-    load(music.typed_log(files.read_logs(spark, month_path(log_template, run_date))), f"{root}/staging/events", "overwrite")
-    load(files.read_songs(spark, songs), f"{root}/staging/songs", "overwrite")
-    log = spark.read.parquet(f"{root}/staging/events")
-    metadata = spark.read.parquet(f"{root}/staging/songs")
+    lines = files.read_logs(spark, month_path(log_template, run_date))
+    log = load(music.typed_log(lines), f"{root}/staging/events", "overwrite")
+    metadata = load(files.read_songs(spark, songs), f"{root}/staging/songs", "overwrite")
     played = music.plays(log)
 
     plays = music.songplays_strict(log, metadata).withColumns(
@@ -41,7 +40,7 @@ def run_hourly(
     )
     insert_if_absent(plays, f"{root}/songplays", ["songplay_id", *MONTHS], ["session_id"], MONTHS)
 
-    fact = spark.read.parquet(f"{root}/songplays")
+    fact = read_as(plays, f"{root}/songplays")
     year, month = (int(part) for part in run_date.split("-")[:2])
     this_month = fact.where((F.col("year") == year) & (F.col("month") == month))
     dims = {
