@@ -32,17 +32,39 @@ def dim_join(
     on: list[str],
     how: str = "inner",
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     dim_bytes: int | None = None,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join on equal column names: broadcast a checked small side, else slice the hot keys.
 
     Catalyst takes the product of both sides as the size of a join. A caller
     that knows a closer bound for a joined ``dim`` passes it as ``dim_bytes``.
+    ``hot_rows=None`` states that ``fact`` holds no hot key, because it was
+    reduced to distinct rows before; Spark then picks the join alone.
     """
     if (estimated_bytes(dim) if dim_bytes is None else dim_bytes) <= broadcast_bytes:
         return fact.join(F.broadcast(dim), on, how)
-    return sliced_join(fact, dim, on, how, hot_rows)
+    if hot_rows is None:
+        return fact.join(dim, on, how)
+    return sliced_join(fact, dim, on, how, hot_rows, hot_from)
+
+
+def hot_keys(df: DataFrame, on: list[str], hot_rows: int) -> DataFrame | None:
+    """(key…, _slices) of the keys above ``hot_rows`` rows, or None when there are none.
+
+    The rows per key are counted with a map-side combined aggregate; at most
+    ``HOT_KEYS`` counts reach the driver.
+    """
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
+    hot = (
+        counts.dropna(subset=on)
+        .orderBy(F.col("_rows").desc(), *on)
+        .limit(HOT_KEYS)
+        .select(*on, F.ceil(F.col("_rows") / hot_rows).cast("bigint").alias("_slices"))
+    )
+    found = hot.collect()
+    return df.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
 def sliced_join(
@@ -51,43 +73,35 @@ def sliced_join(
     on: list[str],
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join in which a hot left key is cut into slices of about ``hot_rows`` rows.
 
-    The rows per key are counted with a map-side combined aggregate. A hot
-    left row picks its slice from its content and the partition it is read
-    from: a rerun task puts it in the same place, and equal rows from different
-    partitions still spread. The matching right rows are repeated once per
-    slice. Valid for joins that keep left rows: inner, left, left_semi,
-    left_anti.
+    The keys are counted in one pass over ``left``, or over ``hot_from`` where
+    the caller has the same keys at hand more cheaply. A hot left row picks its
+    slice from its content and the partition it is read from: a rerun task puts
+    it in the same place, and equal rows from different partitions still
+    spread. The matching right rows are repeated once per slice. Valid for
+    joins that keep left rows: inner, left, left_semi, left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type <{how}> would repeat right rows")
-    hot = (
-        left.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .orderBy(F.col("_rows").desc(), *on)
-        .limit(HOT_KEYS)
-        .select(*on, F.ceil(F.col("_rows") / hot_rows).cast("bigint").alias("_slices"))
-    )
+    hot = hot_keys(left if hot_from is None else hot_from, on, hot_rows)
+    whole = F.lit(0).cast("bigint")
     keyless = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    slices = F.when(keyless, F.lit(NULL_SLICES).cast("bigint")).otherwise(
-        F.coalesce("_slices", F.lit(1).cast("bigint"))
-    )
     row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns])
-    spread = (
-        left.join(F.broadcast(hot), on, "left")
-        .withColumn("_slice", F.pmod(row_hash, slices))
-        .drop("_slices")
-    )
-    last = F.coalesce("_slices", F.lit(1).cast("bigint")) - 1
-    repeated = (
-        right.join(F.broadcast(hot), on, "left")
-        .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-        .drop("_slices")
-    )
-    return spread.join(repeated, [*on, "_slice"], how).drop("_slice")
+    slice_of = F.when(keyless, F.pmod(row_hash, F.lit(NULL_SLICES).cast("bigint")))
+    if hot is None:
+        left = left.withColumn("_slice", slice_of.otherwise(whole))
+        right = right.withColumn("_slice", whole)
+    else:
+        # HOT_KEYS rows at most
+        hot = F.broadcast(hot)
+        cut = F.when(F.col("_slices").isNotNull(), F.pmod(row_hash, F.col("_slices"))).otherwise(whole)
+        left = left.join(hot, on, "left").withColumn("_slice", slice_of.otherwise(cut)).drop("_slices")
+        numbers = F.sequence(whole, F.coalesce("_slices", F.lit(1).cast("bigint")) - 1)
+        right = right.join(hot, on, "left").withColumn("_slice", F.explode(numbers)).drop("_slices")
+    return left.join(right, [*on, "_slice"], how).drop("_slice")
 
 
 def code_join(fact: DataFrame, codes: DataFrame, fact_key: str, code_key: str, how: str = "inner") -> DataFrame:

@@ -139,7 +139,13 @@ def songplays_keyed(
     # at most one row per song, made of the song's columns and one artist name
     lookup_bytes = 2 * (estimated_bytes(songs) + estimated_bytes(artists))
     matched = dim_join(
-        played, lookup, ["song", "artist", "length"], "left", hot_rows=hot_rows, dim_bytes=lookup_bytes
+        played,
+        lookup,
+        ["song", "artist", "length"],
+        "left",
+        hot_rows=hot_rows,
+        dim_bytes=lookup_bytes,
+        hot_from=plays(log, page),
     )
     return matched.select(*_play_columns(epoch_ms_to_ts(F.col("ts"))))
 
@@ -164,12 +170,18 @@ def songplays_lake(
     ``artists`` may hold an id several times, which repeats the play;
     ``one_per_artist`` reduces it first.
     """
-    ids = artists.select("artist_id")
+    copies = artists.groupBy("artist_id").agg(F.count(F.lit(1)).alias("_copies"))
     if one_per_artist:
-        ids = ids.distinct()
+        copies = copies.withColumn("_copies", F.lit(1).cast("bigint"))
     titled = songs.select(F.col("title").alias("song"), "song_id", "artist_id")
-    matched = dim_join(plays(log, page).select(*_LOG_USED), titled, ["song"], hot_rows=hot_rows)
-    matched = dim_join(matched, ids, ["artist_id"], hot_rows=hot_rows)
+    catalogue = dim_join(titled, copies, ["artist_id"], hot_rows=hot_rows)
+    # at most one row per song: the song's columns and one number
+    catalogue_bytes = 2 * estimated_bytes(titled)
+    matched = dim_join(
+        plays(log, page).select(*_LOG_USED), catalogue, ["song"], hot_rows=hot_rows, dim_bytes=catalogue_bytes
+    )
+    # an artist row adds nothing but one more copy of the play
+    matched = matched.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
     return matched.select(*_play_columns(epoch_ms_to_text(F.col("ts"))))
 
 

@@ -38,9 +38,9 @@ def plays_by_user(
         dim_bytes=HOURS_OF_A_MONTH_BYTES if hour_grain else None,
     )
     heard = played.select("user_id", "song_id", "artist_id").distinct()
-    heard = dim_join(heard, songs.select("song_id"), ["song_id"], "left_semi")
-    heard = dim_join(heard, artists.select("artist_id"), ["artist_id"], "left_semi")
-    named = dim_join(heard, users.select("user_id", "last_name").distinct(), ["user_id"])
+    heard = dim_join(heard, songs.select("song_id"), ["song_id"], "left_semi", hot_rows=None)
+    heard = dim_join(heard, artists.select("artist_id"), ["artist_id"], "left_semi", hot_rows=None)
+    named = dim_join(heard, users.select("user_id", "last_name").distinct(), ["user_id"], hot_rows=None)
     return (
         named.groupBy("user_id", "last_name")
         .agg(

@@ -61,10 +61,13 @@ def test_dim_join_broadcasts_only_below_the_checked_size(spark):
     assert "BroadcastHashJoin [k" in plan_of(joins.dim_join(fact, small, ["k"]))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        large = plan_of(joins.dim_join(fact, small, ["k"], broadcast_bytes=1))
+        plain = plan_of(joins.dim_join(fact, small, ["k"], broadcast_bytes=1))
+        sliced = plan_of(joins.dim_join(fact, small, ["k"], broadcast_bytes=1, hot_rows=0))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin [k" in large and "_slice" in large
+    # without hot keys nothing is left of the slices
+    assert "SortMergeJoin [k" in plain and "_slice" not in plain
+    assert "_slice" in sliced
 
 
 def test_code_join_compares_numbers_with_text(spark):

@@ -134,7 +134,7 @@ def test_facts_are_the_same_whether_sliced_or_broadcast(log, songs, monkeypatch)
         ]
 
     broadcast = all_facts()
-    monkeypatch.setattr("starloom.operators.joins.dim_join.__defaults__", ("inner", -1, 1, None))
+    monkeypatch.setattr("starloom.operators.joins.dim_join.__defaults__", ("inner", -1, 1, None, None))
     assert all_facts() == broadcast
 
 
