@@ -88,17 +88,23 @@ def sliced_join(
         raise ValueError(f"join type <{how}> would repeat right rows")
     hot = hot_keys(left if hot_from is None else hot_from, on, hot_rows)
     whole = F.lit(0).cast("bigint")
-    keyless = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns])
-    slice_of = F.when(keyless, F.pmod(row_hash, F.lit(NULL_SLICES).cast("bigint")))
+    spread = F.when(F.lit(False), whole)
+    if how in ("inner", "left_semi"):
+        if hot is None:
+            return left.join(right, on, how)
+        left = left.dropna(subset=on)
+    else:
+        keyless = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+        spread = F.when(keyless, F.pmod(row_hash, F.lit(NULL_SLICES).cast("bigint")))
     if hot is None:
-        left = left.withColumn("_slice", slice_of.otherwise(whole))
+        left = left.withColumn("_slice", spread.otherwise(whole))
         right = right.withColumn("_slice", whole)
     else:
         # HOT_KEYS rows at most
         hot = F.broadcast(hot)
         cut = F.when(F.col("_slices").isNotNull(), F.pmod(row_hash, F.col("_slices"))).otherwise(whole)
-        left = left.join(hot, on, "left").withColumn("_slice", slice_of.otherwise(cut)).drop("_slices")
+        left = left.join(hot, on, "left").withColumn("_slice", spread.otherwise(cut)).drop("_slices")
         numbers = F.sequence(whole, F.coalesce("_slices", F.lit(1).cast("bigint")) - 1)
         right = right.join(hot, on, "left").withColumn("_slice", F.explode(numbers)).drop("_slices")
     return left.join(right, [*on, "_slice"], how).drop("_slice")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from starloom.functions import text, timeparts
 from starloom.operators.clean import cast_columns, like_prefix, matched_only
 from starloom.plans import lookups, music
-from starloom.queries.inputs import LOG_SQL, activity_log
+from starloom.queries.inputs import LOG_SQL, PLAY, activity_log
 from starloom.queries.registry import plain, query, table
 
 
@@ -39,9 +39,9 @@ def normalize_headers(spark, folder):
     return text.clean_headers(messy)
 
 
-@query(f"WITH {LOG_SQL} SELECT event_id, userId, song FROM log WHERE page = 'NextSong'")
+@query(f"WITH {LOG_SQL} SELECT event_id, userId, song FROM log WHERE page = 'purchase'")
 def filter_action(spark, folder):
-    return music.plays(activity_log(spark, folder)).select("event_id", "userId", "song")
+    return music.plays(activity_log(spark, folder), PLAY).select("event_id", "userId", "song")
 
 
 @query(f"WITH {LOG_SQL} SELECT event_id, artist FROM log WHERE event_id % 3 <> 0 AND artist IS NOT NULL")

@@ -1,6 +1,6 @@
 """The raw inputs of the two stars, derived row by row from the given tables.
 
-``activity_log``    events: one log line per event, a purchase is a play of song ``k``
+``activity_log``    events: one log line per event; the page ``purchase`` is a play of song ``k``
 ``song_metadata``   part: one song per part, three songs per title, four per artist
 ``arrivals_raw``    lineitem: one arrival per line
 ``temperatures``    lineitem: one reading per line
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from starloom.queries.registry import table
 
+PLAY = "purchase"  # the page of a play in the given tables
+
 
 def activity_log(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").withColumns(
@@ -27,7 +29,7 @@ def activity_log(spark: SparkSession, folder: str) -> DataFrame:
     return events.selectExpr(
         "event_id",
         "unix_millis(cast(ts as timestamp)) AS ts",
-        "if(play, 'NextSong', event_type) AS page",
+        "event_type AS page",
         "if(event_id % 101 = 0, NULL, user_id) AS userId",
         "concat('First ', user_id % 97) AS firstName",
         "concat('Last ', user_id % 1009) AS lastName",
@@ -44,7 +46,7 @@ def activity_log(spark: SparkSession, folder: str) -> DataFrame:
 
 LOG_SQL = """log AS (
   SELECT event_id, epoch_us(ts) // 1000 AS ts,
-         CASE WHEN play THEN 'NextSong' ELSE event_type END AS page,
+         event_type AS page,
          CASE WHEN event_id % 101 = 0 THEN NULL ELSE user_id END AS userId,
          'First ' || (user_id % 97) AS firstName, 'Last ' || (user_id % 1009) AS lastName,
          CASE WHEN user_id % 2 = 0 THEN 'F' ELSE 'M' END AS gender,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from starloom.functions.timeparts import epoch_ms_to_ts
 from starloom.operators.keys import dense_ids, gap_ids
 from starloom.plans import music, reports
-from starloom.queries.inputs import LOG_SQL, META_SQL, activity_log, song_metadata
+from starloom.queries.inputs import LOG_SQL, META_SQL, PLAY, activity_log, song_metadata
 from starloom.queries.registry import plain, query, table
 
 BASE = f"WITH {LOG_SQL},\n{META_SQL}\n"
@@ -21,10 +21,10 @@ CAST(week(t) AS INTEGER) AS week, CAST(month(t) AS INTEGER) AS month, CAST(year(
 
 @query(
     f"""WITH {LOG_SQL} SELECT DISTINCT userId AS user_id, firstName AS first_name, lastName AS last_name,
-gender, level FROM log WHERE page = 'NextSong' AND userId IS NOT NULL"""
+gender, level FROM log WHERE page = 'purchase' AND userId IS NOT NULL"""
 )
 def users_dim_distinct(spark, folder):
-    return music.users_dim(music.plays(activity_log(spark, folder)))
+    return music.users_dim(music.plays(activity_log(spark, folder), PLAY))
 
 
 @query(
@@ -37,11 +37,11 @@ def users_dim_all_pages(spark, folder):
 
 @query(
     f"""WITH {LOG_SQL}, ranked AS (SELECT *, row_number() OVER (PARTITION BY userId
-ORDER BY ts, firstName, lastName, gender, level) AS rn FROM log WHERE page = 'NextSong' AND userId IS NOT NULL)
+ORDER BY ts, firstName, lastName, gender, level) AS rn FROM log WHERE page = 'purchase' AND userId IS NOT NULL)
 SELECT userId AS user_id, firstName AS first_name, lastName AS last_name, gender, level FROM ranked WHERE rn = 1"""
 )
 def users_dim_first_seen(spark, folder):
-    return music.users_dim(music.plays(activity_log(spark, folder)), "first_seen")
+    return music.users_dim(music.plays(activity_log(spark, folder), PLAY), "first_seen")
 
 
 @query(f"WITH {META_SQL} SELECT DISTINCT song_id, title, artist_id, year, duration FROM meta")
@@ -74,11 +74,11 @@ def _time(frame):
 
 
 @query(
-    f"""WITH {LOG_SQL}, s AS (SELECT DISTINCT {STAMP} AS t FROM log WHERE page = 'NextSong')
+    f"""WITH {LOG_SQL}, s AS (SELECT DISTINCT {STAMP} AS t FROM log WHERE page = 'purchase')
 SELECT t AS start_time, {PARTS}, CAST(isodow(t) - 1 AS INTEGER) AS weekday FROM s"""
 )
 def time_dim(spark, folder):
-    log = music.plays(activity_log(spark, folder))
+    log = music.plays(activity_log(spark, folder), PLAY)
     return _time(music.time_dim(log, epoch_ms_to_ts(F.col("ts"))))
 
 
@@ -92,11 +92,11 @@ def time_dim_hourly(spark, folder):
 
 
 @query(
-    f"""WITH {LOG_SQL}, s AS (SELECT DISTINCT {STAMP} AS t FROM log WHERE page = 'NextSong')
+    f"""WITH {LOG_SQL}, s AS (SELECT DISTINCT {STAMP} AS t FROM log WHERE page = 'purchase')
 SELECT t AS start_time, {PARTS}, dayname(t) AS weekday FROM s"""
 )
 def time_dim_named(spark, folder):
-    log = music.plays(activity_log(spark, folder))
+    log = music.plays(activity_log(spark, folder), PLAY)
     return _time(music.time_dim(log, epoch_ms_to_ts(F.col("ts")), weekday="name"))
 
 
@@ -107,7 +107,7 @@ STRICT = """strict AS (
          l.level, m.song_id, m.artist_id, l.sessionId AS session_id, l.location, l.userAgent AS user_agent
   FROM log l JOIN meta m ON l.song = m.title AND l.artist = m.artist_name
        AND CAST(l.length AS DECIMAL(18,0)) = CAST(m.duration AS DECIMAL(18,0))
-  WHERE l.page = 'NextSong')"""
+  WHERE l.page = 'purchase')"""
 
 
 @query(
@@ -118,7 +118,7 @@ CAST(year(start_time) AS INTEGER) AS year, CAST(dayofweek(start_time) AS INTEGER
 )
 def time_dim_from_fact(spark, folder):
     """No distinct: one row per fact row."""
-    fact = music.songplays_strict(activity_log(spark, folder), song_metadata(spark, folder))
+    fact = music.songplays_strict(activity_log(spark, folder), song_metadata(spark, folder), PLAY)
     return _time(music.time_dim(fact, F.col("start_time"), weekday="sunday0", distinct=False))
 
 
@@ -127,7 +127,7 @@ def time_dim_from_fact(spark, folder):
 
 @query(f"{BASE}, {STRICT} SELECT * FROM strict")
 def songplays_strict_join(spark, folder):
-    return _time(music.songplays_strict(activity_log(spark, folder), song_metadata(spark, folder)))
+    return _time(music.songplays_strict(activity_log(spark, folder), song_metadata(spark, folder), PLAY))
 
 
 @query(
@@ -136,7 +136,7 @@ FROM strict GROUP BY songplay_id, user_id, start_time"""
 )
 def songplay_md5_key(spark, folder):
     """Plays per hashed key; plays of one user within a second share a key."""
-    fact = music.songplays_strict(activity_log(spark, folder), song_metadata(spark, folder))
+    fact = music.songplays_strict(activity_log(spark, folder), song_metadata(spark, folder), PLAY)
     return _time(fact.groupBy("songplay_id", "user_id", "start_time").agg(F.count(F.lit(1)).alias("plays")))
 
 
@@ -145,13 +145,13 @@ def songplay_md5_key(spark, folder):
 l.userId AS user_id, l.level, m.song_id, m.artist_id, l.sessionId AS session_id, l.location,
 l.userAgent AS user_agent
 FROM log l JOIN meta m ON l.song = m.title JOIN meta a ON a.artist_id = m.artist_id
-WHERE l.page = 'NextSong'"""
+WHERE l.page = 'purchase'"""
 )
 def songplays_title_join(spark, folder):
     """Title join, then artists with duplicates: every play repeats per song and artist row."""
     metadata = song_metadata(spark, folder)
     return music.songplays_lake(
-        activity_log(spark, folder), music.songs_dim(metadata, "all"), music.artists_dim(metadata, "all")
+        activity_log(spark, folder), music.songs_dim(metadata, "all"), music.artists_dim(metadata, "all"), PLAY
     )
 
 
@@ -161,7 +161,7 @@ def songplays_title_join(spark, folder):
     (PARTITION BY title, artist_name, duration ORDER BY song_id, artist_id) AS rn FROM meta),
 played AS (
   SELECT *, row_number() OVER (PARTITION BY ts, userId ORDER BY level, song, artist, length, sessionId,
-    location, userAgent) AS rn FROM log WHERE page = 'NextSong')
+    location, userAgent) AS rn FROM log WHERE page = 'purchase')
 SELECT make_timestamp(l.ts * 1000) AS start_time, l.userId AS user_id, l.level, m.song_id, m.artist_id,
 l.sessionId AS session_id, l.location, l.userAgent AS user_agent
 FROM played l LEFT JOIN lookup m ON l.song = m.title AND l.artist = m.artist_name
@@ -171,7 +171,7 @@ def songplays_lookup_nullable(spark, folder):
     metadata = song_metadata(spark, folder)
     return _time(
         music.songplays_keyed(
-            activity_log(spark, folder), music.songs_dim(metadata, "first"), music.artists_dim(metadata, "first")
+            activity_log(spark, folder), music.songs_dim(metadata, "first"), music.artists_dim(metadata, "first"), PLAY
         )
     )
 
@@ -227,8 +227,8 @@ def star_plays_by_user(spark, folder):
     return reports.plays_by_user(
         music.songplays_warehouse(log, metadata),
         music.users_dim(log),
-        music.songs_dim(metadata),
-        music.artists_dim(metadata, defaults=True),
+        music.songs_dim(metadata, "all"),
+        music.artists_dim(metadata, "all"),
         music.time_dim(log, hours, weekday="sunday0"),
         month=1,
         hour_grain=True,

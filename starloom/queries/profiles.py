@@ -8,7 +8,7 @@ from starloom.functions.timeparts import epoch_ms_to_ts
 from starloom.operators.dedup import last_per_key
 from starloom.operators.frames import duplicate_report, null_profile, outer_union, table_shape, top_n
 from starloom.plans import lookups, music
-from starloom.queries.inputs import LOG_SQL, activity_log
+from starloom.queries.inputs import LOG_SQL, PLAY, activity_log
 from starloom.queries.registry import query, table
 from starloom.session import scratch_path
 
@@ -78,12 +78,12 @@ def lookup_by_compound_key(spark, folder):
 
 def _event_rows(spark, folder):
     """The plays in the shape of the event files; the hour numbers the items of a session."""
-    log = music.plays(activity_log(spark, folder)).where(F.col("userId").isNotNull())
+    log = music.plays(activity_log(spark, folder), PLAY).where(F.col("userId").isNotNull())
     return log.withColumn("itemInSession", F.hour(epoch_ms_to_ts(F.col("ts"))))
 
 
 ROWS = f"""WITH {LOG_SQL}, rows AS (SELECT *, CAST(hour(make_timestamp(ts * 1000)) AS INTEGER) AS itemInSession
-FROM log WHERE page = 'NextSong' AND userId IS NOT NULL)"""
+FROM log WHERE page = 'purchase' AND userId IS NOT NULL)"""
 
 
 @query(f"{ROWS} SELECT song, artist, firstName, lastName, itemInSession FROM rows WHERE userId = 9 AND sessionId = 91")

@@ -55,14 +55,14 @@ def plan_of(df):
 
 
 def test_dim_join_broadcasts_only_below_the_checked_size(spark):
-    fact = spark.range(1000).withColumnRenamed("id", "k")
+    fact = spark.range(1000).select((F.col("id") % 20).alias("k"), "id")
     small = spark.range(10).select(F.col("id").alias("k"), F.lit("x").alias("label"))
     assert joins.estimated_bytes(small) < 10_000
     assert "BroadcastHashJoin [k" in plan_of(joins.dim_join(fact, small, ["k"]))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plain = plan_of(joins.dim_join(fact, small, ["k"], broadcast_bytes=1))
-        sliced = plan_of(joins.dim_join(fact, small, ["k"], broadcast_bytes=1, hot_rows=0))
+        sliced = plan_of(joins.dim_join(fact, small, ["k"], broadcast_bytes=1, hot_rows=9))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # without hot keys nothing is left of the slices
