@@ -1,4 +1,4 @@
-"""Data-quality checks. Each returns rows (check, actual, expected, passed)."""
+"""Data-quality checks. Each returns rows (check, actual, expected, passed); the values are shown as text."""
 
 from __future__ import annotations
 
@@ -18,8 +18,8 @@ def _verdict(rows: DataFrame) -> DataFrame:
     """Adds ``passed``; an actual value of NULL never passes."""
     return rows.select(
         "check",
-        F.col("actual").cast("bigint").alias("actual"),
-        F.col("expected").cast("bigint").alias("expected"),
+        F.col("actual").cast("string").alias("actual"),
+        F.col("expected").cast("string").alias("expected"),
         F.coalesce(F.col("actual") == F.col("expected"), F.lit(False)).alias("passed"),
     )
 
@@ -48,14 +48,13 @@ def sql_checks(spark: SparkSession, checks: list[dict]) -> DataFrame:
     answers = []
     for check in checks:
         answer = spark.sql(check["check_sql"])
-        answers.append(
-            answer.select(
-                F.lit(check["check_sql"]).alias("check"),
-                F.col(f"`{answer.columns[0]}`").alias("actual"),
-                F.lit(check["expected_result"]).alias("expected"),
-            )
+        row = answer.select(
+            F.lit(check["check_sql"]).alias("check"),
+            F.col(f"`{answer.columns[0]}`").alias("actual"),
+            F.lit(check["expected_result"]).alias("expected"),
         )
-    return _verdict(reduce(DataFrame.unionAll, [a.withColumn("actual", F.col("actual").cast("bigint")) for a in answers]))
+        answers.append(_verdict(row))
+    return reduce(DataFrame.unionAll, answers)
 
 
 def non_empty_ratio() -> Column:

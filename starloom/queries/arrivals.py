@@ -158,7 +158,7 @@ FROM by_country c JOIN nation n ON lower(n.n_name) = c.country"""
 def ci_name_join(spark, folder):
     climate = arrivals.country_temperatures(arrivals.state_temperatures(temperatures(spark, folder), 1998))
     return name_join(climate, table(spark, folder, "nation"), "country", "n_name").select(
-        "n_nationkey", "month", F.round("average_temperature", 6).alias("average_temperature")
+        "n_nationkey", F.col("month").cast("bigint").alias("month"), F.round("average_temperature", 6).alias("average_temperature")
     )
 
 
@@ -178,10 +178,12 @@ FACT = f"""fact AS (
   WHERE a.arrdate >= {FIRST} AND a.depdate >= {FIRST})"""
 
 
+def _stage(spark, folder):
+    return arrivals.arrivals_stage(arrivals_raw(spark, folder), countries(spark, folder), DAY_ONE)
+
+
 def _fact(spark, folder):
-    return arrivals.arrivals_fact(
-        arrivals.arrivals_stage(arrivals_raw(spark, folder), countries(spark, folder), DAY_ONE)
-    )
+    return arrivals.arrivals_fact(_stage(spark, folder))
 
 
 @query(f"WITH {ARRIVALS_SQL}, {FACT} SELECT * FROM fact")
@@ -198,7 +200,8 @@ SELECT date, CAST(day(d) AS INTEGER) AS day, CAST(week(d) AS INTEGER) AS week, C
 CAST(year(d) AS INTEGER) AS year, CAST(isodow(d) - 1 AS INTEGER) AS weekday FROM typed"""
 )
 def date_dim_union(spark, folder):
-    dates = arrivals.date_table(_fact(spark, folder))
+    # the stage holds the same dates as the distinct fact
+    dates = arrivals.date_table(_stage(spark, folder))
     return dates.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
 
 
@@ -232,7 +235,7 @@ def avg_by_group(spark, folder):
     )
 
 
-SPREAD = ", ".join(f"sum(CASE WHEN race = '{s}' THEN n END) AS {s}" for s in SEGMENTS)
+SPREAD = ", ".join(f"CAST(sum(CASE WHEN race = '{s}' THEN n END) AS BIGINT) AS {s}" for s in SEGMENTS)
 TUPLE = "state_code, state, male_population, female_population, total_population, number_of_veterans, foreign_born"
 
 

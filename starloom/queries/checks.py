@@ -12,14 +12,14 @@ from starloom.sinks.layout import register_views
 
 def _row(name: str, actual: str, expected: int) -> str:
     return (
-        f"SELECT '{name}' AS \"check\", CAST(({actual}) AS BIGINT) AS actual, CAST({expected} AS BIGINT) AS expected, "
+        f"SELECT '{name}' AS \"check\", CAST(CAST(({actual}) AS BIGINT) AS VARCHAR) AS actual, '{expected}' AS expected, "
         f"coalesce(({actual}) = {expected}, false) AS passed"
     )
 
 
 CHECKS = [
-    {"check_sql": "SELECT try_divide(count(*), count(*)) FROM checked_users", "expected_result": 1},
-    {"check_sql": "SELECT try_divide(count(*), count(*)) FROM checked_users WHERE user_id < 0", "expected_result": 1},
+    {"check_sql": "SELECT CAST(try_divide(count(*), count(*)) AS INT) FROM checked_users", "expected_result": 1},
+    {"check_sql": "SELECT CAST(try_divide(count(*), count(*)) AS INT) FROM checked_users WHERE user_id < 0", "expected_result": 1},
     {"check_sql": "SELECT count(*) FROM checked_users WHERE user_id IS NULL", "expected_result": 0},
     {"check_sql": "SELECT count(*) FROM checked_songs WHERE p_partkey IS NULL", "expected_result": 0},
 ]

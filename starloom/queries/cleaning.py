@@ -8,7 +8,7 @@ from starloom.functions import text, timeparts
 from starloom.operators.clean import cast_columns, like_prefix, matched_only
 from starloom.plans import lookups, music
 from starloom.queries.inputs import LOG_SQL, PLAY, activity_log
-from starloom.queries.registry import plain, query, table
+from starloom.queries.registry import as_text, plain, query, table
 
 
 @query("SELECT c_custkey AS customer_id, c_name AS name, c_mktsegment AS segment FROM customer")
@@ -20,7 +20,7 @@ def scan_project(spark, folder):
 
 @query(
     """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(trunc(o_totalprice) AS INTEGER) AS o_totalprice,
-CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority, CAST(NULL AS INTEGER) AS o_orderstatus FROM orders"""
+CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority, CAST(NULL AS VARCHAR) AS o_orderstatus FROM orders"""
 )
 def cast_columns_by_name(spark, folder):
     """Double to whole number, text to number, and text that is no number to NULL."""
@@ -28,7 +28,7 @@ def cast_columns_by_name(spark, folder):
         "o_orderkey", "o_totalprice", F.substring("o_orderpriority", 1, 1).alias("priority"), "o_orderstatus"
     )
     kinds = {"o_orderkey": "string", "o_totalprice": "int", "priority": "int", "o_orderstatus": "int"}
-    return cast_columns(orders, kinds)
+    return as_text(cast_columns(orders, kinds), "o_orderstatus")
 
 
 @query("SELECT p_partkey AS part_key, p_name AS Part_Name, p_brand AS Brand_of_part FROM part")
@@ -39,9 +39,9 @@ def normalize_headers(spark, folder):
     return text.clean_headers(messy)
 
 
-@query(f"WITH {LOG_SQL} SELECT event_id, userId, song FROM log WHERE page = 'purchase'")
+@query(f"WITH {LOG_SQL} SELECT event_id, CAST(userId AS VARCHAR) AS userId, song FROM log WHERE page = 'purchase'")
 def filter_action(spark, folder):
-    return music.plays(activity_log(spark, folder), PLAY).select("event_id", "userId", "song")
+    return as_text(music.plays(activity_log(spark, folder), PLAY).select("event_id", "userId", "song"), "userId")
 
 
 @query(f"WITH {LOG_SQL} SELECT event_id, artist FROM log WHERE event_id % 3 <> 0 AND artist IS NOT NULL")
@@ -107,7 +107,7 @@ def epoch_s_trunc(spark, folder):
 
 @query(
     """SELECT l_orderkey, l_linenumber, count(*) AS lines,
-sum(date_diff('day', CAST(l_shipdate AS DATE), DATE '2002-01-01')) AS days_left FROM lineitem GROUP BY 1, 2"""
+CAST(sum(date_diff('day', CAST(l_shipdate AS DATE), DATE '2002-01-01')) AS BIGINT) AS days_left FROM lineitem GROUP BY 1, 2"""
 )
 def days_between(spark, folder):
     left = F.datediff(F.lit("2002-01-01").cast("date"), F.col("l_shipdate").cast("date"))

@@ -8,7 +8,7 @@ from starloom.functions.timeparts import epoch_ms_to_ts
 from starloom.operators.keys import dense_ids, gap_ids
 from starloom.plans import music, reports
 from starloom.queries.inputs import LOG_SQL, META_SQL, PLAY, activity_log, song_metadata
-from starloom.queries.registry import plain, query, table
+from starloom.queries.registry import as_text, plain, query, table
 
 BASE = f"WITH {LOG_SQL},\n{META_SQL}\n"
 STAMP = "make_timestamp(ts * 1000)"
@@ -142,7 +142,7 @@ def songplay_md5_key(spark, folder):
 
 @query(
     f"""{BASE} SELECT strftime(make_timestamp(l.ts * 1000), '%Y-%m-%d %H:%M:%S') AS start_time,
-l.userId AS user_id, l.level, m.song_id, m.artist_id, l.sessionId AS session_id, l.location,
+CAST(l.userId AS VARCHAR) AS user_id, l.level, m.song_id, m.artist_id, l.sessionId AS session_id, l.location,
 l.userAgent AS user_agent
 FROM log l JOIN meta m ON l.song = m.title JOIN meta a ON a.artist_id = m.artist_id
 WHERE l.page = 'purchase'"""
@@ -150,9 +150,10 @@ WHERE l.page = 'purchase'"""
 def songplays_title_join(spark, folder):
     """Title join, then artists with duplicates: every play repeats per song and artist row."""
     metadata = song_metadata(spark, folder)
-    return music.songplays_lake(
+    fact = music.songplays_lake(
         activity_log(spark, folder), music.songs_dim(metadata, "all"), music.artists_dim(metadata, "all"), PLAY
     )
+    return as_text(fact, "user_id")
 
 
 @query(
@@ -162,18 +163,17 @@ def songplays_title_join(spark, folder):
 played AS (
   SELECT *, row_number() OVER (PARTITION BY ts, userId ORDER BY level, song, artist, length, sessionId,
     location, userAgent) AS rn FROM log WHERE page = 'purchase')
-SELECT make_timestamp(l.ts * 1000) AS start_time, l.userId AS user_id, l.level, m.song_id, m.artist_id,
+SELECT make_timestamp(l.ts * 1000) AS start_time, CAST(l.userId AS VARCHAR) AS user_id, l.level, m.song_id, m.artist_id,
 l.sessionId AS session_id, l.location, l.userAgent AS user_agent
 FROM played l LEFT JOIN lookup m ON l.song = m.title AND l.artist = m.artist_name
 AND l.length = m.duration AND m.rn = 1 WHERE l.rn = 1"""
 )
 def songplays_lookup_nullable(spark, folder):
     metadata = song_metadata(spark, folder)
-    return _time(
-        music.songplays_keyed(
-            activity_log(spark, folder), music.songs_dim(metadata, "first"), music.artists_dim(metadata, "first"), PLAY
-        )
+    fact = music.songplays_keyed(
+        activity_log(spark, folder), music.songs_dim(metadata, "first"), music.artists_dim(metadata, "first"), PLAY
     )
+    return as_text(_time(fact), "user_id")
 
 
 HOURLY = f"""hourly AS (
@@ -182,9 +182,10 @@ HOURLY = f"""hourly AS (
   FROM log l JOIN meta m ON l.song = m.title)"""
 
 
-@query(f"{BASE}, {HOURLY} SELECT * FROM hourly")
+@query(f"{BASE}, {HOURLY} SELECT * REPLACE (CAST(user_id AS VARCHAR) AS user_id) FROM hourly")
 def songplays_hour_grain(spark, folder):
-    return _time(music.songplays_warehouse(activity_log(spark, folder), song_metadata(spark, folder)))
+    fact = music.songplays_warehouse(activity_log(spark, folder), song_metadata(spark, folder))
+    return as_text(_time(fact), "user_id")
 
 
 # -- keys ----------------------------------------------------------------------

@@ -14,7 +14,7 @@ from starloom.session import scratch_path
 
 
 @query(
-    """SELECT 'events' AS "table", (SELECT count(*) FROM events) AS rows, 6 AS cols
+    """SELECT 'events' AS "table", (SELECT count(*) FROM events) AS rows, 6::BIGINT AS cols
 UNION ALL SELECT 'lineitem', (SELECT count(*) FROM lineitem), 11
 UNION ALL SELECT 'orders', (SELECT count(*) FROM orders), 6"""
 )

@@ -32,6 +32,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def as_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Whole numbers that may be NULL, as text, so that both sides show them alike."""
+    return df.withColumns({c: df[c].cast("string") for c in columns})
+
+
 def plain(ts: Column) -> Column:
     """Timestamp without zone, as the given tables hold it."""
     return ts.cast("timestamp_ntz")

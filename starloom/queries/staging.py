@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.frames import conform, outer_union
 from starloom.queries.inputs import LOG_SQL, META_SQL, activity_log, song_metadata
-from starloom.queries.registry import query, table
+from starloom.queries.registry import as_text, query, table
 from starloom.schemas import EVENT_CSV, contract
 from starloom.session import scratch_path
 from starloom.sinks.loads import export_csv
@@ -61,7 +61,7 @@ def scan_csv_semicolon(spark, folder):
 
 @query(
     f"""WITH {LOG_SQL} SELECT artist, firstName, gender, CAST(event_id % 1000 AS INTEGER) AS itemInSession, lastName,
-length, level, location, CAST(sessionId AS INTEGER) AS sessionId, song, CAST(userId AS INTEGER) AS userId
+length, level, location, CAST(sessionId AS INTEGER) AS sessionId, song, CAST(userId AS VARCHAR) AS userId
 FROM log WHERE artist IS NOT NULL"""
 )
 def scan_event_csvs(spark, folder):
@@ -69,7 +69,7 @@ def scan_event_csvs(spark, folder):
     path = scratch_path(spark, "event-csv")
     log = activity_log(spark, folder).withColumn("itemInSession", F.col("event_id") % 1000)
     export_csv(conform(log, EVENT_CSV), path)
-    return files.read_event_csvs(spark, path)
+    return as_text(files.read_event_csvs(spark, path), "userId")
 
 
 # -- JSON staging ----------------------------------------------------------------
@@ -108,7 +108,7 @@ def stage_run_month(spark, folder):
 
 
 @query(
-    """SELECT event_id, CASE WHEN event_id % 10 > 1 THEN CAST(regexp_extract(props, '[0-9]+') AS INTEGER) END AS k,
+    """SELECT event_id, CASE WHEN event_id % 10 > 1 THEN CAST(CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS VARCHAR) END AS k,
 CASE event_id % 10 WHEN 0 THEN replace(props, '}', '') WHEN 1 THEN '{"k": "x"}' END AS text FROM events"""
 )
 def stage_rejects(spark, folder):
@@ -118,7 +118,7 @@ def stage_rejects(spark, folder):
         """CASE event_id % 10 WHEN 0 THEN replace(props, '}', '') WHEN 1 THEN '{"k": "x"}' ELSE props END AS line""",
     )
     good, bad = staging.split_rejects(broken, "line", contract("k int"), keep=["event_id"])
-    return outer_union(good, bad)
+    return as_text(outer_union(good, bad), "k")
 
 
 # -- unions ----------------------------------------------------------------------
@@ -137,7 +137,7 @@ def outer_union_by_name(spark, folder):
 
 
 @query(
-    """SELECT event_id, CASE WHEN event_id % 2 = 0 OR event_id % 3 <> 0 THEN CAST(user_id AS INTEGER) END AS user_id,
+    """SELECT event_id, CASE WHEN event_id % 2 = 0 OR event_id % 3 <> 0 THEN CAST(user_id AS VARCHAR) END AS user_id,
 CASE WHEN event_id % 2 = 0 THEN event_type END AS event_type FROM events"""
 )
 def monthly_type_drift(spark, folder):
@@ -147,6 +147,7 @@ def monthly_type_drift(spark, folder):
     events.where("event_id % 2 = 1").selectExpr(
         "event_id", "if(event_id % 3 = 0, 'unknown', cast(user_id as string)) AS user_id", "value"
     ).write.parquet(f"{root}/m2")
-    return files.read_monthly(
+    months = files.read_monthly(
         spark, [f"{root}/m1", f"{root}/m2"], contract("event_id bigint, user_id int, event_type string")
     )
+    return as_text(months, "user_id")
