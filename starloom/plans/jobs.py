@@ -13,6 +13,7 @@ from starloom.plans import arrivals, lookups, music, quality
 from starloom.session import pin_utc
 from starloom.sinks.loads import export_csv, land_raw, load
 from starloom.sources import files
+from starloom.sources.staging import read_lines, stage_by_path
 
 MONTHS = ["year", "month"]
 
@@ -22,14 +23,30 @@ def _with_month(df: DataFrame) -> DataFrame:
     return df.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
 
 
-def stage_music(spark: SparkSession, logs: str, songs: str, out: str) -> tuple[DataFrame, DataFrame]:
-    """Parse the JSON sources once into staging tables; every later step reads those."""
-    log = load(music.typed_log(files.read_logs(spark, logs)), f"{out}/staging/events", "overwrite")
+def stage_music(
+    spark: SparkSession, logs: str, songs: str, out: str, log_paths: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Parse the JSON sources once into staging tables; every later step reads those.
+
+    ``log_paths`` lists one JSON path per log column, for logs whose keys do
+    not carry the column names.
+    """
+    if log_paths:
+        lines = stage_by_path(read_lines(spark, logs), "value", log_paths, schemas.ACTIVITY_LOG)
+    else:
+        lines = files.read_logs(spark, logs)
+    log = load(music.typed_log(lines), f"{out}/staging/events", "overwrite")
     return log, load(files.read_songs(spark, songs), f"{out}/staging/songs", "overwrite")
 
 
 def build_music_star(
-    spark: SparkSession, logs: str, songs: str, out: str, rules: str = "keyed", mode: str = "errorifexists"
+    spark: SparkSession,
+    logs: str,
+    songs: str,
+    out: str,
+    rules: str = "keyed",
+    mode: str = "errorifexists",
+    log_paths: list[str] | None = None,
 ) -> dict[str, DataFrame]:
     """Build the five tables below ``out``/tables under one of the rule sets of ``plans.music``.
 
@@ -37,7 +54,7 @@ def build_music_star(
     the written songs and artists.
     """
     pin_utc(spark)
-    log, metadata = stage_music(spark, logs, songs, out)
+    log, metadata = stage_music(spark, logs, songs, out, log_paths)
     played = music.plays(log)
     tables: dict[str, DataFrame] = {}
 

@@ -46,7 +46,7 @@ def min_date_filter(spark, folder):
     f"""WITH {ARRIVALS_SQL} SELECT cicid, {TO_DATE.format('arrdate')} AS arrdate_ts,
 CASE WHEN depdate <> 0 THEN {TO_DATE.format('depdate')} END AS depdate_ts FROM arrivals"""
 )
-def sas_day_to_date_text(spark, folder):
+def run_sas_day_to_date(spark, folder):
     raw = arrivals_raw(spark, folder).select(
         "cicid",
         sas_day_to_date(F.col("arrdate")).alias("arrdate_ts"),
@@ -113,7 +113,7 @@ def comment_extract(spark, folder):
     f"""WITH {ARRIVALS_SQL}, modes(id, mode) AS (VALUES (1, 'Air'), (2, 'Sea'), (3, 'Land'), (9, 'Not reported'))
 SELECT a.cicid, a.i94mode, m.mode FROM arrivals a JOIN modes m ON m.id = a.i94mode"""
 )
-def code_join_mode(spark, folder):
+def run_code_join(spark, folder):
     raw = arrivals_raw(spark, folder).select("cicid", "i94mode")
     return code_join(raw, arrivals.modes_table(spark), "i94mode", "mode_id")
 
@@ -240,7 +240,7 @@ TUPLE = "state_code, state, male_population, female_population, total_population
 
 
 @query(f"WITH {DEMOGRAPHICS_SQL} SELECT state_code AS State_Code, {SPREAD} FROM demo GROUP BY state_code")
-def pivot_sum_by_state(spark, folder):
+def run_pivot_sum(spark, folder):
     counts = demographics(spark, folder).withColumn("Count", F.col("Count").try_cast("int"))
     return pivot_sum(counts, ["State_Code"], "Race", "Count", SEGMENTS)
 

@@ -22,7 +22,7 @@ def scan_project(spark, folder):
     """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(trunc(o_totalprice) AS INTEGER) AS o_totalprice,
 CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority, CAST(NULL AS VARCHAR) AS o_orderstatus FROM orders"""
 )
-def cast_columns_by_name(spark, folder):
+def run_cast_columns(spark, folder):
     """Double to whole number, text to number, and text that is no number to NULL."""
     orders = table(spark, folder, "orders").select(
         "o_orderkey", "o_totalprice", F.substring("o_orderpriority", 1, 1).alias("priority"), "o_orderstatus"

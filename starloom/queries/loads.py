@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from starloom.queries.registry import query, table
+from starloom.schemas import contract
 from starloom.session import scratch_path
-from starloom.sinks.loads import insert_if_absent, load, read_as, upsert
+from starloom.sinks.loads import insert_if_absent, load, load_query, read_as, upsert
 
 COLUMNS = ["event_id", "user_id", "event_type", "value"]
 PICK = "event_id, user_id, event_type, value"
@@ -32,6 +33,14 @@ def append_load(spark, folder):
     return load(second, path, "append")
 
 
+@query("SELECT event_type AS label, CAST(event_id AS VARCHAR) AS code FROM events")
+def positional_load(spark, folder):
+    """Selected columns fill the table's columns by position, whatever they are called."""
+    table(spark, folder, "events").createOrReplaceTempView("loaded_events")
+    select = "SELECT event_type AS anything, event_id FROM loaded_events"
+    return load_query(spark, select, scratch_path(spark, "positional"), contract("label string, code string"))
+
+
 @query(f"WITH {BATCHES} SELECT * FROM two")
 def overwrite_load(spark, folder):
     first, second = _batches(spark, folder)
@@ -41,7 +50,7 @@ def overwrite_load(spark, folder):
 
 
 @query(f"WITH {BATCHES} SELECT * FROM one UNION ALL SELECT * FROM two WHERE event_id NOT IN (SELECT event_id FROM one)")
-def insert_if_absent_load(spark, folder):
+def run_insert_if_absent(spark, folder):
     """The second batch comes twice; only its new keys enter, once."""
     first, second = _batches(spark, folder)
     path = scratch_path(spark, "insert")

@@ -18,7 +18,7 @@ from starloom.session import scratch_path
 UNION ALL SELECT 'lineitem', (SELECT count(*) FROM lineitem), 11
 UNION ALL SELECT 'orders', (SELECT count(*) FROM orders), 6"""
 )
-def table_shape_report(spark, folder):
+def run_table_shape(spark, folder):
     return table_shape({name: table(spark, folder, name) for name in ("events", "lineitem", "orders")})
 
 
@@ -39,7 +39,7 @@ def max_value(spark, folder):
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
-def top_n_rows(spark, folder):
+def run_top_n(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
     return top_n(orders, [F.desc("o_totalprice"), "o_orderkey"], 10)
 
@@ -55,7 +55,7 @@ round((count(*) - count({c})) * 100.0::DOUBLE / count(*), 2) AS percent FROM log
         for c in PROFILED
     )
 )
-def null_profile_report(spark, folder):
+def run_null_profile(spark, folder):
     return null_profile(activity_log(spark, folder).select(*PROFILED))
 
 
@@ -63,7 +63,7 @@ def null_profile_report(spark, folder):
     """SELECT l_orderkey, l_linenumber, count(*) AS count FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
 )
-def duplicate_keys(spark, folder):
+def run_duplicate_report(spark, folder):
     return duplicate_report(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 

@@ -12,17 +12,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    """Register a function (spark, folder) → DataFrame under its own name."""
+def query(sql: str):
+    """Register a function (spark, folder) → DataFrame under its name, without a leading ``run_``."""
 
     def register(build):
+        name = build.__name__.removeprefix("run_")
+
         def run(spark: SparkSession, folder: str) -> DataFrame:
             return build(pin_utc(spark), folder)
 
-        run.__name__, run.__doc__ = build.__name__, build.__doc__
-        QUERIES[build.__name__] = run
-        if sql is not None:
-            ORACLE[build.__name__] = sql
+        run.__name__, run.__doc__ = name, build.__doc__
+        QUERIES[name] = run
+        ORACLE[name] = sql
         return run
 
     return register

@@ -128,7 +128,7 @@ def stage_rejects(spark, folder):
     """SELECT event_id, event_type, NULL::DOUBLE AS value, user_id FROM events WHERE event_id % 2 = 0
 UNION ALL SELECT event_id, NULL, value, user_id FROM events WHERE event_id % 2 = 1"""
 )
-def outer_union_by_name(spark, folder):
+def run_outer_union(spark, folder):
     """Two halves of the events with different columns."""
     events = table(spark, folder, "events")
     even = events.where("event_id % 2 = 0").select("event_id", "event_type", "user_id")

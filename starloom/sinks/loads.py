@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.functions.text import clean_headers
 from starloom.operators.merge import absent_rows, upserted
@@ -39,6 +40,22 @@ def load(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: li
     return read_as(df, path)
 
 
+def load_query(
+    spark: SparkSession,
+    select: str,
+    path: str,
+    schema: T.StructType,
+    mode: str = "append",
+    partition_by: list[str] | None = None,
+) -> DataFrame:
+    """Load what a SELECT over registered views returns; its columns fill the table's by position."""
+    rows = spark.sql(select)
+    if len(rows.columns) != len(schema):
+        raise ValueError(f"{len(rows.columns)} selected columns for {len(schema)} in the table")
+    named = rows.toDF(*schema.names)
+    return load(named.select(*[F.col(f.name).cast(f.dataType) for f in schema]), path, mode, partition_by)
+
+
 def read_as(df: DataFrame, path: str) -> DataFrame:
     """The table at ``path`` under the columns of ``df``; works for a table without rows, too."""
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

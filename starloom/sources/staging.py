@@ -48,6 +48,11 @@ def split_rejects(
     return good, bad
 
 
+def stage_with_rejects(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) of the JSON lines at ``path``."""
+    return split_rejects(read_lines(spark, path), "value", schema)
+
+
 def of_month(df: DataFrame, ts: str, run_date: str) -> DataFrame:
     """Rows of the calendar month of ``run_date``, as a range that reaches the scan."""
     kind = df.schema[ts].dataType

@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 
 from starloom.plans import jobs, lookups
 from starloom.plans.quality import QualityError
-from starloom.schemas import ARRIVALS, MUSIC_STAR
+from starloom.schemas import ACTIVITY_LOG, ARRIVALS, MUSIC_STAR
 from starloom.streaming.hourly import run_hourly
 from tests.test_arrivals import arrival
 from tests.test_functions import LABELS
@@ -64,6 +64,19 @@ def test_music_star(spark, music_files, rules, plays):
     assert again["songplays"].count() == plays
 
 
+def test_log_staged_by_json_paths(spark, music_files):
+    renamed = {"userId": "$.who.id", "page": "$.p"}
+    paths = [renamed.get(name, f"$.{name}") for name in ACTIVITY_LOG.names]
+    line = json.loads(play(MS))
+    line["who"], line["p"] = {"id": line.pop("userId")}, line.pop("page")
+    write(music_files / "nested/d.json", json.dumps(line))
+    out = str(music_files / "nested-out")
+    tables = jobs.build_music_star(
+        spark, str(music_files / "nested"), str(music_files / "song"), out, "keyed", log_paths=paths
+    )
+    assert [r["user_id"] for r in tables["songplays"].collect()] == [7]
+
+
 def test_unknown_rules(spark, music_files):
     with pytest.raises(ValueError):
         jobs.build_music_star(spark, str(music_files / "log/2018/11"), str(music_files / "song"), str(music_files / "o"), "x")

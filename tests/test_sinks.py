@@ -38,6 +38,18 @@ def test_append_overwrite_and_unknown_mode(spark, path):
         loads.load(df, path, "replace")
 
 
+def test_load_query_fills_columns_by_position(spark, path):
+    frame(spark, [(1, 2, "a")]).createOrReplaceTempView("staged")
+    schema = contract("id bigint, label string")
+    for mode, expected in (("append", 1), ("append", 2), ("overwrite", 1)):
+        table = loads.load_query(spark, "SELECT k, v FROM staged", path, schema, mode)
+        assert rows(table) == [(1, "a")] * expected
+    with pytest.raises(ValueError):
+        loads.load_query(spark, "SELECT k FROM staged", path, schema)
+    with pytest.raises(ValueError):
+        loads.load_query(spark, "SELECT k, v FROM staged", path, schema, "merge")
+
+
 def test_replace_partitions_leaves_the_others(spark, path):
     loads.load(frame(spark, [(1, 1, "a"), (2, 2, "b")]), path, partition_by=["m"])
     loads.replace_partitions(frame(spark, [(9, 2, "z")]), path, ["m"])

@@ -108,6 +108,12 @@ def test_rejects_lose_no_row(lines):
     assert rows(bad) == [(1, '{"k": "bad"}'), (2, "{broken")]
 
 
+def test_rejects_of_files(spark, tmp_path):
+    write(tmp_path / "x.json", "\n".join(LINES))
+    good, bad = staging.stage_with_rejects(spark, str(tmp_path), schemas.contract("k int"))
+    assert (good.count(), bad.count()) == (2, 2)
+
+
 def test_month_filter_reaches_the_scan(spark, tmp_path):
     spark.sql(
         "SELECT explode(sequence(timestamp_ntz'2024-01-30', timestamp_ntz'2024-03-02', interval 1 day)) AS ts"
