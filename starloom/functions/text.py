@@ -12,10 +12,11 @@ from starloom.operators.dedup import last_per_key
 NULL_WORDS = ["NaN", "NONE", "Null", "null", "None"]
 
 # Fixed formats of the label file: group 1 is the code, group 2 its label. A quote
-# inside a label is written twice.
-COUNTRY_CODES = r"(\d{3})\s+=\s+'((?:[^']|'')*)'"
-STATE_CODES = r"'(\w{2})'\s*=\s*'((?:[^']|'')*)'"
-CITY_CODES = r"'(\w{3})'\s*=\s*'((?:[^']|'')*)'"
+# inside a label is written twice. The possessive quantifiers keep the matcher from
+# recursing, however long the label.
+COUNTRY_CODES = r"(\d{3})\s+=\s+'([^']*+(?:''[^']*+)*+)'"
+STATE_CODES = r"'(\w{2})'\s*=\s*'([^']*+(?:''[^']*+)*+)'"
+CITY_CODES = r"'(\w{3})'\s*=\s*'([^']*+(?:''[^']*+)*+)'"
 BLOCK_COMMENTS = r"/\*\s+(.*?)\*/"
 # Two port codes that look like state codes.
 PORTS_AMONG_STATES = ["AG", "NK"]

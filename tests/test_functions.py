@@ -84,6 +84,13 @@ def test_the_later_text_wins(spark):
     ]
 
 
+def test_a_long_label_is_read_whole(spark):
+    label = "long ''quoted'' text " * 20_000
+    texts = spark.createDataFrame([("f", f"'ABC' = '{label}' 'DEF' = 'open")], "file string, value string")
+    found = text.extract_codes(texts, "value", text.CITY_CODES, ["file"]).collect()
+    assert [(r["id"], r["label"]) for r in found] == [("ABC", label.rstrip().replace("''", "'"))]
+
+
 def test_comments(spark):
     texts = spark.createDataFrame([("f", LABELS)], "file string, value string")
     got = [r[0] for r in text.extract_comments(texts, "value").collect()]
