@@ -9,7 +9,7 @@ from starloom.functions import text
 from starloom.functions.timeparts import date_to_sas_day, sas_day_to_date, time_parts
 from starloom.operators.clean import cast_columns, not_before
 from starloom.operators.frames import literal_table, pivot_sum, sum_numeric
-from starloom.operators.joins import code_join, role_join
+from starloom.operators.joins import label_join, role_join
 from starloom.schemas import DEMOGRAPHICS_COUNTS
 
 # Meaning of the mode and visa codes.
@@ -47,16 +47,15 @@ def arrivals_stage(raw: DataFrame, countries: DataFrame, first_day: str = FIRST_
 
     Rows drop out that lack a departure, lie before ``first_day`` or carry an
     unknown mode, visa or country code. The cheap row filters run before the
-    joins; the four joins meet code lists only.
+    joins, and the joins meet code lists only.
     """
-    spark = raw.sparkSession
     clean = text.null_words(raw)
     recent = not_before(clean, ["arrdate", "depdate"], date_to_sas_day(F.lit(first_day).cast("date")))
     dated = recent.withColumns(
         {"arrdate_ts": sas_day_to_date(F.col("arrdate")), "depdate_ts": sas_day_to_date(F.col("depdate"))}
     )
-    coded = code_join(dated, modes_table(spark), "i94mode", "mode_id")
-    coded = code_join(coded, visas_table(spark), "i94visa", "visa_id")
+    coded = label_join(dated, MODES, "i94mode", "mode")
+    coded = label_join(coded, VISAS, "i94visa", "visa")
     roles = {"i94cit": "i94cit_country", "i94res": "i94res_country"}
     return role_join(coded, countries, roles, "country_id", "country")
 

@@ -23,7 +23,6 @@ from starloom.queries.inputs import (
     temperatures,
 )
 from starloom.queries.registry import query, table
-from starloom.session import materialize
 
 FIRST = f"date_diff('day', DATE '1960-01-01', DATE '{DAY_ONE}')"
 TO_DATE = "strftime(DATE '1960-01-01' + CAST({} AS INTEGER), '%Y-%m-%d')"
@@ -262,7 +261,7 @@ FROM fact f JOIN cities c ON c.city_id = 'X' || substr(f.i94port, 2) WHERE c.st
 def star_weekday_by_state(spark, folder):
     """Arrivals per weekday at the ports of one state."""
     ports = F.concat(F.lit("X"), F.substring("i94port", 2, 2))
-    # the date dimension is built from the fact, so the fact is written once, as the job does
-    fact = materialize(_fact(spark, folder).withColumn("i94port", ports), "fact")
+    stage = _stage(spark, folder).withColumn("i94port", ports)
     cities = arrivals.cities_table(label_lines(spark, folder), ["c_custkey"])
-    return reports.arrivals_by_weekday(fact, arrivals.date_table(fact), cities, "MA")
+    # the stage holds the same dates as the distinct fact, and needs two columns for them
+    return reports.arrivals_by_weekday(arrivals.arrivals_fact(stage), arrivals.date_table(stage), cities, "MA")

@@ -24,7 +24,8 @@ def write_bucketed(
     """Table bucketed by a join key and sorted inside the buckets.
 
     Two tables bucketed alike join on that key without a shuffle. For large
-    tables that are joined again and again; small ones are broadcast anyway.
+    tables that are joined again and again; small ones are broadcast anyway,
+    and a key with hot values belongs into ``sliced_join`` instead.
     """
     (
         df.repartition(buckets, *key)

@@ -137,8 +137,8 @@ def land_raw(tables: dict[str, DataFrame], root: str, mode: str = "errorifexists
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header and every value in quotes."""
-    df.write.mode(mode).option("header", True).option("quoteAll", True).csv(path)
+    """CSV with a header and every value in quotes; a quote in a value is doubled."""
+    df.write.mode(mode).option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
 
 
 def check_table_set(spark: SparkSession, root: str) -> set[str]:

@@ -30,8 +30,8 @@ def read_songs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, sep: str = ",", schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header; every column a string unless a schema is given."""
-    reader = spark.read.option("header", True).option("sep", sep)
+    """CSV with a header; every column a string unless a schema is given. A quote in a value is doubled."""
+    reader = spark.read.option("header", True).option("sep", sep).option("escape", '"')
     return (reader.schema(schema) if schema else reader).csv(path)
 
 

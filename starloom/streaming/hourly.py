@@ -40,14 +40,13 @@ def run_hourly(
     )
     insert_if_absent(plays, f"{root}/songplays", ["songplay_id", *MONTHS], ["session_id"], MONTHS)
 
-    fact = read_as(plays, f"{root}/songplays")
-    year, month = (int(part) for part in run_date.split("-")[:2])
-    this_month = fact.where((F.col("year") == year) & (F.col("month") == month))
+    # inserting needs the times of this run's plays only; the other modes rebuild from the whole fact
+    timed = plays if dim_mode == "insert_if_absent" else read_as(plays, f"{root}/songplays")
     dims = {
         "users": (music.users_dim(played, "first_seen"), ["user_id"], None),
         "songs": (music.songs_dim(metadata, "first"), ["song_id"], None),
         "artists": (music.artists_dim(metadata, "first"), ["artist_id"], None),
-        "time": (music.time_dim(this_month, F.col("start_time"), weekday="sunday0"), ["start_time", *MONTHS], MONTHS),
+        "time": (music.time_dim(timed, F.col("start_time"), weekday="sunday0"), ["start_time", *MONTHS], MONTHS),
     }
     for name, (rows, keys, partition_by) in dims.items():
         if dim_mode == "insert_if_absent":

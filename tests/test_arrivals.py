@@ -100,5 +100,5 @@ def test_weekday_report(spark, raw, countries):
 def test_code_lists_meet_by_broadcast_only(raw, countries):
     plan = arrivals.arrivals_stage(raw, arrivals.modes_table(raw.sparkSession).selectExpr(
         "mode_id AS country_id", "mode AS country"))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastHashJoin") == 4
+    assert plan.count("BroadcastHashJoin") == 2
     assert "Exchange hashpartitioning" not in plan and "Python" not in plan

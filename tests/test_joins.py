@@ -77,6 +77,12 @@ def test_code_join_compares_numbers_with_text(spark):
     assert rows(joined) == [(1, 582.0, "mexico"), (2, 7.0, "bond")]
 
 
+def test_label_join_equals_a_join_with_the_list(spark):
+    fact = spark.createDataFrame([(1, 1.0), (2, 9.0), (3, 4.0), (4, None), (5, 1.5)], "id int, code double")
+    labelled = joins.label_join(fact, {1: "Air", 9: "Not reported"}, "code", "mode")
+    assert rows(labelled) == [(1, 1.0, "Air"), (2, 9.0, "Not reported")]
+
+
 def test_role_join_labels_each_role_and_drops_unknown_codes(spark):
     fact = spark.createDataFrame([(1, 10.0, 20.0), (2, 10.0, 99.0), (3, None, 10.0)], "id int, a double, b double")
     codes = spark.createDataFrame([("10", "ten"), ("20", "twenty")], "c string, label string")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from starloom.schemas import contract
 from starloom.sinks import layout, loads
+from starloom.sources import files
 
 
 def rows(df):
@@ -93,9 +94,11 @@ def test_few_files_per_partition(spark, path, tmp_path):
 
 
 def test_quoted_csv(spark, path, tmp_path):
-    loads.export_csv(spark.createDataFrame([("a,b", 1)], "s string, i int").coalesce(1), path)
+    values = [('a,b "c" \\', 1)]
+    loads.export_csv(spark.createDataFrame(values, "s string, i int").coalesce(1), path)
     text = next((tmp_path / "t").glob("*.csv")).read_text()
-    assert text == '"s","i"\n"a,b","1"\n'
+    assert text == '"s","i"\n"a,b ""c"" \\","1"\n'
+    assert rows(files.read_csv(spark, path, schema=contract("s string, i int"))) == values
 
 
 def test_land_raw_cleans_headers(spark, tmp_path):
