@@ -21,7 +21,7 @@ def epoch_ms_to_text(ms: Column) -> Column:
 
 def epoch_ms_to_second(ms: Column) -> Column:
     """Whole seconds: the milliseconds are cut, not rounded."""
-    return F.timestamp_seconds(F.floor(ms / 1000))
+    return F.timestamp_seconds(F.call_function("div", ms, F.lit(1000)))
 
 
 def sas_day_to_date(days: Column) -> Column:

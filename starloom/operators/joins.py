@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 # A side is broadcast only when Catalyst estimates it below this many bytes.
 BROADCAST_BYTES = 10 << 20
 # A key with more rows than this on the left is cut into slices of about this many rows.
-HOT_ROWS = 4_000_000
-# Keys to cut, largest first. Keys beyond it are joined whole, so the result never depends on it.
-HOT_KEYS = 1000
+HOT_ROWS = 1_000_000
+# Keys to cut, largest first: a few MB at most. A key beyond it owns less than one row in
+# HOT_KEYS and is joined whole, so the result never depends on the number.
+HOT_KEYS = 100_000
 # Left rows without a key match nothing; they are only spread over the tasks.
 NULL_SLICES = 4096
 

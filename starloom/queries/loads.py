@@ -14,15 +14,15 @@ PICK = "event_id, user_id, event_type, value"
 
 
 def _batches(spark, folder):
-    """First: two of three events. Second: another two of three with changed values, so a third meet twice."""
-    events = table(spark, folder, "events").select(*COLUMNS)
-    first = events.where("event_id % 3 < 2")
-    second = events.where("event_id % 3 > 0").withColumn("value", F.col("value") + 1000)
-    return first, second
+    """The events up to the 20th, then those from the 11th on with changed values: ten days come twice."""
+    events = table(spark, folder, "events")
+    first = events.where("ts < timestamp_ntz'2024-01-21'").select(*COLUMNS)
+    second = events.where("ts >= timestamp_ntz'2024-01-11'").select(*COLUMNS)
+    return first, second.withColumn("value", F.col("value") + 1000)
 
 
-BATCHES = f"""one AS (SELECT {PICK} FROM events WHERE event_id % 3 < 2),
-two AS (SELECT event_id, user_id, event_type, value + 1000 AS value FROM events WHERE event_id % 3 > 0)"""
+BATCHES = f"""one AS (SELECT {PICK} FROM events WHERE ts < TIMESTAMP '2024-01-21'),
+two AS (SELECT event_id, user_id, event_type, value + 1000 AS value FROM events WHERE ts >= TIMESTAMP '2024-01-11')"""
 
 
 @query(f"WITH {BATCHES} SELECT * FROM one UNION ALL SELECT * FROM two")

@@ -12,6 +12,8 @@ from starloom.session import scratch_path
 from starloom.sinks.loads import export_csv
 from starloom.sources import files, staging
 
+MIDDLE = "2024-01-16"
+
 # -- readers, over the whole derived log and catalogue --------------------------
 
 
@@ -36,7 +38,7 @@ def scan_nested_json(spark, folder):
     path = scratch_path(spark, "songs")
     song_metadata(spark, folder).withColumns(
         {"a": F.lit("A"), "b": F.substring("title", -1, 1), "c": F.substring("song_id", -1, 1)}
-    ).write.partitionBy("a", "b", "c").json(path)
+    ).hint("rebalance", F.col("b"), F.col("c")).write.partitionBy("a", "b", "c").json(path)
     return files.read_songs(spark, path).select(
         "song_id", "title", "artist_id", "artist_name", "artist_location", "artist_latitude",
         "artist_longitude", "duration", "year",
@@ -56,7 +58,7 @@ def scan_csv_semicolon(spark, folder):
     path = scratch_path(spark, "ssv")
     suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_name", F.lit("a;b, c").alias("note"))
     suppliers.write.option("header", True).option("sep", ";").csv(path)
-    return files.read_csv(spark, path, sep=";")
+    return files.read_csv(spark, path, sep=";", schema=contract("s_suppkey string, s_name string, note string"))
 
 
 @query(
@@ -124,28 +126,32 @@ def stage_rejects(spark, folder):
 # -- unions ----------------------------------------------------------------------
 
 
+def _halves(spark, folder):
+    events = table(spark, folder, "events")
+    return events.where(f"ts < timestamp_ntz'{MIDDLE}'"), events.where(f"ts >= timestamp_ntz'{MIDDLE}'")
+
+
 @query(
-    """SELECT event_id, event_type, NULL::DOUBLE AS value, user_id FROM events WHERE event_id % 2 = 0
-UNION ALL SELECT event_id, NULL, value, user_id FROM events WHERE event_id % 2 = 1"""
+    """SELECT event_id, event_type, NULL::DOUBLE AS value, user_id FROM events WHERE ts < TIMESTAMP '2024-01-16'
+UNION ALL SELECT event_id, NULL, value, user_id FROM events WHERE ts >= TIMESTAMP '2024-01-16'"""
 )
 def run_outer_union(spark, folder):
-    """Two halves of the events with different columns."""
-    events = table(spark, folder, "events")
-    even = events.where("event_id % 2 = 0").select("event_id", "event_type", "user_id")
-    odd = events.where("event_id % 2 = 1").select("user_id", "value", "event_id")
-    return outer_union(even, odd)
+    """The two halves of the month with different columns."""
+    early, late = _halves(spark, folder)
+    return outer_union(early.select("event_id", "event_type", "user_id"), late.select("user_id", "value", "event_id"))
 
 
 @query(
-    """SELECT event_id, CASE WHEN event_id % 2 = 0 OR event_id % 3 <> 0 THEN CAST(user_id AS VARCHAR) END AS user_id,
-CASE WHEN event_id % 2 = 0 THEN event_type END AS event_type FROM events"""
+    """SELECT event_id, CASE WHEN ts < TIMESTAMP '2024-01-16' OR event_type <> 'error' THEN CAST(user_id AS VARCHAR) END
+AS user_id, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN event_type END AS event_type FROM events"""
 )
 def monthly_type_drift(spark, folder):
     """Two Parquet files that disagree on a column's type, brought to one contract."""
-    events, root = table(spark, folder, "events"), scratch_path(spark, "monthly")
-    events.where("event_id % 2 = 0").select("event_id", "user_id", "event_type").write.parquet(f"{root}/m1")
-    events.where("event_id % 2 = 1").selectExpr(
-        "event_id", "if(event_id % 3 = 0, 'unknown', cast(user_id as string)) AS user_id", "value"
+    early, late = _halves(spark, folder)
+    root = scratch_path(spark, "monthly")
+    early.select("event_id", "user_id", "event_type").write.parquet(f"{root}/m1")
+    late.selectExpr(
+        "event_id", "if(event_type = 'error', 'unknown', cast(user_id as string)) AS user_id", "value"
     ).write.parquet(f"{root}/m2")
     months = files.read_monthly(
         spark, [f"{root}/m1", f"{root}/m2"], contract("event_id bigint, user_id int, event_type string")

@@ -45,6 +45,17 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType, path: st
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{where}")
 
 
+def create_tables(spark: SparkSession, schemas: dict[str, T.StructType], root: str) -> None:
+    """Declare a set of tables, each in its folder below ``root``."""
+    for name, schema in schemas.items():
+        create_table(spark, name, schema, f"{root}/{name}")
+
+
+def drop_tables(spark: SparkSession, names: list[str]) -> None:
+    for name in names:
+        drop_table(spark, name)
+
+
 def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from starloom.schemas import contract
+from starloom.schemas import MUSIC_STAR, contract
 from starloom.sinks import layout, loads
 from starloom.sources import files
 
@@ -141,6 +141,16 @@ def test_create_and_drop_twice(spark, path):
         layout.drop_table(spark, "declared")
 
 
+def test_create_and_drop_a_schema(spark, path):
+    star = {f"star_{name}": schema for name, schema in MUSIC_STAR.items()}
+    for _ in range(2):
+        layout.create_tables(spark, star, path)
+    assert spark.table("star_users").columns == MUSIC_STAR["users"].names
+    assert spark.table("star_songplays").count() == 0
+    layout.drop_tables(spark, list(star))
+    assert not spark.catalog.tableExists("star_users")
+
+
 def test_views(spark):
     layout.register_views({"v_one": spark.range(3)})
     assert spark.sql("SELECT count(*) FROM v_one").collect()[0][0] == 3
