@@ -53,17 +53,19 @@ def plays_by_user(
 
 # The same report in SQL, for views registered under the table names.
 PLAYS_BY_USER_SQL = """
-SELECT p.user_id, u.last_name,
-       count(DISTINCT p.song_id) AS songs_played,
-       count(DISTINCT p.artist_id) AS artists_played
-FROM songplays p
-JOIN users u ON u.user_id = p.user_id
-JOIN songs s ON s.song_id = p.song_id
-JOIN artists a ON a.artist_id = p.artist_id
-JOIN time t ON t.start_time = p.start_time
-WHERE t.month = {month}
-GROUP BY p.user_id, u.last_name
-ORDER BY songs_played DESC, artists_played DESC, p.user_id, u.last_name
+WITH heard AS (
+  SELECT DISTINCT user_id, song_id, artist_id
+  FROM songplays
+  WHERE start_time IN (SELECT start_time FROM time WHERE month = {month})
+    AND song_id IN (SELECT song_id FROM songs)
+    AND artist_id IN (SELECT artist_id FROM artists)
+), names AS (
+  SELECT DISTINCT user_id, last_name FROM users
+)
+SELECT user_id, last_name, count(DISTINCT song_id) AS songs_played, count(DISTINCT artist_id) AS artists_played
+FROM heard JOIN names USING (user_id)
+GROUP BY ALL
+ORDER BY songs_played DESC, artists_played DESC, user_id, last_name
 """
 
 
