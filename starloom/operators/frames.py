@@ -44,8 +44,9 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def duplicate_report(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that occur more than once, with their row counts."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).where("count > 1")
+    """Keys that occur more than once, with their row counts, most frequent first."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).where("count > 1")
+    return counts.orderBy(F.desc("count"), *keys)
 
 
 def table_shape(tables: dict[str, DataFrame]) -> DataFrame:

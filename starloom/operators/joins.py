@@ -5,8 +5,9 @@ from __future__ import annotations
 import sys
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A side is broadcast only when Catalyst estimates it below this many bytes.
 BROADCAST_BYTES = 10 << 20
@@ -47,25 +48,24 @@ def dim_join(
     if (estimated_bytes(dim) if dim_bytes is None else dim_bytes) <= broadcast_bytes:
         return fact.join(F.broadcast(dim), on, how)
     if hot_rows is None:
-        return fact.join(dim, on, how)
+        return fact.join(_each_key_once(dim, on, how), on, how)
     return sliced_join(fact, dim, on, how, hot_rows, hot_from)
 
 
-def hot_keys(df: DataFrame, on: list[str], hot_rows: int) -> DataFrame | None:
-    """(key…, _slices) of the keys above ``hot_rows`` rows, or None when there are none.
+def _each_key_once(right: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Joins that only ask whether a key exists need it once, however often it occurs."""
+    return right.select(*on).distinct() if how in ("left_semi", "left_anti") else right
+
+
+def hot_keys(df: DataFrame, on: list[str], hot_rows: int) -> dict[tuple, int]:
+    """Number of slices for each key above ``hot_rows`` rows.
 
     The rows per key are counted with a map-side combined aggregate; at most
     ``HOT_KEYS`` counts reach the driver.
     """
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
-    hot = (
-        counts.dropna(subset=on)
-        .orderBy(F.col("_rows").desc(), *on)
-        .limit(HOT_KEYS)
-        .select(*on, F.ceil(F.col("_rows") / hot_rows).cast("bigint").alias("_slices"))
-    )
-    found = hot.collect()
-    return df.sparkSession.createDataFrame(found, hot.schema) if found else None
+    hottest = counts.dropna(subset=on).orderBy(F.col("_rows").desc(), *on).limit(HOT_KEYS)
+    return {tuple(row[c] for c in on): -(-row["_rows"] // hot_rows) for row in hottest.collect()}
 
 
 def sliced_join(
@@ -76,39 +76,52 @@ def sliced_join(
     hot_rows: int = HOT_ROWS,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Shuffle join in which a hot left key is cut into slices of about ``hot_rows`` rows.
-
-    The keys are counted in one pass over ``left``, or over ``hot_from`` where
-    the caller has the same keys at hand more cheaply. A hot left row picks its
-    slice from its content and the partition it is read from: a rerun task puts
-    it in the same place, and equal rows from different partitions still
-    spread. The matching right rows are repeated once per slice. Valid for
-    joins that keep left rows: inner, left, left_semi, left_anti.
+    """Shuffle join in which a hot key is cut into slices of about ``hot_rows`` rows.
+
+    The keys are counted in one pass over each side; ``hot_from`` replaces
+    ``left`` there where the caller has the same keys at hand more cheaply. A
+    row of a hot key picks its slice from its content and the partition it is
+    read from: a rerun task puts it in the same place, and equal rows from
+    different partitions still spread. The matching rows of the other side are
+    repeated once per slice. Right rows are cut in inner joins only; the other
+    forms, which keep left rows, need them once per key.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type <{how}> would repeat right rows")
-    hot = hot_keys(left if hot_from is None else hot_from, on, hot_rows)
-    whole = F.lit(0).cast("bigint")
-    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in left.columns])
-    spread = F.when(F.lit(False), whole)
-    if how in ("inner", "left_semi"):
-        if hot is None:
-            return left.join(right, on, how)
-        left = left.dropna(subset=on)
+    right = _each_key_once(right, on, how)
+    lefts = hot_keys(left if hot_from is None else hot_from, on, hot_rows)
+    rights = hot_keys(right, on, hot_rows) if how == "inner" else {}
+    hot = lefts.keys() | rights.keys()
+    drops_keyless = how in ("inner", "left_semi")
+    if drops_keyless and not hot:
+        return left.join(right, on, how)
+    if drops_keyless:
+        left, right = left.dropna(subset=on), right.dropna(subset=on)
+    one = F.lit(1).cast("bigint")
+    if hot:
+        schema = T.StructType([left.schema[c] for c in on]).add("_lefts", T.LongType()).add("_rights", T.LongType())
+        cuts = left.sparkSession.createDataFrame([(*k, lefts.get(k, 1), rights.get(k, 1)) for k in hot], schema)
+        # HOT_KEYS rows per side at most
+        left, right = (side.join(F.broadcast(cuts), on, "left") for side in (left, right))
     else:
-        keyless = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-        spread = F.when(keyless, F.pmod(row_hash, F.lit(NULL_SLICES).cast("bigint")))
-    if hot is None:
-        left = left.withColumn("_slice", spread.otherwise(whole))
-        right = right.withColumn("_slice", whole)
-    else:
-        # HOT_KEYS rows at most
-        hot = F.broadcast(hot)
-        cut = F.when(F.col("_slices").isNotNull(), F.pmod(row_hash, F.col("_slices"))).otherwise(whole)
-        left = left.join(hot, on, "left").withColumn("_slice", spread.otherwise(cut)).drop("_slices")
-        numbers = F.sequence(whole, F.coalesce("_slices", F.lit(1).cast("bigint")) - 1)
-        right = right.join(hot, on, "left").withColumn("_slice", F.explode(numbers)).drop("_slices")
-    return left.join(right, [*on, "_slice"], how).drop("_slice")
+        none = F.lit(None).cast("bigint")
+        left, right = (side.withColumns({"_lefts": none, "_rights": none}) for side in (left, right))
+    keyless = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+    lefts_here = F.coalesce("_lefts", F.when(keyless, F.lit(NULL_SLICES).cast("bigint")), one)
+    left = _placed(left, "_left", lefts_here, "_right", F.coalesce("_rights", one))
+    right = _placed(right, "_right", F.coalesce("_rights", one), "_left", F.coalesce("_lefts", one))
+    return left.join(right, [*on, "_left", "_right"], how).drop("_left", "_right")
+
+
+def _placed(side: DataFrame, own: str, own_slices: Column, other: str, other_slices: Column) -> DataFrame:
+    """Each row in one slice of its own side, repeated for every slice of the other side."""
+    zero = F.lit(0).cast("bigint")
+    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in side.columns])
+    return (
+        side.withColumn(own, F.when(own_slices > 1, F.pmod(row_hash, own_slices)).otherwise(zero))
+        .withColumn(other, F.explode(F.sequence(zero, other_slices - 1)))
+        .drop("_lefts", "_rights")
+    )
 
 
 def code_join(fact: DataFrame, codes: DataFrame, fact_key: str, code_key: str, how: str = "inner") -> DataFrame:

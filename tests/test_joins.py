@@ -45,6 +45,22 @@ def test_sliced_join_spreads_the_hot_key(spark):
     assert len(per_task) == 4 and max(r["count"] for r in per_task) < 2500
 
 
+def test_a_key_hot_on_both_sides_spreads(spark):
+    left = spark.range(600, numPartitions=4).select(F.lit("hot").alias("k"), "id")
+    right = spark.range(400, numPartitions=4).select(F.lit("hot").alias("k"), F.col("id").alias("other"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = joins.sliced_join(left, right, ["k"], hot_rows=50)
+        per_task = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert joined.distinct().count() == 600 * 400
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(r["count"] for r in per_task) == 600 * 400
+    assert len(per_task) == 4 and max(r["count"] for r in per_task) < 600 * 400 / 2
+
+
 def test_sliced_join_refuses_joins_that_keep_right_rows(sides):
     with pytest.raises(ValueError):
         joins.sliced_join(*sides, ["k"], "full")
@@ -66,8 +82,8 @@ def test_dim_join_broadcasts_only_below_the_checked_size(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # without hot keys nothing is left of the slices
-    assert "SortMergeJoin [k" in plain and "_slice" not in plain
-    assert "_slice" in sliced
+    assert "SortMergeJoin [k" in plain and "_left" not in plain
+    assert "_left" in sliced
 
 
 def test_code_join_compares_numbers_with_text(spark):
