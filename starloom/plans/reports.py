@@ -9,6 +9,8 @@ from starloom.operators.joins import dim_join
 
 # 31 days of 24 hours of 8 bytes, in a century of years
 HOURS_OF_A_MONTH_BYTES = 31 * 24 * 8 * 100
+# one date and one weekday per day, in a century
+DAYS_BYTES = 366 * 8 * 100
 
 
 def plays_by_user(
@@ -72,14 +74,15 @@ ORDER BY songs_played DESC, artists_played DESC, user_id, last_name
 def arrivals_by_weekday(fact: DataFrame, dates: DataFrame, cities: DataFrame, state: str) -> DataFrame:
     """Arrivals per weekday at the ports of one state.
 
-    The fact is counted per (date, port) before it meets the dimensions.
+    The fact is counted per (date, port) before it meets the dimensions; the
+    dates are as few as the calendar has days.
     """
     daily = fact.groupBy("arrdate_ts", "i94port").agg(F.count(F.lit(1)).alias("n"))
     ports = cities.where(F.col("state_code") == state).select(F.col("city_id").alias("i94port"))
     days = dates.select(F.col("date").alias("arrdate_ts"), "weekday")
-    there = dim_join(daily, ports, ["i94port"])
+    there = dim_join(daily, ports, ["i94port"], hot_rows=None)
     return (
-        dim_join(there, days, ["arrdate_ts"])
+        dim_join(there, days, ["arrdate_ts"], hot_rows=None, dim_bytes=DAYS_BYTES)
         .groupBy("weekday")
         .agg(F.sum("n").alias("arrivals"))
         .orderBy("weekday")
