@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -34,10 +36,10 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by the cluster.
+    """Folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Only a local session, where driver and executors share one disk, may fall
-    back to a temporary folder.
+    Only a local session, where driver and executors share one disk, may leave
+    it unset; its folder then goes when the process ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
@@ -47,6 +49,7 @@ def shared_folder(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _local_folders:
         _local_folders[app] = tempfile.mkdtemp(prefix="starloom-")
+        atexit.register(shutil.rmtree, _local_folders[app], ignore_errors=True)
     return _local_folders[app]
 
 
@@ -64,5 +67,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

