@@ -4,13 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import exact_dedup, simhash
+from starloom.llm import exact_dedup, mixing, secret_scan, simhash, url_filter, warc
 from starloom.llm.registry import ORACLE, QUERIES, query
 from starloom.queries.registry import table
+from starloom.session import scratch_path
 
 __all__ = ["ORACLE", "QUERIES"]
 
 
+@query(warc.SQL)
+def op1_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written to archives and read back."""
+    return warc.archived(table(spark, folder, "pages"), scratch_path(spark, "warc"))
+
+
+@query()
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in all documents."""
+    return secret_scan.digest(secret_scan.scanned(table(spark, folder, "documents")))
+
+
+@query(mixing.SQL)
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents mixed to the target weights of their sources."""
+    mixed = mixing.mixed(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query(url_filter.SQL)
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts on all pages."""
+    return url_filter.judged(table(spark, folder, "pages"))
+
+
 @query(
     r"""
 WITH texts AS (
