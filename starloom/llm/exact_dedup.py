@@ -137,4 +137,4 @@ def exact_groups(
 def drop_exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row per group of equal texts; the columns stay as they are."""
     placed = located(docs)
-    return keep_located(placed, exact_groups(docs, key, text).where("kept"))
+    return keep_located(placed, exact_groups(placed, key, text).where("kept"))

@@ -107,12 +107,11 @@ def mixed(
 
 def mix(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with each row as often as ``mixed`` takes it; the columns stay as they are."""
-    names = docs.columns
     placed = located(docs)
-    copies = mixed(docs if placed.columns == docs.columns else placed.select(*names), **settings)
-    taken = copies.where("copies > 0").select(F.col("copies").alias("__copies"), FILE, PLACE)
-    rows = placed.join(taken, [FILE, PLACE])
-    return rows.withColumn("__copy", F.explode(F.expr("sequence(1L, __copies)"))).select(*names)
+    copies = mixed(placed, **settings)
+    taken = copies.where("copies > 0").select(F.col("copies").alias("__located_copies"), FILE, PLACE)
+    repeated = placed.join(taken, [FILE, PLACE]).withColumn("__located_copy", F.explode(F.expr("sequence(1L, __located_copies)")))
+    return repeated.select(*[c for c in docs.columns if c not in (FILE, PLACE)])
 
 
 SQL = r"""

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import exact_dedup, mixing, secret_scan, simhash, url_filter, warc
+from starloom.llm import bpe, embedding_dedup, exact_dedup, lm_score, mixing, quality, secret_scan, simhash, url_filter, warc
 from starloom.llm.registry import ORACLE, QUERIES, query
 from starloom.queries.registry import table
 from starloom.session import scratch_path
 
 __all__ = ["ORACLE", "QUERIES"]
 
+TOKENIZER = "byte_bpe_50k.json"
+
 
 @query(warc.SQL)
 def op1_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,12 +21,26 @@ def op1_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(table(spark, folder, "pages"), scratch_path(spark, "warc"))
 
 
+@query()
+def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected grade, tail probability and selection of all documents, after a fit on a sample of the labels."""
+    docs = table(spark, folder, "documents")
+    return quality.graded(docs, quality.fit(docs, table(spark, folder, "labels")), ["doc_id"])
+
+
 @query()
 def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in all documents."""
     return secret_scan.digest(secret_scan.scanned(table(spark, folder, "documents")))
 
 
+@query()
+def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded and decoded."""
+    tokenizer = public_tokenizers.path(TOKENIZER)
+    return bpe.digest(bpe.round_trip(table(spark, folder, "documents"), tokenizer))
+
+
 @query(mixing.SQL)
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents mixed to the target weights of their sources."""
@@ -53,6 +70,19 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query()
+def op8_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.95."""
+    return embedding_dedup.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query()
+def op9_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents under a model of the well rated ones and a model of the whole corpus."""
+    good = table(spark, folder, "labels").where("quality = 1 and toxic = 0").selectExpr("doc_id AS key")
+    return lm_score.scored(table(spark, folder, "documents"), good)
+
+
 @query()
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of all documents and their components at 2 bits."""

@@ -174,4 +174,4 @@ def near_groups(
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row per component of close fingerprints; the columns stay as they are."""
     placed = located(docs)
-    return keep_located(placed, near_groups(docs, key, text).where("kept"))
+    return keep_located(placed, near_groups(placed, key, text).where("kept"))

@@ -12,7 +12,7 @@ from starloom.session import materialize
 BATCH_ROWS = 500
 BATCH_BYTES = 32 << 20
 
-FILE, PLACE = "__file", "__place"
+FILE, PLACE = "__located_file", "__located_place"
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -26,8 +26,11 @@ def located(docs: DataFrame) -> DataFrame:
 
     Both stay the same however often and in whatever splits the table is read,
     so rows that agree in every column, or have no id, can still be told apart.
-    A frame that is no plain scan of files is first written to the shared folder.
+    A frame that is no plain scan of files is first written to the shared folder; one that
+    has the two columns stays as it is.
     """
+    if {FILE, PLACE} <= set(docs.columns):
+        return docs
     try:
         return _with_place(docs)
     except AnalysisException:
