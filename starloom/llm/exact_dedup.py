@@ -55,14 +55,15 @@ def named_blocks(docs: DataFrame, text: str, block_bytes: int, hashed: Callable)
         ),
         "rows",
     )
-    contents = blocks.select(F.explode("__blocks").alias("block")).select(hashed(F.col("block")).alias("h"), "block")
+    # outer: an inferred "not empty" filter would normalise the text once more per use
+    contents = blocks.select(F.explode_outer("__blocks").alias("block")).select(hashed(F.col("block")).alias("h"), "block")
     names = materialize(_numbered(contents.distinct(), ["h", "block"]).select("h", "name"), "names")
     occurrences = rows.select("row", F.posexplode("hashes").alias("pos", "h"))
     shared = materialize(names.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "shared")
     if shared.isEmpty():
         return rows, occurrences.join(names, "h").select("row", "pos", "name")
     plain = occurrences.join(names.join(shared, "h", "left_anti"), "h").select("row", "pos", "name")
-    placed = blocks.select(FILE, PLACE, F.posexplode("__blocks").alias("pos", "block"))
+    placed = blocks.select(FILE, PLACE, F.posexplode_outer("__blocks").alias("pos", "block"))
     unclear = materialize(placed.withColumn("h", hashed(F.col("block"))).join(shared, "h", "left_semi"), "unclear")
     own = materialize(_numbered(unclear.select("h", "block").distinct(), ["h", "block"]), "own")
     by_bytes = unclear.join(own.withColumn("name", -1 - F.col("name")), ["h", "block"])
