@@ -1,15 +1,13 @@
 """BPE encoding and decoding through tables of distinct words and pieces.
 
 Texts are cut into words, and words coded by their place in the dictionary of a block
-of some thousand documents. Only dictionaries are shuffled: each distinct word of the corpus is encoded once, its ids
-are joined back to the blocks that hold it, and each id finds its piece by another join. The texts
-themselves never leave their block.
+of some thousand documents. Only dictionaries are shuffled: to the words, where each distinct word of the corpus is
+encoded once, and back to the blocks with the ids. The coded texts lie in a bucketed table and do not move.
 """
 
 from __future__ import annotations
 
 import json
-import re
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
@@ -17,23 +15,23 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from starloom.llm.support import bounded_batches
-from starloom.session import materialize
+from starloom.session import scratch_path
 
-# A block closes when its texts reach this size or its dictionary this many words.
-BLOCK_CHARS = 4 << 20
-BLOCK_WORDS = 60_000
-ENCODE_AT_ONCE = 5000
+# A block closes when its texts reach this size; that bounds its dictionary, too.
+BLOCK_CHARS = 32 << 20
+ENCODE_AT_ONCE = 2000
+TOKENS_AT_ONCE = 1 << 18
 
-# White space as Unicode lists it. The tokenizer's own pattern never joins what this one separates: a word starts at
-# white space, a single blank belongs to the word it precedes.
-_SPACE = r"\t-\r \x85\xa0  -     　"
-WORDS = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+# Fixed pattern of byte-level tokenizers: what it separates is encoded independently.
+WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
 def special_tokens(path: str) -> list[str]:
@@ -42,7 +40,7 @@ def special_tokens(path: str) -> list[str]:
         return [token["content"] for token in json.load(file).get("added_tokens", [])]
 
 
-def split_words(text: str, special: re.Pattern | None) -> list[str]:
+def split_words(text: str, special: regex.Pattern | None) -> list[str]:
     """Parts of a text that the tokenizer encodes independently of each other; joined, they are the text."""
     if special is None or not special.search(text):
         return WORDS.findall(text)
@@ -50,107 +48,143 @@ def split_words(text: str, special: re.Pattern | None) -> list[str]:
     return [w for i, part in enumerate(parts) for w in ([part] if i % 2 else WORDS.findall(part))]
 
 
-def special_pattern(tokens: list[str]) -> re.Pattern | None:
+def special_pattern(tokens: list[str]) -> regex.Pattern | None:
     longest_first = sorted(tokens, key=len, reverse=True)
-    return re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if tokens else None
+    return regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if tokens else None
 
 
 def _packed(codes: np.ndarray) -> bytes:
-    """Codes as compressed bytes; frequent words have small codes, so the high bytes hardly cost."""
-    wide = codes.astype("<u4")
-    planes = [((wide >> shift) & 255).astype(np.uint8) for shift in (0, 8, 16, 24)]
-    return zstandard.compress(b"".join(p.tobytes() for p in planes), 1)
+    """Codes as compressed bytes, byte by byte; frequent words have small codes, so the high bytes hardly cost."""
+    return zstandard.compress(np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T), 3)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1).astype(np.uint32)
-    return planes[0] | planes[1] << 8 | planes[2] << 16 | planes[3] << 24
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def _to_blocks(batches: Iterator[pa.RecordBatch], special: re.Pattern | None, kind: pa.DataType):
+def _to_blocks(batches: Iterator[pa.RecordBatch], special: regex.Pattern | None, kind: pa.DataType):
     known: dict[str, int] = defaultdict()
     known.default_factory = known.__len__
-    rows, lengths, codes, chars = [], [], [], 0
+    keys, lengths, codes, chars = [], [], [], 0
 
     def block() -> pa.RecordBatch:
-        flat = np.concatenate([np.asarray(c, np.int64) for c in codes]) if codes else np.zeros(0, np.int64)
+        flat = np.concatenate([np.zeros(0, np.int32), *codes])
         order = np.argsort(-np.bincount(flat, minlength=len(known)), kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        words = list(known)
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        words = pa.array(list(known), pa.string())
+        sorted_words = pc.sort_indices(words)  # in order, words take half the space wherever they are written
+        whole = pa.array([0, len(order)], pa.int32())
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([uuid.uuid4().hex]),
-                pa.array([pa.concat_arrays(rows).to_pylist()], pa.list_(kind)),
+                pa.array([uuid.uuid4().int >> 65]),
+                pa.ListArray.from_arrays(pa.array([0, len(lengths)], pa.int32()), pa.concat_arrays(keys)),
                 pa.array([lengths], pa.list_(pa.int32())),
                 pa.array([_packed(rank[flat])], pa.binary()),
-                pa.array([[words[i] for i in order]], pa.list_(pa.string())),
+                pa.ListArray.from_arrays(whole, words.take(sorted_words)),
+                pa.ListArray.from_arrays(whole, pa.array(rank).take(sorted_words)),
             ],
-            ["block", "keys", "lengths", "codes", "words"],
+            ["block", "keys", "lengths", "codes", "words", "places"],
         )
 
     for batch in batches:
         key = batch.column("key")
-        for i, text in enumerate(batch.column("text")):
-            words = split_words(text.as_py() or "", special)
-            rows.append(key.slice(i, 1))
+        for i, text in enumerate(batch.column("text").to_pylist()):
+            words = split_words(text or "", special)
+            keys.append(key.slice(i, 1))
             lengths.append(len(words))
-            codes.append(list(map(known.__getitem__, words)))
-            chars += len(text.as_py() or "")
-            if chars >= BLOCK_CHARS or len(known) >= BLOCK_WORDS:
+            codes.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
+            chars += len(text or "")
+            if chars >= BLOCK_CHARS:
                 yield block()
                 known.clear()
-                rows, lengths, codes, chars = [], [], [], 0
-    if rows:
+                keys, lengths, codes, chars = [], [], [], 0
+    if keys:
         yield block()
 
 
+def bucketed(df: DataFrame, column: str) -> DataFrame:
+    """``df`` written to the shared folder in buckets of ``column``: joins by it need no shuffle of this side.
+
+    The table is known to the catalog only while it is written; the files stay.
+    """
+    spark = df.sparkSession
+    name = f"bucketed_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.bucketBy(buckets, column).option("path", scratch_path(spark, "bucketed"))
+    writer.option("compression", "zstd").saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files are not touched
+    return table
+
+
 def word_blocks(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Table of ``(block, keys, lengths, codes, words)``: documents as places in the dictionary of their block.
+    """Table of ``(block, keys, lengths, codes, words, places)``: documents as places in the dictionary of their block.
 
     Written to the shared folder: a block's name and dictionary are settled once and do not change
     when a task is repeated.
     """
     bounded_batches(docs.sparkSession)
     lean = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    kind = lean.schema["key"].dataType
-    arrow = lean.limit(0).select("key").toArrow().schema.field("key").type
     schema = (
-        f"block string, keys array<{kind.simpleString()}>, lengths array<int>, codes binary, words array<string>"
+        f"block bigint, keys array<{lean.schema['key'].dataType.simpleString()}>, "
+        "lengths array<int>, codes binary, words array<string>, places array<int>"
     )
     special = special_pattern(special_tokens(tokenizer))
-    return materialize(lean.mapInArrow(partial(_to_blocks, special=special, kind=arrow), schema), "blocks")
+    return bucketed(lean.mapInArrow(partial(_to_blocks, special=special, kind=_arrow_type(lean, "key")), schema), "block")
+
+
+def _arrow_type(df: DataFrame, column: str) -> pa.DataType:
+    return df.limit(0).select(column).toArrow().schema.field(0).type
+
+
+def id_type(tokenizer: Tokenizer) -> str:
+    """The narrowest unsigned number that holds every id."""
+    return "<u2" if max(tokenizer.get_vocab(with_added_tokens=True).values(), default=0) < 1 << 16 else "<u4"
+
+
+def _ids_as_bytes(ids: pa.ListArray, kind: str) -> pa.Array:
+    """Each list of ids as the bytes of its numbers."""
+    data = ids.flatten().to_numpy().astype(kind)
+    ends = (ids.offsets.to_numpy() * data.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(data)])
 
 
 def _encode(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by word: equal words are encoded once, at the end of one batch and the start of the next, too."""
     tokenizer = Tokenizer.from_str(model)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    kind = id_type(tokenizer)
+    last, last_ids = None, []
     for batch in batches:
-        for at in range(0, batch.num_rows, ENCODE_AT_ONCE):
-            words = batch.column(0).slice(at, ENCODE_AT_ONCE)
-            found = [e.ids for e in tokenizer.encode_batch(words.to_pylist(), add_special_tokens=False)]
-            yield pa.RecordBatch.from_arrays([words, pa.array(found, pa.list_(pa.int32()))], ["word", "ids"])
-
-
-def word_table(words: DataFrame, tokenizer: str) -> DataFrame:
-    """``(word, ids)`` of the distinct words in ``words``: each is encoded once."""
-    with open(tokenizer, encoding="utf-8") as file:
-        model = file.read()  # a vocabulary file of a few MB; tasks need no path to it
-    return words.select("word").distinct().mapInArrow(partial(_encode, model=model), "word string, ids array<int>")
+        coded = batch.column("word").dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        known = distinct and distinct[0] == last
+        found = [last_ids] if known else []
+        for at in range(len(found), len(distinct), ENCODE_AT_ONCE):
+            part = distinct[at : at + ENCODE_AT_ONCE]
+            found += [e.ids for e in tokenizer.encode_batch(part, add_special_tokens=False)]
+        if found:
+            last, last_ids = distinct[-1], found[-1]
+        ids = _ids_as_bytes(pa.array(found, pa.list_(pa.int32())), kind)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("block"), batch.column("pos"), ids.take(coded.indices)], ["block", "pos", "ids"]
+        )
 
 
-def encoded_blocks(blocks: DataFrame, tokenizer: str) -> DataFrame:
-    """Table of ``(block, word_ids)``: the ids of each word of a block's dictionary, in its order.
+def encoded_words(blocks: DataFrame, tokenizer: str) -> DataFrame:
+    """``(block, pos, ids)``: the ids of each word of each block's dictionary, as bytes.
 
-    A frequent word occurs once per block and not once per text, and the
-    other side of the join has it once.
+    The dictionaries meet by word, sorted, and each distinct word is encoded once. A frequent
+    word has one row per block, not one per text.
     """
-    words = blocks.select("block", F.posexplode("words").alias("pos", "word"))
-    table = materialize(word_table(words, tokenizer), "words")
-    found = words.join(table, "word").groupBy("block")
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "ids")))
-    return materialize(found.agg(F.transform(ordered, lambda x: x["ids"]).alias("word_ids")), "word-ids")
+    with open(tokenizer, encoding="utf-8") as file:
+        model = file.read()  # a vocabulary file of a few MB; tasks need no path to it
+    words = blocks.select("block", F.inline(F.arrays_zip("words", "places"))).toDF("block", "word", "pos")
+    met = words.repartition("word").sortWithinPartitions("word")
+    return met.mapInArrow(partial(_encode, model=model), "block bigint, pos int, ids binary")
 
 
 def _bytes_of_letters() -> dict[str, int]:
@@ -160,82 +194,82 @@ def _bytes_of_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def piece_table(spark: SparkSession, tokenizer: str) -> DataFrame:
-    """``(id, piece)`` for every id of a byte-level tokenizer file, pieces as bytes."""
+def piece_table(tokenizer: str) -> tuple[np.ndarray, np.ndarray, str]:
+    """The pieces of a byte-level tokenizer file by id: all bytes in a row, where each starts and ends, the type of ids."""
     letters = _bytes_of_letters()
     with open(tokenizer, encoding="utf-8") as file:
         model = Tokenizer.from_str(file.read())
-    pieces = []
-    for piece, number in model.get_vocab(with_added_tokens=True).items():
+    vocabulary = model.get_vocab(with_added_tokens=True)
+    pieces = [b""] * (max(vocabulary.values(), default=-1) + 1)
+    for piece, number in vocabulary.items():
         spelled = all(letter in letters for letter in piece)
-        pieces.append((number, bytes(letters[x] for x in piece) if spelled else piece.encode()))
-    return spark.createDataFrame(sorted(pieces), "id int, piece binary")
-
-
-def decoded_blocks(encoded: DataFrame, pieces: DataFrame) -> DataFrame:
-    """Table of ``(block, ids, pieces)``: the piece of each distinct id of a block."""
-    ids = encoded.select("block", F.explode(F.array_distinct(F.flatten("word_ids"))).alias("id"))
-    # one row per id of the vocabulary file, which bounds the table
-    found = ids.join(F.broadcast(pieces), "id").groupBy("block")
-    return materialize(found.agg(F.collect_list("id").alias("ids"), F.collect_list("piece").alias("pieces")), "pieces")
-
-
-def _assemble(batches: Iterator[pa.RecordBatch], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in range(batch.num_rows):
-            one = {n: batch.column(n)[row] for n in batch.schema.names}
-            lists = one["word_ids"].values
-            flat = np.zeros(0, np.int32)
-            starts = sizes = np.zeros(0, np.int64)
-            if lists is not None and len(lists):
-                flat = lists.flatten().to_numpy(zero_copy_only=False)
-                sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-                starts = np.cumsum(sizes) - sizes
-            piece = {}
-            if one["ids"].values is not None:
-                piece = dict(zip(one["ids"].as_py(), one["pieces"].as_py()))
-            spelled = [b"".join(map(piece.__getitem__, flat[s : s + n].tolist())) for s, n in zip(starts, sizes)]
-            codes = _unpacked(one["codes"].as_py())
-            ends = np.cumsum(one["lengths"].values.to_numpy())
-            keys, at = one["keys"].values, 0
-            found_ids, texts, held, first = [], [], 0, 0
-            for place, end in enumerate(ends):
-                part = codes[at:end]
-                at = end
-                count = sizes[part]
-                total = int(count.sum())
-                jump = np.repeat(starts[part] - (np.cumsum(count) - count), count)
-                found_ids.append(flat[jump + np.arange(total)])
-                texts.append(b"".join([spelled[c] for c in part.tolist()]).decode("utf-8", "replace"))
-                held += total
-                if held > 1 << 20 or place == len(ends) - 1:
-                    yield _documents(keys.slice(first, place + 1 - first), found_ids, texts, kind)
-                    found_ids, texts, held, first = [], [], 0, place + 1
-
-
-def _documents(keys: pa.Array, ids: list[np.ndarray], texts: list[str], kind: pa.DataType) -> pa.RecordBatch:
-    ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-    flat = pa.array(np.concatenate(ids).astype(np.int32))
-    lists = pa.ListArray.from_arrays(pa.array(ends), flat)
-    return pa.RecordBatch.from_arrays([keys.cast(kind), lists, pa.array(texts, pa.string())], ["key", "ids", "text"])
+        pieces[number] = bytes(letters[x] for x in piece) if spelled else piece.encode()
+    bounds = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
+    return np.frombuffer(b"".join(pieces), np.uint8), bounds, id_type(model)
+
+
+def _gathered(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indices of the runs ``starts[i] .. starts[i] + sizes[i]``, one run after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+
+
+def _assemble(block: pa.Table, words: pa.Table, pieces: tuple[np.ndarray, np.ndarray, str], kind: pa.DataType) -> pa.Table:
+    """Documents of one block: ids joined back by position, text joined from the pieces of the ids."""
+    if not block.num_rows:
+        raise ValueError("words without a block")
+    place = words["pos"].to_numpy()
+    order = np.argsort(place)
+    spelled = words["ids"].combine_chunks().cast(pa.large_binary())
+    data, bounds, number = pieces
+    flat = np.frombuffer(b"".join(spelled.to_pylist()), number).astype(np.int32)
+    sizes = pc.binary_length(spelled).to_numpy(zero_copy_only=False).astype(np.int64) // np.dtype(number).itemsize
+    starts = (np.cumsum(sizes) - sizes)[order]
+    sizes = sizes[order]
+    batches = []
+    for row in block.to_batches():
+        codes = _unpacked(row.column("codes")[0].as_py())
+        lengths = row.column("lengths")[0].values.to_numpy()
+        keys, at, first, held, parts = row.column("keys")[0].values, 0, 0, 0, []
+        for i, length in enumerate(lengths):
+            part = codes[at : at + length]
+            at += length
+            parts.append(flat[_gathered(starts[part], sizes[part])])
+            held += len(parts[-1])
+            if held >= TOKENS_AT_ONCE or i == len(lengths) - 1:
+                ids = np.concatenate(parts)
+                bytes_of = bounds[ids + 1] - bounds[ids]
+                text = data[_gathered(bounds[ids], bytes_of)].tobytes()
+                ends = np.cumsum([len(p) for p in parts])
+                cut = np.concatenate([[0], np.cumsum(bytes_of)])[np.concatenate([[0], ends])]
+                texts = [text[a:b].decode("utf-8", "replace") for a, b in zip(cut, cut[1:])]
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids))
+                columns = [keys.slice(first, len(parts)).cast(kind), lists, pa.array(texts, pa.string())]
+                batches.append(pa.RecordBatch.from_arrays(columns, ["key", "ids", "text"]))
+                first, held, parts = i + 1, 0, []
+    return pa.Table.from_batches(batches)
 
 
 def round_trip(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``key``, its token ``ids`` and the ``text`` decoded from them.
 
     ``tokenizer`` is the path of a byte-level tokenizer file, read on the driver. Whole texts are
-    encoded, special tokens that occur in a text as such; decoding keeps them and replaces what is no UTF-8. NULL and empty
+    encoded, special tokens that occur in a text as such; decoding keeps them and replaces what is no UTF-8. The
+    id-to-piece join happens inside the tasks, each of which holds the pieces: one per id of
+    the vocabulary file, which bounds the table. NULL and empty
     texts have no ids and decode to empty text. Repeated rows and NULL keys stay as they are, because rows are not
     joined by key. An empty table gives no rows; other columns do not matter.
     """
     blocks = word_blocks(docs, tokenizer, key, text)
-    encoded = encoded_blocks(blocks, tokenizer)
-    decoded = decoded_blocks(encoded, piece_table(docs.sparkSession, tokenizer))
-    joined = blocks.drop("words").join(encoded, "block", "left").join(decoded, "block", "left")
-    arrow = docs.limit(0).select(F.col(key)).toArrow().schema.field(0).type
-    kind = docs.schema[key].dataType.simpleString()
-    found = joined.mapInArrow(partial(_assemble, kind=arrow), f"key {kind}, ids array<int>, text string")
-    return found.withColumnRenamed("key", key)
+    pieces, kind = piece_table(tokenizer), _arrow_type(docs, key)
+
+    def assemble(block, words):
+        return _assemble(block, words, pieces, kind)
+
+    coded = blocks.select("block", "keys", "lengths", "codes").groupBy("block")
+    found = coded.cogroup(encoded_words(blocks, tokenizer).groupBy("block"))
+    schema = f"key {docs.schema[key].dataType.simpleString()}, ids array<int>, text string"
+    return found.applyInArrow(assemble, schema).withColumnRenamed("key", key)
 
 
 def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from starloom.session import materialize
 
 # Rows and bytes of one batch that Spark hands to Python: bounds a worker's memory when texts are long.
-BATCH_ROWS = 500
-BATCH_BYTES = 32 << 20
+BATCH_ROWS = 2000
+BATCH_BYTES = 8 << 20
 
 FILE, PLACE = "__located_file", "__located_place"
 
