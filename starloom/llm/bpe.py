@@ -99,9 +99,12 @@ def _to_blocks(batches: Iterator[pa.RecordBatch], special: regex.Pattern | None,
             if chars >= BLOCK_CHARS:
                 yield block()
                 known.clear()
+                pa.default_memory_pool().release_unused()
                 keys, lengths, codes, chars = [], [], [], 0
     if keys:
         yield block()
+    known.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def bucketed(df: DataFrame, column: str) -> DataFrame:
@@ -172,6 +175,7 @@ def _encode(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays(
             [batch.column("block"), batch.column("pos"), ids.take(coded.indices)], ["block", "pos", "ids"]
         )
+    pa.default_memory_pool().release_unused()
 
 
 def encoded_words(blocks: DataFrame, tokenizer: str) -> DataFrame:
@@ -182,7 +186,7 @@ def encoded_words(blocks: DataFrame, tokenizer: str) -> DataFrame:
     """
     with open(tokenizer, encoding="utf-8") as file:
         model = file.read()  # a vocabulary file of a few MB; tasks need no path to it
-    words = blocks.select("block", F.inline(F.arrays_zip("words", "places"))).toDF("block", "word", "pos")
+    words = blocks.select("block", F.posexplode("words").alias("pos", "word"))
     met = words.repartition("word").sortWithinPartitions("word")
     return met.mapInArrow(partial(_encode, model=model), "block bigint, pos int, ids binary")
 
@@ -218,16 +222,16 @@ def _assemble(block: pa.Table, words: pa.Table, pieces: tuple[np.ndarray, np.nda
     """Documents of one block: ids joined back by position, text joined from the pieces of the ids."""
     if not block.num_rows:
         raise ValueError("words without a block")
-    place = words["pos"].to_numpy()
-    order = np.argsort(place)
+    at_place = words["pos"].to_numpy()
     spelled = words["ids"].combine_chunks().cast(pa.large_binary())
     data, bounds, number = pieces
     flat = np.frombuffer(b"".join(spelled.to_pylist()), number).astype(np.int32)
     sizes = pc.binary_length(spelled).to_numpy(zero_copy_only=False).astype(np.int64) // np.dtype(number).itemsize
-    starts = (np.cumsum(sizes) - sizes)[order]
-    sizes = sizes[order]
+    starts = np.cumsum(sizes) - sizes
     batches = []
     for row in block.to_batches():
+        order = np.argsort(row.column("places")[0].values.to_numpy()[at_place])
+        starts, sizes = starts[order], sizes[order]
         codes = _unpacked(row.column("codes")[0].as_py())
         lengths = row.column("lengths")[0].values.to_numpy()
         keys, at, first, held, parts = row.column("keys")[0].values, 0, 0, 0, []
@@ -266,7 +270,7 @@ def round_trip(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
     def assemble(block, words):
         return _assemble(block, words, pieces, kind)
 
-    coded = blocks.select("block", "keys", "lengths", "codes").groupBy("block")
+    coded = blocks.select("block", "keys", "lengths", "codes", "places").groupBy("block")
     found = coded.cogroup(encoded_words(blocks, tokenizer).groupBy("block"))
     schema = f"key {docs.schema[key].dataType.simpleString()}, ids array<int>, text string"
     return found.applyInArrow(assemble, schema).withColumnRenamed("key", key)
