@@ -25,8 +25,8 @@ def epoch_ms_to_second(ms: Column) -> Column:
 
 
 def sas_day_to_date(days: Column) -> Column:
-    """Day number to date; 0 and NULL mean no date."""
-    return F.when(days != 0, F.date_add(F.lit(DAY_ZERO).cast("date"), days.cast("int")))
+    """Day number to date; 0, NULL, NaN and numbers that are no int mean no date."""
+    return F.when(days != 0, F.date_add(F.lit(DAY_ZERO).cast("date"), days.try_cast("int")))
 
 
 def date_to_sas_day(date: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -16,9 +17,11 @@ def default_for_null(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
 
 
 def not_before(df: DataFrame, columns: list[str], bound: Column) -> DataFrame:
-    """Rows whose every listed column reaches the bound; NULL does not."""
+    """Rows whose every listed column reaches the bound; NULL and NaN do not."""
     for column in columns:
         df = df.where(F.col(column) >= bound)
+        if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+            df = df.where(~F.isnan(column))
     return df
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import sys
 from functools import reduce
 
@@ -16,6 +17,8 @@ HOT_ROWS = 1_000_000
 # Keys to cut, largest first: a few MB at most. A key beyond it owns less than one row in
 # HOT_KEYS and is joined whole, so the result never depends on the number.
 HOT_KEYS = 100_000
+# Codes as numbers, whether they come as text, whole numbers or doubles.
+CODE_TYPE = "decimal(38,6)"
 # Left rows without a key match nothing; they are only spread over the tasks.
 NULL_SLICES = 4096
 
@@ -63,9 +66,19 @@ def hot_keys(df: DataFrame, on: list[str], hot_rows: int) -> dict[tuple, int]:
     The rows per key are counted with a map-side combined aggregate; at most
     ``HOT_KEYS`` counts reach the driver.
     """
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
-    hottest = counts.dropna(subset=on).orderBy(F.col("_rows").desc(), *on).limit(HOT_KEYS)
-    return {tuple(row[c] for c in on): -(-row["_rows"] // hot_rows) for row in hottest.collect()}
+    counts = _keyed(df, on).groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
+    hottest = counts.orderBy(F.col("_rows").desc(), *on).limit(HOT_KEYS)
+    return {tuple(_same_nan(row[c]) for c in on): -(-row["_rows"] // hot_rows) for row in hottest.collect()}
+
+
+def _keyed(df: DataFrame, on: list[str]) -> DataFrame:
+    """Rows that can match: no key column is NULL. NaN stays, it equals itself in a join."""
+    return df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on]))
+
+
+def _same_nan(value):
+    """One NaN object for all, so that NaN is one dictionary key."""
+    return math.nan if isinstance(value, float) and math.isnan(value) else value
 
 
 def sliced_join(
@@ -96,7 +109,7 @@ def sliced_join(
     if drops_keyless and not hot:
         return left.join(right, on, how)
     if drops_keyless:
-        left, right = left.dropna(subset=on), right.dropna(subset=on)
+        left, right = _keyed(left, on), _keyed(right, on)
     one = F.lit(1).cast("bigint")
     if hot:
         schema = T.StructType([left.schema[c] for c in on]).add("_lefts", T.LongType()).add("_rights", T.LongType())
@@ -128,10 +141,11 @@ def code_join(fact: DataFrame, codes: DataFrame, fact_key: str, code_key: str, h
     """Join a fact to a code list; both keys are compared as numbers.
 
     Covers a numeric fact key against a text code key (``582.0`` and ``'582'``).
+    The numbers are exact decimals, so long codes do not collide and NaN is no code; 582.5 is a code of its own.
     Rows whose code is NULL, no number or unknown drop out of the inner form.
     """
-    numbered = codes.withColumn(code_key, F.col(code_key).try_cast("double")).withColumnRenamed(code_key, "_code")
-    coded = fact.withColumn("_code", F.col(fact_key).try_cast("double"))
+    numbered = codes.withColumn(code_key, F.col(code_key).try_cast(CODE_TYPE)).withColumnRenamed(code_key, "_code")
+    coded = fact.withColumn("_code", F.col(fact_key).try_cast(CODE_TYPE))
     return dim_join(coded, numbered, ["_code"], how).drop("_code")
 
 

@@ -9,9 +9,10 @@ from starloom import schemas
 from starloom.functions.text import clean_headers
 from starloom.functions.timeparts import epoch_ms_to_text, epoch_ms_to_ts
 from starloom.operators.keys import dense_ids, gap_ids
+from starloom.operators.merge import absent_rows
 from starloom.plans import arrivals, lookups, music, quality
-from starloom.session import pin_utc
-from starloom.sinks.loads import export_csv, land_raw, load
+from starloom.session import materialize, pin_utc
+from starloom.sinks.loads import export_csv, insert_if_absent, land_raw, load, read_as, table_exists
 from starloom.sources import files
 from starloom.sources.staging import read_lines, stage_by_path
 
@@ -51,15 +52,24 @@ def build_music_star(
     """Build the five tables below ``out``/tables under one of the rule sets of ``plans.music``.
 
     Dimensions are written before the fact, and the fact is matched against
-    the written songs and artists.
+    the written songs and artists. ``mode="insert_if_absent"`` (``keyed`` rules only)
+    adds what the tables do not hold yet; song-play ids go on from the largest.
     """
     pin_utc(spark)
+    if mode == "insert_if_absent" and rules != "keyed":
+        raise ValueError("only the keyed rules name a key to compare by")
     log, metadata = stage_music(spark, logs, songs, out, log_paths)
     played = music.plays(log)
     tables: dict[str, DataFrame] = {}
 
     def save(name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        tables[name] = load(df, f"{out}/tables/{name}", mode, partition_by)
+        path = f"{out}/tables/{name}"
+        if mode != "insert_if_absent":
+            tables[name] = load(df, path, mode, partition_by)
+        else:
+            keys = schemas.MUSIC_KEYS[name] + (partition_by or [])
+            insert_if_absent(df, path, keys, [c for c in df.columns if c not in keys], partition_by)
+            tables[name] = read_as(df, path)
         return tables[name]
 
     if rules == "keyed":
@@ -68,9 +78,14 @@ def build_music_star(
         save("users", music.users_dim(played, "first_seen"))
         stamps = epoch_ms_to_ts(F.col("ts"))
         save("time", music.time_dim(played, stamps, weekday="name"), MONTHS)
-        fact = dense_ids(
-            music.songplays_keyed(log, song_dim, artist_dim), ["start_time", "user_id"], "songplay_id"
-        )
+        found, start = music.songplays_keyed(log, song_dim, artist_dim), 1
+        path = f"{out}/tables/songplays"
+        if mode == "insert_if_absent" and table_exists(spark, path):
+            have = spark.read.parquet(path)
+            keys = ["start_time", "user_id"]
+            found = absent_rows(have, found, keys, [c for c in found.columns if c not in keys])
+            start = (have.agg(F.max("songplay_id")).first()[0] or 0) + 1
+        fact = dense_ids(found, ["start_time", "user_id"], "songplay_id", start)
     elif rules == "warehouse":
         song_dim = save("songs", music.songs_dim(metadata))
         save("artists", music.artists_dim(metadata, defaults=True))
@@ -120,7 +135,7 @@ def music_quality(tables: dict[str, DataFrame]) -> DataFrame:
 
 def build_lookups(spark: SparkSession, events: str, out: str) -> None:
     """Event files → one quoted CSV copy of the plays → the three lookup tables."""
-    plays = files.read_event_csvs(spark, events)
+    plays = materialize(files.read_event_csvs(spark, events), "event-plays")  # four writes read it
     export_csv(plays, f"{out}/plays_csv", "overwrite")
     lookups.build_lookup_tables(plays, out)
 

@@ -7,12 +7,6 @@ from pyspark.sql import functions as F
 
 from starloom.operators.joins import dim_join
 
-# 31 days of 24 hours of 8 bytes, in a century of years
-HOURS_OF_A_MONTH_BYTES = 31 * 24 * 8 * 100
-# one date and one weekday per day, in a century
-DAYS_BYTES = 366 * 8 * 100
-
-
 def plays_by_user(
     songplays: DataFrame,
     users: DataFrame,
@@ -20,13 +14,9 @@ def plays_by_user(
     artists: DataFrame,
     time: DataFrame,
     month: int,
-    hour_grain: bool = False,
 ) -> DataFrame:
     """Distinct songs and artists each user played in a month.
 
-    ``hour_grain`` states that start times are whole hours. The month's rows
-    of the time dimension are then few by the calendar, whatever the plays.
-
     Only distinct counts are reported, so the plays are reduced to distinct
     (user, song, artist) as soon as the month is known; songs and artists only
     have to contain the ids, which makes theirs semi-joins that repeat nothing.
@@ -37,12 +27,11 @@ def plays_by_user(
         in_month,
         ["start_time"],
         "left_semi",
-        dim_bytes=HOURS_OF_A_MONTH_BYTES if hour_grain else None,
     )
     heard = played.select("user_id", "song_id", "artist_id").distinct()
-    heard = dim_join(heard, songs.select("song_id"), ["song_id"], "left_semi", hot_rows=None)
-    heard = dim_join(heard, artists.select("artist_id"), ["artist_id"], "left_semi", hot_rows=None)
-    named = dim_join(heard, users.select("user_id", "last_name").distinct(), ["user_id"], hot_rows=None)
+    heard = dim_join(heard, songs.select("song_id"), ["song_id"], "left_semi", hot_from=songplays)
+    heard = dim_join(heard, artists.select("artist_id"), ["artist_id"], "left_semi", hot_from=songplays)
+    named = dim_join(heard, users.select("user_id", "last_name").distinct(), ["user_id"], hot_from=songplays)
     return (
         named.groupBy("user_id", "last_name")
         .agg(
@@ -74,15 +63,15 @@ ORDER BY songs_played DESC, artists_played DESC, user_id, last_name
 def arrivals_by_weekday(fact: DataFrame, dates: DataFrame, cities: DataFrame, state: str) -> DataFrame:
     """Arrivals per weekday at the ports of one state.
 
-    The fact is counted per (date, port) before it meets the dimensions; the
-    dates are as few as the calendar has days.
+    The fact is counted per (date, port) before it meets the dimensions: no port
+    then has more rows than the calendar has days, and no day more than there are ports.
     """
     daily = fact.groupBy("arrdate_ts", "i94port").agg(F.count(F.lit(1)).alias("n"))
     ports = cities.where(F.col("state_code") == state).select(F.col("city_id").alias("i94port"))
     days = dates.select(F.col("date").alias("arrdate_ts"), "weekday")
     there = dim_join(daily, ports, ["i94port"], hot_rows=None)
     return (
-        dim_join(there, days, ["arrdate_ts"], hot_rows=None, dim_bytes=DAYS_BYTES)
+        dim_join(there, days, ["arrdate_ts"], hot_rows=None)
         .groupBy("weekday")
         .agg(F.sum("n").alias("arrivals"))
         .orderBy("weekday")

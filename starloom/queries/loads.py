@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from starloom.operators.joins import sliced_join
+from starloom.operators.keys import dense_ids
 from starloom.queries.registry import query, table
 from starloom.schemas import contract
 from starloom.session import scratch_path
@@ -68,3 +70,59 @@ def upsert_last_write(spark, folder):
     load(first, path)
     upsert(older.unionAll(second), path, ["event_id"], ["value"])
     return read_as(first, path)
+
+
+@query("SELECT nullif(user_id % 50, 0) AS k, min(value) AS value FROM events GROUP BY 1")
+def insert_if_absent_null_key(spark, folder):
+    """NULL is a key like any other: three loads of a batch leave one row for it."""
+    batch = table(spark, folder, "events").selectExpr("nullif(user_id % 50, 0) AS k", "value")
+    path = scratch_path(spark, "insert-null")
+    for _ in range(3):
+        insert_if_absent(batch, path, ["k"], ["value"])
+    return read_as(batch, path)
+
+
+@query(
+    f"""WITH {BATCHES}, merged AS (
+    SELECT * FROM two UNION ALL SELECT * FROM one WHERE event_id NOT IN (SELECT event_id FROM two)
+) SELECT event_id, value, nullif(event_id % 3, 0) AS part FROM merged"""
+)
+def upsert_null_partition(spark, folder):
+    """Rows of the NULL partition that the batch does not touch stay."""
+    first, second = (
+        batch.selectExpr("event_id", "value", "nullif(event_id % 3, 0) AS part") for batch in _batches(spark, folder)
+    )
+    path = scratch_path(spark, "upsert-null")
+    load(first, path, partition_by=["part"])
+    upsert(second, path, ["event_id", "part"], ["value"], ["part"])
+    return read_as(first, path)
+
+
+@query(
+    """WITH l AS (SELECT CASE WHEN event_id % 4 = 0 THEN 'nan'::DOUBLE ELSE user_id % 10 END AS k FROM events),
+r AS (SELECT CASE WHEN n_nationkey >= 10 THEN 'nan'::DOUBLE ELSE n_nationkey END AS k FROM nation WHERE n_nationkey < 12)
+SELECT isnan(k) AS nan, count(*) AS n FROM l JOIN r USING (k) GROUP BY 1"""
+)
+def join_nan_key(spark, folder):
+    """NaN equals itself in a join, hot or not."""
+    left = table(spark, folder, "events").selectExpr(
+        "CASE WHEN event_id % 4 = 0 THEN double('nan') ELSE double(user_id % 10) END AS k"
+    )
+    right = table(spark, folder, "nation").where("n_nationkey < 12")
+    right = right.selectExpr("CASE WHEN n_nationkey >= 10 THEN double('nan') ELSE double(n_nationkey) END AS k")
+    joined = sliced_join(left, right, ["k"], hot_rows=100)
+    return joined.groupBy(F.isnan("k").alias("nan")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    """SELECT event_id, row_number() OVER (ORDER BY ts >= TIMESTAMP '2024-01-16', event_id) AS id FROM events"""
+)
+def surrogate_key_continued(spark, folder):
+    """The ids of a second batch go on from the first."""
+    events = table(spark, folder, "events")
+    path = scratch_path(spark, "continued")
+    first = events.where("ts < timestamp_ntz'2024-01-16'").select("event_id")
+    have = load(dense_ids(first, ["event_id"], "id"), path)
+    start = (have.agg(F.max("id")).first()[0] or 0) + 1
+    second = events.where("NOT ts < timestamp_ntz'2024-01-16'").select("event_id")
+    return load(dense_ids(second, ["event_id"], "id", start), path, "append")

@@ -232,7 +232,6 @@ def star_plays_by_user(spark, folder):
         music.artists_dim(metadata, "all"),
         music.time_dim(log, hours, weekday="sunday0"),
         month=1,
-        hour_grain=True,
     )
 
 

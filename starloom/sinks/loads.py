@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions.text import clean_headers
-from starloom.operators.merge import absent_rows, upserted
+from starloom.operators.merge import absent_rows, rows_with_keys, upserted
 from starloom.session import materialize
 from starloom.sources.files import subfolders
 
@@ -76,12 +76,13 @@ def _touched(target: DataFrame, batch: DataFrame, partition_by: list[str]) -> Da
     """The part of ``target`` that lies in the partitions of ``batch``.
 
     A few partition values become literals, which prune the folders before
-    the scan is planned; more of them become a semi-join.
+    the scan is planned; more of them become a semi-join. Either way NULL equals
+    NULL, so the number only decides the plan.
     """
     parts = batch.select(*partition_by).distinct()
     few = parts.limit(LITERAL_PARTITIONS + 1).collect()
     if len(few) > LITERAL_PARTITIONS:
-        return target.join(parts, partition_by, "left_semi")
+        return rows_with_keys(target, parts, partition_by)
     wanted = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(part[c]) for c in partition_by]) for part in few]
     return target.where(reduce(lambda a, b: a | b, wanted, F.lit(False)))
 

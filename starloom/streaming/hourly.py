@@ -35,8 +35,12 @@ def run_hourly(
     metadata = load(files.read_songs(spark, songs), f"{root}/staging/songs", "overwrite")
     played = music.plays(log)
 
-    plays = music.songplays_strict(log, metadata).withColumns(
-        {"year": F.year("start_time"), "month": F.month("start_time")}
+    # written once: the fact, its partitions and the times all read it
+    strict = music.songplays_strict(log, metadata)
+    plays = load(
+        strict.withColumns({"year": F.year("start_time"), "month": F.month("start_time")}),
+        f"{root}/staging/plays",
+        "overwrite",
     )
     insert_if_absent(plays, f"{root}/songplays", ["songplay_id", *MONTHS], ["session_id"], MONTHS)
 
@@ -44,7 +48,7 @@ def run_hourly(
     timed = plays if dim_mode == "insert_if_absent" else read_as(plays, f"{root}/songplays")
     dims = {
         "users": (music.users_dim(played, "first_seen"), ["user_id"], None),
-        "songs": (music.songs_dim(metadata, "first"), ["song_id"], None),
+        "songs": (music.songs_dim(metadata.where("song_id is not null"), "first"), ["song_id"], None),
         "artists": (music.artists_dim(metadata, "first"), ["artist_id"], None),
         "time": (music.time_dim(timed, F.col("start_time"), weekday="sunday0"), ["start_time", *MONTHS], MONTHS),
     }

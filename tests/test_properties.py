@@ -5,6 +5,7 @@ from collections import Counter
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from starloom.sinks import loads
 from starloom.operators import dedup, joins, keys, merge
 
 few = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -64,3 +65,35 @@ def test_merges(spark, target, batch):
         first[k], last[k] = min(v, first.get(k, v)), max(v, last.get(k, v))
     assert dict(t.unionByName(merge.absent_rows(t, b, ["k"], ["v"])).collect()) == {**first, **old}
     assert dict(merge.upserted(t, b, ["k"], ["v"]).collect()) == {**old, **last}
+
+
+def test_null_and_nan_keys_do_not_depend_on_limits(spark, tmp_path, monkeypatch):
+    nan = float("nan")
+    left = spark.createDataFrame([(k,) for k in [nan] * 5 + [0.0, -0.0, None, 1.0] * 4], "k double")
+    right = spark.createDataFrame([(k,) for k in [nan] * 3 + [0.0, 1.0, None]], "k double")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plain = left.join(right, "k", how).count()
+        for hot in (1, 4, 100):
+            assert joins.sliced_join(left, right, ["k"], how, hot_rows=hot).count() == plain, (how, hot)
+    old = spark.createDataFrame([(1, None), (2, None), (3, 2018)], "id int, year int")
+    new = spark.createDataFrame([(9, None), (3, 2018)], "id int, year int")
+    found = []
+    for limit in (0, 1, 500):
+        monkeypatch.setattr(loads, "LITERAL_PARTITIONS", limit)
+        path = str(tmp_path / f"t{limit}")
+        loads.load(old, path, partition_by=["year"])
+        for _ in range(3):
+            loads.upsert(new, path, ["id", "year"], [], ["year"])
+        found.append(sorted(map(tuple, spark.read.parquet(path).select("id", "year").collect()), key=repr))
+    assert found[0] == found[1] == found[2] and len(found[0]) == 4
+
+
+def test_nan_days_are_no_dates(spark):
+    from starloom.functions.timeparts import sas_day_to_date
+    from starloom.operators.clean import not_before
+
+    days = spark.createDataFrame([(float("nan"),), (0.0,), (20454.0,), (None,)], "d double")
+    assert [r[0] is None for r in days.select(sas_day_to_date(days.d)).collect()] == [True, True, False, True]
+    from pyspark.sql import functions as F
+
+    assert not_before(days, ["d"], F.lit(1)).count() == 1
