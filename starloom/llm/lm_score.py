@@ -54,7 +54,7 @@ def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     ends = np.cumsum(lengths + ORDER - 1)
     use = np.ones(len(joined), bool)
     for k in range(ORDER - 1):  # windows that end in the blanks before a text
-        starts = ends[:-1] - k
+        starts = ends[:-1] - 1 - k
         use[starts[(starts >= 0) & (starts < len(use))]] = False
     return joined[use], lengths
 
