@@ -8,6 +8,7 @@ encoded once, and back to the blocks with the ids. The coded texts lie in a buck
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
@@ -156,6 +157,7 @@ def _ids_as_bytes(ids: pa.ListArray, kind: str) -> pa.Array:
 
 def _encode(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by word: equal words are encoded once, at the end of one batch and the start of the next, too."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads would each keep memory
     tokenizer = Tokenizer.from_str(model)
     tokenizer.no_truncation()
     tokenizer.no_padding()
