@@ -95,9 +95,11 @@ def states_table(demographics: DataFrame, races: list[str] | None = None) -> Dat
     return states.toDF(*[c.lower() for c in states.columns])
 
 
-def state_temperatures(temperatures: DataFrame, year: int = CLIMATE_YEAR) -> DataFrame:
+def state_temperatures(temperatures: DataFrame, year: int | None = CLIMATE_YEAR) -> DataFrame:
+    """Typed readings of one year, or of all years."""
     day = F.col("dt").try_cast("date")
-    return temperatures.where(F.col("dt").startswith(str(year))).select(
+    readings = temperatures if year is None else temperatures.where(F.col("dt").startswith(str(year)))
+    return readings.select(
         F.year(day).alias("year"),
         F.month(day).alias("month"),
         F.col("AverageTemperature").try_cast("double").alias("average_temperature"),

@@ -153,10 +153,17 @@ def land_arrivals(spark: SparkSession, monthly: list[str], temperatures: str, de
     )
 
 
-def build_arrivals_star(spark: SparkSession, raw_root: str, labels: str, out: str) -> DataFrame:
+def build_arrivals_star(
+    spark: SparkSession,
+    raw_root: str,
+    labels: str,
+    out: str,
+    first_day: str = arrivals.FIRST_DAY,
+    climate_year: int = arrivals.CLIMATE_YEAR,
+) -> DataFrame:
     """Raw tables and label file → staging → fact → dimensions; returns the quality report.
 
-    Raises when a table is missing, unknown, empty or too narrow.
+    Arrivals before ``first_day`` and readings outside ``climate_year`` are left out. Raises when a table is missing, unknown, empty or too narrow.
     """
     pin_utc(spark)
     raw = files.restore_tables(spark, f"{raw_root}/raw")
@@ -172,14 +179,13 @@ def build_arrivals_star(spark: SparkSession, raw_root: str, labels: str, out: st
     save("staging", "states_table", arrivals.states_codes(texts, ["file"]))
     save("staging", "modes_table", arrivals.modes_table(spark))
     save("staging", "visas_table", arrivals.visas_table(spark))
-    stage = save("staging", "immigrations_stage", arrivals.arrivals_stage(raw["immigration_data"], countries))
+    stage = save("staging", "immigrations_stage", arrivals.arrivals_stage(raw["immigration_data"], countries, first_day))
 
     fact = save("ops", "immigrations_table", arrivals.arrivals_fact(stage), ["i94yr", "i94mon"])
     save("ops", "cities_table", arrivals.cities_table(texts, ["file"]))
     save("ops", "states_table", arrivals.states_table(raw["cities_data"]))
-    climate = save(
-        "ops", "us_state_temperatures_table", arrivals.state_temperatures(raw["temp_data"]), ["year", "month"]
-    )
+    readings = arrivals.state_temperatures(raw["temp_data"], climate_year)
+    climate = save("ops", "us_state_temperatures_table", readings, ["year", "month"])
     save("ops", "country_temperatures_table", arrivals.country_temperatures(climate))
     save("ops", "date_table", arrivals.date_table(fact))
 

@@ -140,6 +140,11 @@ def mixed_type_join(spark, folder):
     return code_join(numbered, countries(spark, folder), "nation_number", "country_id")
 
 
+def _climate_columns():
+    parts = [F.col(c).cast("bigint").alias(c) for c in ("year", "month")]
+    return [*parts, F.round("average_temperature", 6).alias("average_temperature")]
+
+
 CLIMATE = """climate AS (
   SELECT year(CAST(dt AS DATE)) AS year, month(CAST(dt AS DATE)) AS month,
          temperature AS average_temperature, State AS state, Country AS country
@@ -161,6 +166,21 @@ def ci_name_join(spark, folder):
     )
 
 
+EVERY_YEAR = CLIMATE.replace(" WHERE dt LIKE '1998%'", "")
+
+
+@query(
+    f"""WITH {TEMPERATURES_SQL}, {EVERY_YEAR}, {COUNTRY_CLIMATE}
+SELECT n.n_nationkey, c.year, c.month, round(c.average_temperature, 6) AS average_temperature
+FROM by_country c JOIN nation n ON lower(n.n_name) = c.country"""
+)
+def ci_name_join_all_years(spark, folder):
+    climate = arrivals.country_temperatures(arrivals.state_temperatures(temperatures(spark, folder), None))
+    return name_join(climate, table(spark, folder, "nation"), "country", "n_name").select(
+        "n_nationkey", *_climate_columns()
+    )
+
+
 # -- builds ------------------------------------------------------------------------
 
 FACT = f"""fact AS (
@@ -234,6 +254,15 @@ def avg_by_group(spark, folder):
     )
 
 
+@query(
+    f"""WITH {TEMPERATURES_SQL}, {EVERY_YEAR}, {COUNTRY_CLIMATE}
+SELECT country, month, year, round(average_temperature, 6) AS average_temperature FROM by_country"""
+)
+def avg_by_group_all_years(spark, folder):
+    climate = arrivals.country_temperatures(arrivals.state_temperatures(temperatures(spark, folder), None))
+    return climate.select("country", *_climate_columns())
+
+
 SPREAD = ", ".join(f"CAST(sum(CASE WHEN race = '{s}' THEN n END) AS BIGINT) AS {s}" for s in SEGMENTS)
 TUPLE = "state_code, state, male_population, female_population, total_population, number_of_veterans, foreign_born"
 

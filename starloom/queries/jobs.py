@@ -8,7 +8,20 @@ from pyspark.sql import functions as F
 
 from starloom.operators.frames import conform
 from starloom.plans import jobs
-from starloom.queries.inputs import LOG_SQL, META_SQL, PLAY, activity_log, song_metadata
+from starloom.queries.arrivals import FACT as ARRIVALS_FACT
+from starloom.queries.inputs import (
+    ARRIVALS_SQL,
+    DAY_ONE,
+    LOG_SQL,
+    META_SQL,
+    PLAY,
+    activity_log,
+    arrivals_raw,
+    demographics,
+    label_lines,
+    song_metadata,
+    temperatures,
+)
 from starloom.queries.loads import BATCHES, PICK, _batches
 from starloom.queries.music import HOURLY, STRICT
 from starloom.queries.registry import as_text, plain, query, table
@@ -99,6 +112,29 @@ def job_lookups_csv(spark, folder):
     return plays.select("artist", "song", "itemInSession", "userId", "sessionId")
 
 
+@query(f"WITH {ARRIVALS_SQL}, {ARRIVALS_FACT} SELECT * FROM fact")
+def job_arrivals_star(spark, folder):
+    """Two Parquet files of arrivals, three CSV sources and the label text, landed raw, then built and checked."""
+    root = scratch_path(spark, "arrivals")
+    raw = arrivals_raw(spark, folder)
+    raw.where("i94mon <= 6").write.parquet(f"{root}/first")
+    raw.where("i94mon > 6").withColumn("insnum", F.lit(1)).write.parquet(f"{root}/second")
+    temperatures(spark, folder).write.csv(f"{root}/temperatures", header=True)
+    demographics(spark, folder).write.csv(f"{root}/demographics", header=True, sep=";")
+    table(spark, folder, "supplier").select("s_suppkey", "s_name").write.csv(f"{root}/airports", header=True)
+    # the countries are the nations; the label lines of customers give states and cities
+    names = table(spark, folder, "nation").selectExpr(r"concat(lpad(n_nationkey, 3, '0'), ' =  \'', n_name, '\'') AS value")
+    others = label_lines(spark, folder).select(F.regexp_replace("value", r"[0-9]{3} =  '[^']*'\n", "").alias("value"))
+    names.unionAll(others).write.text(f"{root}/labels")
+    months = [f"{root}/first", f"{root}/second"]
+    jobs.land_arrivals(
+        spark, months, f"{root}/temperatures", f"{root}/demographics", f"{root}/airports", f"{root}/lake"
+    )
+    jobs.build_arrivals_star(spark, f"{root}/lake", f"{root}/labels", f"{root}/star", DAY_ONE, 1998)
+    fact = spark.read.parquet(f"{root}/star/ops/immigrations_table")
+    return fact.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("arrdate_ts", "depdate_ts")})
+
+
 # -- layouts and raw copies ------------------------------------------------------
 
 

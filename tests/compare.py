@@ -31,6 +31,10 @@ def _plain(value):
     return value
 
 
+def plain_row(row):
+    return tuple(_plain(value) for value in row)
+
+
 def _sorted_rows(names, rows):
     order = sorted(range(len(names)), key=lambda i: names[i])
     plain = [tuple(_plain(row[i]) for i in order) for row in rows]
