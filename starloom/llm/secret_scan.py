@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import partial
 
@@ -23,14 +24,19 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # a run is taken whole, so this finds the lo
 ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 KINDS = ("assign", "access", "hex", "novel")
 
-# Words after which a string may be a secret, and how far from the word it may begin.
+# Words after which a string may be a secret, and how far from the word, or from the end of the identifier that the
+# word is part of, it may begin.
 SENSITIVE = (
     "password", "passwd", "passphrase", "secret", "token", "apikey", "api_key", "api-key", "credential",
     "authorization", "bearer", "private_key", "private-key", "signature",
 )
 CONTEXT = re.compile("|".join(map(re.escape, SENSITIVE)), re.ASCII | re.IGNORECASE)
 REACH = 40
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+IDENTIFIER_REST = re.compile(r"[A-Za-z0-9_.-]*")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+(?:\.[A-Za-z0-9+/_=-]+)*")  # segments joined by dots are one string
+LEAST = 16
+# A string that is plain as a whole is cut at these, one after the other, and its parts are measured.
+CUTS = tuple(map(re.compile, (r"[^.]+", r"[^=]+", r"[^+/_-]+")))
 
 # Characters on either side of a candidate that it is measured against.
 SURROUNDING = 512
@@ -62,17 +68,27 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Spans of long strings that begin near a sensitive word."""
+    """Spans of all long strings that begin near a sensitive word or near the identifier it is part of.
+
+    Where the word is part of a string itself, the rest behind the word is a candidate.
+    """
     low = text.lower()
     if not any(word in low for word in SENSITIVE):
         return []
-    found = {}
+    strings = [m.span() for m in CANDIDATE.finditer(text)]
+    starts = [start for start, _ in strings]
+    found, done = set(), 0
     for hit in CONTEXT.finditer(text):
         at = hit.end()
-        if near := CANDIDATE.search(text, at):
-            if near.start() - at <= REACH:
-                found[near.start()] = near.end()
-    return sorted(found.items())
+        place = bisect_right(starts, at) - 1
+        if place >= 0 and strings[place][0] < at < strings[place][1]:
+            found.add((at, strings[place][1]))
+        last = IDENTIFIER_REST.match(text, at).end() + REACH
+        done = max(done, bisect_left(starts, at))
+        while done < len(strings) and starts[done] <= last:
+            found.add(strings[done])
+            done += 1
+    return sorted((start, end) for start, end in found if end - start >= LEAST)
 
 
 def marginal_bytes(text: str, start: int, end: int, compressor: zstandard.ZstdCompressor) -> int:
@@ -91,12 +107,27 @@ def secret_spans(text: str | None, compressor: zstandard.ZstdCompressor, novelty
         return []
     base = base_spans(text)
     spans = [(*span, None) for span in base]
-    for start, end in candidates(text):
-        if any(s <= start and end <= e for _, s, e in base):
-            continue
+
+    def novel(start: int, end: int, cuts: tuple) -> Iterator[tuple]:
+        if end - start < LEAST or any(s <= start and end <= e for _, s, e in base):
+            return
         marginal = marginal_bytes(text, start, end, compressor)
         if marginal >= novelty * (end - start):
-            spans.append(("novel", start, end, marginal))
+            yield ("novel", start, end, marginal)
+            return
+        for level, cut in enumerate(cuts):
+            parts = [m.span() for m in cut.finditer(text, start, end)]
+            if parts != [(start, end)]:
+                for part in parts:
+                    yield from novel(*part, cuts[level + 1 :])
+                return
+
+    found = {span for candidate in candidates(text) for span in novel(*candidate, CUTS)}
+    reached = 0
+    for span in sorted(found, key=lambda span: (span[1], -span[2])):
+        if span[2] > reached:  # not inside a longer one
+            spans.append(span)
+            reached = span[2]
     return sorted(spans, key=lambda span: (span[1], KINDS.index(span[0])))
 
 

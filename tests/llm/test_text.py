@@ -53,6 +53,25 @@ def test_secrets(spark):
     assert secret_scan.scanned(df.limit(0)).count() == 0
 
 
+def test_secrets_behind_plain_strings(spark):
+    secret = "q9Zx7Lk2Vb8Wn4Rt6Yp1Mj3Hd5Gs0Fa"
+    head, body, sign = "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9", "eyJzdWIiOiI4MTkzNzQ2NTAyIiwiaWF0IjoxNzE2fQ", "Xk7Qm2Zt9Lw4Rb6Vy1Np8Hs3Jd5Fg0CaUe"
+    jwt = f"{head}.{body}.{sign}"
+    texts = [
+        f'secret_access_key_identifier: "{secret}"', f"token_for_production_server => {secret}", f"Authorization: Bearer {jwt}",
+        f"signature one_plain_identifier_here, {secret}", f"secret_access_key={secret}", "token_for_production_server => the_other_production_server",
+        f"nothing of note is near this one: {secret}",
+    ]
+    words = " ".join(["access", "identifier", "production", "server", "plain", "other"] * 20)
+    df = spark.createDataFrame([*enumerate(texts), (99, words)], "doc_id long, text string")
+    got = {r.doc_id: [s for s in r.spans if s.kind == "novel"] for r in secret_scan.scanned(df).collect()}
+    for i, t in enumerate(texts[:5]):
+        start, end = (t.index(jwt), len(t)) if i == 2 else (t.index(secret), t.index(secret) + len(secret))
+        covered = {p for s in got[i] for p in range(s.start, s.end)}
+        assert covered >= set(range(start, end)), (t, got[i])
+    assert got[5] == [] and got[6] == [] and got[99] == []
+
+
 def _simple_mix(rows):
     sizes = {}
     for _, s, t in rows:
