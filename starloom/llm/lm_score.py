@@ -1,12 +1,17 @@
-"""Language-model scoring by cross-entropy difference."""
+"""Language-model scoring by cross-entropy difference.
+
+``word_scored`` models the words of the corpus; ``scored`` is the small model of folded bytes.
+"""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +26,19 @@ SYMBOLS = 1 << BITS
 TABLE = 1 << (BITS * ORDER)
 PUNCTUATION = ".,!?'\"-:;()/%#$&*@=_<>|"
 
+# Words as written, and each other mark; scripts without blanks between words go by characters.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(rf"[^\W{_UNSPACED}]+|[{_UNSPACED}]|[^\w\s]")
+# Names of words are 64-bit hashes; this one stands before the first word of a text.
+BEGIN = 0
+# The most frequent pairs of words, which tasks look up by themselves; all others are joined.
+# Contexts and words with more than HOT_PAIRS distinct pairs are broadcast, at most HOT_NAMES of them, all others
+# shuffled. Both only choose the way to the same result.
+FREQUENT = 1 << 18
+HOT_PAIRS = 1000
+HOT_NAMES = 100_000
+_CACHED_WORDS = 500_000
+
 
 def vocabulary() -> np.ndarray:
     """Symbol of each byte of UTF-8 text.
@@ -174,3 +192,173 @@ def scored(docs: DataFrame, targets: DataFrame, key: str = "doc_id", text: str =
     kind = lean.schema["key"].dataType.simpleString()
     schema = f"key {kind}, n_tokens bigint, target_loss double, background_loss double, score double"
     return lean.mapInArrow(partial(_score, table=table), schema).withColumnRenamed("key", key)
+
+
+class _Names(dict):
+    """Name of each word met, hashed once."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= _CACHED_WORDS:
+            self.clear()
+        self[word] = name = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return name
+
+
+def word_pairs(column: pa.Array, names: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names of the word before and of the word, for each word of the texts, and the words per text. NULL is empty."""
+    before, words, lengths = [], [], np.zeros(len(column), np.int64)
+    for i, text in enumerate(column):
+        found = [names[w] for w in WORD.findall(text.as_py() or "")]
+        lengths[i] = len(found)
+        if found:
+            before.append(BEGIN)
+            before += found[:-1]
+            words += found
+    return np.array(before, np.uint64).view(np.int64), np.array(words, np.uint64).view(np.int64), lengths
+
+
+def _pair_code(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """One number per pair of names, for grouping inside a task."""
+    return (before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ word.view(np.uint64)
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = _Names()
+    for batch in batches:
+        before, word, lengths = word_pairs(batch.column("text"), names)
+        wanted = np.repeat(batch.column("target").to_numpy(zero_copy_only=False).astype(bool), lengths)
+        _, first, group, every = np.unique(_pair_code(before, word), return_index=True, return_inverse=True, return_counts=True)
+        target = np.bincount(group[wanted], minlength=len(first)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (before[first], word[first], every.astype(np.int64), target)],
+            ["before", "word", "every", "target"],
+        )
+
+
+def pair_counts(docs: DataFrame) -> DataFrame:
+    """``(before, word, every, target)`` over whole texts of ``(text, target)``; tasks send sums, not occurrences."""
+    bounded_batches(docs.sparkSession)
+    partial_sums = docs.mapInArrow(_count_pairs, "before bigint, word bigint, every bigint, target bigint")
+    return partial_sums.groupBy("before", "word").agg(F.sum("every").alias("every"), F.sum("target").alias("target"))
+
+
+def _looked_up(rows: DataFrame, table: DataFrame, on: str, pairs: str) -> DataFrame:
+    """``rows`` joined to ``table``, which has every name: names in many pairs by broadcast, the others by shuffle."""
+    values = [c for c in table.columns if c not in (on, pairs)]
+    hot = table.where(F.col(pairs) > HOT_PAIRS).orderBy(F.desc(pairs), on).limit(HOT_NAMES)
+    hot = materialize(hot.select(on, F.struct(*values).alias("hot")), "hot-names")
+    # HOT_NAMES rows at most
+    rows = rows.join(F.broadcast(hot), on, "left")
+    # A row that has its values goes anywhere
+    rows = rows.withColumn("at", F.when(F.col("hot").isNull(), F.col(on)).otherwise(F.xxhash64("before", "word")))
+    cold = table.select(F.col(on).alias("at"), F.struct(*values).alias("cold"))
+    joined = rows.join(cold.hint("shuffle_hash"), "at", "left").withColumn("found", F.coalesce("hot", "cold"))
+    return joined.select("*", "found.*").drop("at", "hot", "cold", "found")
+
+
+def pair_losses(counts: DataFrame) -> DataFrame:
+    """``(before, word, every, target_loss, background_loss)``: bits that either model pays for the word after ``before``.
+
+    Both models are matched: same order, same vocabulary (all words of the corpus), same smoothing:
+    Witten-Bell pairs backed by single words, and these by equal shares.
+    """
+    sides = ("every", "target")
+    words = materialize(
+        counts.groupBy("word").agg(*[F.sum(s).alias(f"word_{s}") for s in sides], F.count("*").alias("pairs")), "words"
+    )
+    contexts = materialize(
+        counts.groupBy("before").agg(
+            *[F.sum(s).alias(f"sum_{s}") for s in sides],
+            *[F.count_if(F.col(s) > 0).alias(f"kinds_{s}") for s in sides],
+            F.count("*").alias("pairs"),
+        ),
+        "contexts",
+    )
+    total = words.agg(F.count("*").alias("kinds"), *[F.coalesce(F.sum(f"word_{s}"), F.lit(0)).alias(s) for s in sides]).first()
+    lower = words.select(
+        "word", "pairs", *[((F.col(f"word_{s}") + 1) / F.lit(max(1, total[s] + total["kinds"]))).alias(f"low_{s}") for s in sides]
+    )
+    joined = _looked_up(_looked_up(counts, contexts, "before", "pairs"), lower, "word", "pairs")
+
+    def loss(s: str):
+        mixed = F.try_divide(F.col(s) + F.col(f"kinds_{s}") * F.col(f"low_{s}"), F.col(f"sum_{s}") + F.col(f"kinds_{s}"))
+        return -F.log2(F.coalesce(mixed, F.col(f"low_{s}")))
+
+    return joined.select("before", "word", "every", loss("target").alias("target_loss"), loss("every").alias("background_loss"))
+
+
+def _sum_pairs(batches: Iterator[pa.RecordBatch], frequent: Broadcast) -> Iterator[pa.RecordBatch]:
+    """Per text one row with its words and the losses of its frequent pairs, and one per other pair."""
+    codes, *losses = frequent.value
+    names = _Names()
+    for batch in batches:
+        before, word, lengths = word_pairs(batch.column("text"), names)
+        doc, code = np.repeat(np.arange(len(lengths)), lengths), _pair_code(before, word)
+        place = np.minimum(np.searchsorted(codes, code), max(len(codes) - 1, 0))
+        known = codes[place] == code if len(codes) else np.zeros(len(code), bool)
+        sums = [np.bincount(doc[known], weights=x[place[known]], minlength=len(lengths)).astype(float) for x in losses]
+        rest = np.flatnonzero(~known)
+        rest = rest[np.lexsort((code[rest], doc[rest]))]
+        new = np.ones(len(rest), bool)
+        new[1:] = (code[rest][1:] != code[rest][:-1]) | (doc[rest][1:] != doc[rest][:-1])
+        times = np.diff(np.append(np.flatnonzero(new), len(rest)))
+        rest = rest[new]
+        row, some = batch.column("row"), len(rest)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.concat_arrays([row, row.take(pa.array(doc[rest]))]),
+                pa.concat_arrays([batch.column("key"), pa.nulls(some, batch.column("key").type)]),
+                pa.concat_arrays([pa.array(lengths), pa.nulls(some, pa.int64())]),
+                *[pa.concat_arrays([pa.array(x), pa.nulls(some, pa.float64())]) for x in sums],
+                *[pa.concat_arrays([pa.nulls(len(lengths), pa.int64()), pa.array(x[rest])]) for x in (before, word)],
+                pa.concat_arrays([pa.nulls(len(lengths), pa.int32()), pa.array(times.astype(np.int32))]),
+            ],
+            ["row", "key", "n_tokens", "target_sum", "background_sum", "before", "word", "times"],
+        )
+
+
+def word_scored(
+    docs: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", frequent: int = FREQUENT
+) -> DataFrame:
+    """One row per document: ``key``, ``n_tokens``, ``target_loss``, ``background_loss`` and ``score``.
+
+    Both models count pairs of words over the vocabulary of all documents. The target model counts the documents
+    whose key is in ``targets`` (one column ``key``, repeats and NULLs do no harm), the background model counts all.
+    Losses are bits per word, ``score`` is target minus background: the lower, the more a document is like the target. Whole texts
+    are counted and scored; counts and losses stay tables, and only the ``frequent`` most frequent pairs
+    reach the driver, to spare their join. Texts without words and NULL have NULL losses. Without target documents the target
+    model gives equal shares. Repeated rows get the same answer each. An empty table gives no rows; other columns do not matter.
+    """
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    lean = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    wanted = materialize(targets.select("key").where("key is not null").distinct(), "targets")
+    flagged = lean.join(wanted.withColumn("target", F.lit(True)), "key", "left")
+    counts = materialize(pair_counts(flagged.select("text", F.coalesce("target", F.lit(False)).alias("target"))), "pairs")
+    losses = materialize(pair_losses(counts), "pair-losses")
+    top = losses.orderBy(F.desc("every"), "before", "word").limit(frequent).drop("every").toArrow()
+    before, word, *values = (top[n].to_numpy() for n in top.column_names)
+    code = _pair_code(before, word)
+    order = np.argsort(code)
+    shared = spark.sparkContext.broadcast([x[order] for x in (code, *values)])
+    kind = lean.schema["key"].dataType.simpleString()
+    schema = (
+        f"row bigint, key {kind}, n_tokens bigint, target_sum double, background_sum double, before bigint, word bigint, times int"
+    )
+    parts = lean.withColumn("row", F.monotonically_increasing_id()).mapInArrow(partial(_sum_pairs, frequent=shared), schema)
+    # The row that stands for the text meets no pair: it goes anywhere.
+    pair = F.xxhash64("before", "word")
+    at = F.when(F.col("times").isNull(), F.xxhash64("row")).otherwise(pair)
+    sent = parts.select("row", "key", "n_tokens", "target_sum", "background_sum", "times", at.alias("at"))
+    priced = losses.select(pair.alias("at"), "target_loss", "background_loss")
+    joined = sent.join(priced, "at", "left")
+    sides = ("target", "background")
+    own = [F.coalesce(f"{s}_sum", F.col("times") * F.col(f"{s}_loss")).alias(f"{s}_sum") for s in sides]
+    whole = (
+        joined.select("row", "key", "n_tokens", *own)
+        .groupBy("row")
+        .agg(F.max("key").alias("key"), F.max("n_tokens").alias("n_tokens"), *[F.sum(f"{s}_sum").alias(f"{s}_sum") for s in sides])
+    )
+    mean = [F.try_divide(F.col(f"{s}_sum"), F.col("n_tokens")).alias(f"{s}_loss") for s in sides]
+    found = whole.select("key", "n_tokens", *mean)
+    return found.withColumn("score", F.col("target_loss") - F.col("background_loss")).withColumnRenamed("key", key)

@@ -180,3 +180,57 @@ def test_language_model_losses(spark):
             assert r.target_loss == pytest.approx(t, rel=1e-4) and r.background_loss == pytest.approx(b, rel=1e-4)
             assert r.score == pytest.approx(t - b, abs=1e-3)
     assert lm_score.scored(df.limit(0), targets).count() == 0
+
+
+def _brute_word_losses(texts, wanted):
+    """Witten-Bell over pairs of words, for both models, per text."""
+    split = [lm_score.WORD.findall(t or "") for t in texts]
+    kinds = len({w for ws in split for w in ws})
+    found = []
+    for side in ([w for w, use in zip(split, wanted) if use], split):
+        pairs, after, single, total = {}, {}, {}, 0
+        for ws in side:
+            for pair in zip([None, *ws], ws):
+                pairs[pair] = pairs.get(pair, 0) + 1
+                after.setdefault(pair[0], []).append(pair[1])
+                single[pair[1]] = single.get(pair[1], 0) + 1
+                total += 1
+
+        def loss(a, b):
+            low = (single.get(b, 0) + 1) / (total + kinds)
+            seen = after.get(a, [])
+            n = len(set(seen))
+            return -np.log2((pairs.get((a, b), 0) + n * low) / (len(seen) + n) if seen else low)
+
+        found.append([sum(map(loss, [None, *ws], ws)) / len(ws) if ws else None for ws in split])
+    return list(zip([len(ws) for ws in split], *found))
+
+
+@pytest.mark.parametrize("frequent", [0, 3, 1000])
+def test_word_model_losses(spark, monkeypatch, frequent):
+    monkeypatch.setattr(lm_score, "HOT_PAIRS", 2)
+    rng = random.Random(7)
+    words = ["the", "The", "cat", "dog", "sat", "é", "õ", "12", "13", "мир", "мыр", "漢字", ".", ","]
+    texts = ["the cat sat.", "THE dog", None, "", " ", "é", "õ", "the cat sat."]
+    texts += [" ".join(rng.choices(words, k=rng.randrange(1, 30))) for _ in range(30)]
+    df = spark.createDataFrame([(i if i != 9 else None, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, target int")
+    targets = spark.createDataFrame([(0,), (0,), (5,), (11,), (None,), (99,)], "key long")
+    got = {r.doc_id if r.doc_id is not None else 9: r for r in lm_score.word_scored(df, targets, frequent=frequent).collect()}
+    expected = _brute_word_losses(texts, [i in (0, 5, 11) for i in range(len(texts))])
+    assert len(got) == len(texts)
+    for i, (n, t, b) in enumerate(expected):
+        r = got[i]
+        assert r.n_tokens == n
+        assert (r.target_loss, r.background_loss, r.score) == ((None,) * 3 if t is None else pytest.approx((t, b, t - b)))
+    assert got[5].score < got[6].score  # letters outside ASCII are told apart
+    assert lm_score.word_scored(df.limit(0), targets).count() == 0
+
+
+def test_query_scores_words(spark):
+    from starloom.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = QUERIES["op9_lm_score"](spark, folder).collect()
+    assert len(rows) == len(texts)
+    assert all(r.n_tokens == len(lm_score.WORD.findall(texts[r.doc_id] or "")) for r in rows)
