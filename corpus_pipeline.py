@@ -16,7 +16,7 @@ from starloom.session import pin_utc, scratch_path
 
 
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the ordinal classifier, fitted on the labels, does not reject."""
+    """Documents that the ordinal classifier, fitted on the labels, takes for good: neither poor nor toxic."""
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.selected(docs, model)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
 import numpy as np
@@ -19,9 +19,12 @@ from starloom.llm.support import bounded_batches
 FIT_DOCUMENTS = 6000
 BUCKETS = 1 << 16
 GRADES = 3
-# A document is selected if a grade of at least SELECT_GRADE is at least this likely.
-SELECT_GRADE = 1
-SELECT_PROBABILITY = 0.5
+# A document is selected if a grade of at least SELECT_GRADE, the good one, is as likely as the model asks for.
+SELECT_GRADE = 2
+# Parts of the rated documents that are held out in turn to find that probability.
+FOLDS = 4
+# Share of the good held-out documents that it must keep.
+CLEAN_SHARE = 0.95
 ROUNDS = 150
 RATE = 0.1
 PENALTY = 2e-5
@@ -29,10 +32,12 @@ PENALTY = 2e-5
 
 @dataclass(frozen=True)
 class Model:
-    """Weights shared by all grades, and one rising threshold between each two grades."""
+    """Weights shared by all grades, one rising threshold between each two grades, and the least probability of a
+    good grade that selects a document."""
 
     weights: np.ndarray
     thresholds: np.ndarray
+    least: float = 0.0
 
     def tails(self, scores: np.ndarray) -> np.ndarray:
         """Probability of a grade above 0, above 1, ... per score."""
@@ -120,7 +125,37 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     lengths = pc.list_value_length(rows["buckets"]).to_numpy()
     bucket = pc.list_flatten(rows["buckets"]).to_numpy()
     value = pc.list_flatten(rows["vals"]).to_numpy().astype(float)
-    return fit_rows(grade, np.repeat(np.arange(len(grade)), lengths), bucket, value)
+    entries = np.repeat(np.arange(len(grade)), lengths), bucket, value
+    return replace(fit_rows(grade, *entries), least=held_out_least(grade, *entries))
+
+
+def held_out_least(grade: np.ndarray, doc: np.ndarray, bucket: np.ndarray, value: np.ndarray, folds: int = FOLDS) -> float:
+    """Probability of SELECT_GRADE that parts the grades best, each document scored by a model that has not seen it.
+
+    Best is the highest mean, over the grades, of the share on the right side, so that the many good
+    documents do not outvote the few toxic ones, among those that keep CLEAN_SHARE of the good ones. Without documents on both sides nothing is known, and 0 rejects none.
+    """
+    good = grade >= SELECT_GRADE
+    if good.all() or not good.any():
+        return 0.0
+    fold, chance = np.zeros(len(grade), np.int64), np.zeros(len(grade))
+    for g in range(GRADES):  # each fold has its share of every grade
+        fold[grade == g] = np.arange((grade == g).sum()) % folds
+    for k in range(folds):
+        seen = fold != k
+        use, place = seen[doc], np.cumsum(seen) - 1
+        model = fit_rows(grade[seen], place[doc[use]], bucket[use], value[use])
+        score = np.bincount(doc, weights=value * model.weights[bucket], minlength=len(grade))
+        chance[~seen] = model.tails(score[~seen])[:, SELECT_GRADE - 1]
+    bounds = np.unique(chance)
+    right = np.zeros(len(bounds) - 1)
+    for g in np.unique(grade):
+        below = np.searchsorted(np.sort(chance[grade == g]), bounds[1:]) / (grade == g).sum()
+        right += 1 - below if g >= SELECT_GRADE else below
+    kept = 1 - np.searchsorted(np.sort(chance[good]), bounds[1:]) / good.sum()
+    right = right[kept >= CLEAN_SHARE]
+    best = int(right.argmax()) if len(right) else -1
+    return float(bounds[best : best + 2].mean()) if best >= 0 else 0.0
 
 
 def fit_rows(grade: np.ndarray, doc: np.ndarray, bucket: np.ndarray, value: np.ndarray, rounds: int = ROUNDS) -> Model:
@@ -168,7 +203,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model, grade: int, least: f
         tail = tails[:, grade - 1]
         rest = [n for n in batch.schema.names if n != "text"]
         yield pa.RecordBatch.from_arrays(
-            [*batch.select(rest).columns, pa.array(tails.sum(axis=1)), pa.array(tail), pa.array(tail >= least)],
+            [*batch.select(rest).columns, pa.array(tails.sum(axis=1)), pa.array(tail), pa.array((tail >= least) & (count > 0))],
             [*rest, "expected_grade", "tail_probability", "selected"],
         )
 
@@ -179,11 +214,12 @@ def graded(
     keys: list[str],
     text: str = "text",
     grade: int = SELECT_GRADE,
-    least: float = SELECT_PROBABILITY,
+    least: float | None = None,
 ) -> DataFrame:
     """``keys`` of every document with ``expected_grade``, ``tail_probability`` and ``selected``.
 
-    ``tail_probability`` is that of a grade of at least ``grade``. Whole texts are scored. A
+    ``tail_probability`` is that of a grade of at least ``grade``; ``least`` of it selects, by default what the
+    model found on held-out labels. Whole texts are scored. A
     text without words, NULL included, has grade 0 for sure. Repeated rows get the same answer each; an empty table
     gives no rows; other columns do not matter.
     """
@@ -191,6 +227,7 @@ def graded(
     lean = docs.select(*keys, F.col(text).alias("text")) if text not in keys else docs.select(*keys)
     kinds = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{kinds}, expected_grade double, tail_probability double, selected boolean"
+    least = model.least if least is None else least
     return lean.mapInArrow(partial(_score, model=model, grade=grade, least=least), schema)
 
 
@@ -202,8 +239,9 @@ def _select(batches: Iterator[pa.RecordBatch], model: Model, text: str, grade: i
 
 
 def selected(
-    docs: DataFrame, model: Model, text: str = "text", grade: int = SELECT_GRADE, least: float = SELECT_PROBABILITY
+    docs: DataFrame, model: Model, text: str = "text", grade: int = SELECT_GRADE, least: float | None = None
 ) -> DataFrame:
     """The documents that the model selects, under their own columns, in one pass without a shuffle."""
     bounded_batches(docs.sparkSession)
+    least = model.least if least is None else least
     return docs.mapInArrow(partial(_select, model=model, text=text, grade=grade, least=least), docs.schema)

@@ -139,6 +139,24 @@ def test_quality_on_held_out_documents(spark):
     assert quality.selected(docs, untrained).count() == 400 and quality.graded(docs.limit(0), model, ["doc_id"]).count() == 0
 
 
+def test_selection_drops_toxic_and_keeps_clean_documents(spark):
+    rng = random.Random(5)
+    words = [f"wo{c}{d}" for c in "abcdefgh" for d in "rstuv"]
+    grades = rng.choices([0, 1, 2], [1, 1, 8], k=800)
+
+    def text(grade):
+        body = [w.upper() if grade == 0 else w for w in rng.choices(words, k=60)]
+        return " ".join(body + ["vile", "nasty"] * (grade == 1))
+
+    docs = spark.createDataFrame([(i, text(g)) for i, g in enumerate(grades)], "doc_id long, text string")
+    labels = [(i, int(g > 0), int(g == 1)) for i, g in enumerate(grades[:400])]
+    model = quality.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    kept = {r.doc_id for r in quality.selected(docs, model).collect()}
+    assert kept == {r.doc_id for r in quality.graded(docs, model, ["doc_id"]).where("selected").collect()}
+    share = [np.mean([i in kept for i, g in enumerate(grades) if g == wanted and i >= 400]) for wanted in range(3)]
+    assert share[0] <= 0.1 and share[1] <= 0.1 and share[2] >= 0.95, share
+
+
 def _brute_losses(texts, wanted):
     """Witten-Bell by dictionaries, for both models, per n-gram."""
     symbol = lm_score.vocabulary()
