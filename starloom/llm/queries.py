@@ -5,7 +5,20 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, embedding_dedup, exact_dedup, lm_score, mixing, quality, secret_scan, simhash, url_filter, warc
+from starloom.llm import (
+    bpe,
+    embedding_dedup,
+    exact_dedup,
+    lexical_search,
+    lm_score,
+    mixing,
+    quality,
+    secret_scan,
+    simhash,
+    url_filter,
+    warc,
+    whitening,
+)
 from starloom.llm.registry import ORACLE, QUERIES, query
 from starloom.queries.registry import table
 from starloom.session import scratch_path
@@ -88,3 +101,20 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of all documents and their components at 2 bits."""
     groups = simhash.near_groups(table(spark, folder, "documents"))
     return groups.select("doc_id", "fingerprint", "component_id")
+
+
+@query()
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """All vectors along the first 16 eigenvectors of the covariance of the distinct ones."""
+    vectors = table(spark, folder, "embeddings")
+    found = whitening.whitened(vectors, whitening.fit(vectors, "embedding"), "vec_id", "embedding")
+    return found.withColumnRenamed("id", "vec_id")
+
+
+@query(lexical_search.SQL)
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    found = lexical_search.ranked(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), "doc_id", "text", "item_id", "text"
+    )
+    return found.select(found.item.alias("item_id"), "rank", found.doc.alias("doc_id"), "score")

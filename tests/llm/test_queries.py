@@ -25,7 +25,7 @@ def test_pipeline_against_plain_python(spark):
     from tests.llm.test_dedup import _components, _normal
     from tests.llm.test_text import TOKENIZER
 
-    assert contract.queries()["pipeline"] is corpus_pipeline.run and len(QUERIES) == 10
+    assert contract.queries()["pipeline"] is corpus_pipeline.run and len(QUERIES) == 13
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     model = quality.fit(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"))
     rows = sorted(map(tuple, quality.selected(docs, model).collect()))
