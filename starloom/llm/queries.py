@@ -12,6 +12,7 @@ from starloom.llm import (
     lexical_search,
     lm_score,
     mixing,
+    pii,
     quality,
     secret_scan,
     simhash,
@@ -118,3 +119,9 @@ def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), table(spark, folder, "benchmark"), "doc_id", "text", "item_id", "text"
     )
     return found.select(found.item.alias("item_id"), "rank", found.doc.alias("doc_id"), "score")
+
+
+@query()
+def op13_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in all documents."""
+    return pii.digest(pii.scanned(table(spark, folder, "documents"), "text", keep=["doc_id"]), ["doc_id"])
