@@ -137,16 +137,41 @@ def _placed(side: DataFrame, own: str, own_slices: Column, other: str, other_sli
     )
 
 
-def code_join(fact: DataFrame, codes: DataFrame, fact_key: str, code_key: str, how: str = "inner") -> DataFrame:
-    """Join a fact to a code list; both keys are compared as numbers.
+def _code_key(df: DataFrame, column: str, side: str) -> DataFrame:
+    """``df`` with its code as a 64-bit key.
+
+    A whole number is its own key, which keeps the join on one long. The few other numbers have a hash as key
+    and, in ``_odd``, their exact value; text and NaN that are no number get no key.
+    """
+    kind, value = df.schema[column].dataType, F.col(column)
+    exact = value.try_cast(CODE_TYPE)
+    if isinstance(kind, T.IntegralType):
+        whole = value.cast("bigint")
+    elif isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        whole = F.when((value == F.floor(value)) & (F.abs(value) < 2.0**53), value.cast("bigint"))
+    else:
+        # not evaluated for text that is a plain whole number
+        rounded = F.when(exact == F.floor(exact), exact.try_cast("bigint"))
+        whole = F.coalesce(F.trim(value).try_cast("bigint"), rounded) if isinstance(kind, T.StringType) else rounded
+    df = df.withColumn("_code", whole)
+    odd = F.when(F.col("_code").isNull(), exact)
+    return df.withColumn(f"_odd_{side}", odd).withColumn(
+        "_code", F.coalesce("_code", F.when(F.col(f"_odd_{side}").isNotNull(), F.xxhash64(f"_odd_{side}")))
+    )
+
+
+def code_join(fact: DataFrame, codes: DataFrame, fact_key: str, code_key: str) -> DataFrame:
+    """Inner join of a fact to a code list; both keys are compared as numbers.
 
     Covers a numeric fact key against a text code key (``582.0`` and ``'582'``).
-    The numbers are exact decimals, so long codes do not collide and NaN is no code; 582.5 is a code of its own.
-    Rows whose code is NULL, no number or unknown drop out of the inner form.
+    Codes are exact to six decimals, so long codes do not collide and NaN is no code; 582.5 is a code of its own.
+    Rows whose code is NULL, no number or unknown drop out.
     """
-    numbered = codes.withColumn(code_key, F.col(code_key).try_cast(CODE_TYPE)).withColumnRenamed(code_key, "_code")
-    coded = fact.withColumn("_code", F.col(fact_key).try_cast(CODE_TYPE))
-    return dim_join(coded, numbered, ["_code"], how).drop("_code")
+    numbered = _code_key(codes, code_key, "right").drop(code_key)
+    joined = dim_join(_code_key(fact, fact_key, "left"), numbered, ["_code"])
+    # two odd numbers, or an odd and a whole one, may share a key
+    both_whole = F.col("_odd_left").isNull().cast("int") + F.col("_odd_right").isNull().cast("int") == 2
+    return joined.where(both_whole | (F.col("_odd_left") == F.col("_odd_right"))).drop("_code", "_odd_left", "_odd_right")
 
 
 def label_join(fact: DataFrame, codes: dict[int, str], fact_key: str, label: str) -> DataFrame:

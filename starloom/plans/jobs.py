@@ -12,9 +12,10 @@ from starloom.operators.keys import dense_ids, gap_ids
 from starloom.operators.merge import absent_rows
 from starloom.plans import arrivals, lookups, music, quality
 from starloom.session import materialize, pin_utc
+from starloom.sinks.audit import stage_lines
 from starloom.sinks.loads import export_csv, insert_if_absent, land_raw, load, read_as, table_exists
 from starloom.sources import files
-from starloom.sources.staging import read_lines, stage_by_path
+from starloom.sources.staging import marked, read_lines, stage_by_path
 
 MONTHS = ["year", "month"]
 
@@ -25,18 +26,27 @@ def _with_month(df: DataFrame) -> DataFrame:
 
 
 def stage_music(
-    spark: SparkSession, logs: str, songs: str, out: str, log_paths: list[str] | None = None
+    spark: SparkSession,
+    logs: str,
+    songs: str,
+    out: str,
+    log_paths: list[str] | None = None,
+    most_rejected: float = 1.0,
 ) -> tuple[DataFrame, DataFrame]:
     """Parse the JSON sources once into staging tables; every later step reads those.
 
     ``log_paths`` lists one JSON path per log column, for logs whose keys do
-    not carry the column names.
+    not carry the column names. Without it, lines that do not fit the log's schema go to ``out``/rejects,
+    and a larger share of them than ``most_rejected`` ends the job.
     """
+    lines = read_lines(spark, logs)
     if log_paths:
-        lines = stage_by_path(read_lines(spark, logs), "value", log_paths, schemas.ACTIVITY_LOG)
+        by_path = stage_by_path(lines, "value", log_paths, schemas.ACTIVITY_LOG)
+        log = load(music.typed_log(by_path), f"{out}/staging/events", "overwrite")
     else:
-        lines = files.read_logs(spark, logs)
-    log = load(music.typed_log(lines), f"{out}/staging/events", "overwrite")
+        parsed = marked(lines.where("trim(value) <> ''"), "value", schemas.ACTIVITY_LOG)
+        good = stage_lines(parsed, f"{out}/staging/events", f"{out}/rejects", "log", most_rejected)
+        log = music.typed_log(good)
     return log, load(files.read_songs(spark, songs), f"{out}/staging/songs", "overwrite")
 
 
@@ -48,6 +58,7 @@ def build_music_star(
     rules: str = "keyed",
     mode: str = "errorifexists",
     log_paths: list[str] | None = None,
+    most_rejected: float = 1.0,
 ) -> dict[str, DataFrame]:
     """Build the five tables below ``out``/tables under one of the rule sets of ``plans.music``.
 
@@ -58,7 +69,7 @@ def build_music_star(
     pin_utc(spark)
     if mode == "insert_if_absent" and rules != "keyed":
         raise ValueError("only the keyed rules name a key to compare by")
-    log, metadata = stage_music(spark, logs, songs, out, log_paths)
+    log, metadata = stage_music(spark, logs, songs, out, log_paths, most_rejected)
     played = music.plays(log)
     tables: dict[str, DataFrame] = {}
 
@@ -106,7 +117,7 @@ def build_music_star(
         save("time", music.time_dim(played, seconds), MONTHS)
         fact = gap_ids(music.songplays_lake(log, song_dim, artist_dim), "songplay_id")
     elif rules == "strict":
-        save("songs", music.songs_dim(metadata))
+        save("songs", music.songs_dim(metadata.where("song_id is not null")))
         save("artists", music.artists_dim(metadata))
         save("users", music.users_dim(played))
         fact_dim = save("songplays", _with_month(music.songplays_strict(log, metadata)), MONTHS)

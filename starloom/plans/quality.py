@@ -43,6 +43,11 @@ def table_checks(table: DataFrame, checks: dict[str, tuple[Column, int]]) -> Dat
     return _verdict(answers.select(rows.alias("r")).select("r.*"))
 
 
+def stated_checks(spark: SparkSession, checks: list[tuple[str, int, int]]) -> DataFrame:
+    """Checks ``(name, actual, expected)`` whose values are known already, as from a write that counted its rows."""
+    return _verdict(literal_rows(spark, checks, ["check", "actual", "expected"]))
+
+
 def sql_checks(spark: SparkSession, checks: list[dict]) -> DataFrame:
     """Checks given as ``{"check_sql": one-value query, "expected_result": value}``."""
     answers = []

@@ -60,6 +60,12 @@ ORDER BY songs_played DESC, artists_played DESC, user_id, last_name
 """
 
 
+def arrivals_in_state(arrivals: DataFrame, cities: DataFrame, state: str) -> DataFrame:
+    """The arrivals at the ports of one state: what reports on it need of stage or fact, before either is distinct."""
+    ports = cities.where(F.col("state_code") == state).select(F.col("city_id").alias("i94port"))
+    return dim_join(arrivals, ports, ["i94port"], "left_semi")
+
+
 def arrivals_by_weekday(fact: DataFrame, dates: DataFrame, cities: DataFrame, state: str) -> DataFrame:
     """Arrivals per weekday at the ports of one state.
 

@@ -292,5 +292,6 @@ def star_weekday_by_state(spark, folder):
     ports = F.concat(F.lit("X"), F.substring("i94port", 2, 2))
     stage = _stage(spark, folder).withColumn("i94port", ports)
     cities = arrivals.cities_table(label_lines(spark, folder), ["c_custkey"])
-    # the stage holds the same dates as the distinct fact, and needs two columns for them
-    return reports.arrivals_by_weekday(arrivals.arrivals_fact(stage), arrivals.date_table(stage), cities, "MA")
+    # the state's rows are found before the distinct over 16 columns; they hold all dates that the report can meet
+    local = reports.arrivals_in_state(stage, cities, "MA")
+    return reports.arrivals_by_weekday(arrivals.arrivals_fact(local), arrivals.date_table(local), cities, "MA")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.frames import conform
 from starloom.plans import jobs
+from starloom.plans.quality import QualityError
 from starloom.queries.arrivals import FACT as ARRIVALS_FACT
 from starloom.queries.inputs import (
     ARRIVALS_SQL,
@@ -31,6 +32,7 @@ from starloom.sinks import layout
 from starloom.sinks.loads import export_csv, land_raw, load, read_as, replace_partitions
 from starloom.sources import files
 from starloom.streaming.hourly import run_hourly
+from starloom.streaming.intake import run_intake
 
 FACT = ["start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent"]
 BASE = f"WITH {LOG_SQL},\n{META_SQL}\n"
@@ -98,6 +100,57 @@ def job_hourly(spark, folder):
     return fact.withColumn("start_time", plain(F.col("start_time")))
 
 
+@query(
+    f"""{BASE}, played AS (
+  SELECT *, row_number() OVER (PARTITION BY ts, userId ORDER BY event_id % 2, level, song, artist, length, sessionId,
+    location, userAgent) AS rn FROM log WHERE page = 'purchase'),
+kept AS (SELECT *, row_number() OVER (ORDER BY event_id % 2, ts, userId NULLS FIRST) AS songplay_id FROM played WHERE rn = 1)
+SELECT songplay_id, make_timestamp(ts * 1000) AS start_time, CAST(userId AS VARCHAR) AS user_id, level,
+CAST(sessionId AS INTEGER) AS session_id FROM kept"""
+)
+def job_keyed_incremental(spark, folder):
+    """Two runs with half of the log each, then one that finds no new file; ids go on."""
+    root = scratch_path(spark, "intake")
+    page = F.when(F.col("page") == PLAY, "NextSong").otherwise(F.col("page"))
+    log = activity_log(spark, folder).withColumn("page", page)
+    song_metadata(spark, folder).write.json(f"{root}/songs")
+    for half in (0, 1):
+        log.where(F.col("event_id") % 2 == half).write.json(f"{root}/log/{half}")
+        run_intake(spark, f"{root}/log", f"{root}/songs", f"{root}/star")
+    run_intake(spark, f"{root}/log", f"{root}/songs", f"{root}/star")
+    fact = spark.read.parquet(f"{root}/star/tables/songplays")
+    fact = fact.select("songplay_id", "start_time", "user_id", "level", "session_id")
+    return as_text(fact.withColumn("start_time", plain(F.col("start_time"))), "user_id")
+
+
+@query(
+    f"""{BASE}, {STRICT} SELECT DISTINCT 'visible' AS kind, songplay_id AS value FROM strict WHERE day(start_time) <= 10
+UNION ALL SELECT 'rejected', event_id || ' is no record' FROM log WHERE day(make_timestamp(ts * 1000)) > 10"""
+)
+def job_hourly_rejected(spark, folder):
+    """A run with too many bad lines keeps these and leaves the tables of the run before as they were."""
+    root = scratch_path(spark, "rejected")
+    page = F.when(F.col("page") == PLAY, "NextSong").otherwise(F.col("page"))
+    log = activity_log(spark, folder).withColumn("page", page)
+    early = F.dayofmonth(F.timestamp_millis("ts")) <= 10
+    log.where(early).write.json(f"{root}/log/2024/1")
+    song_metadata(spark, folder).write.json(f"{root}/songs")
+    args = (f"{root}/log/{{year}}/{{month}}", f"{root}/songs", f"{root}/wh")
+    run_hourly(spark, "2024-01-10", *args, most_rejected=0.0)
+    bad = log.where(~early).select(F.concat(F.col("event_id").cast("string"), F.lit(" is no record")).alias("value"))
+    bad.write.mode("append").text(f"{root}/log/2024/1")
+    log.where(~early).write.mode("append").json(f"{root}/log/2024/1")
+    try:
+        run_hourly(spark, "2024-01-31", *args, most_rejected=0.1)
+    except QualityError:
+        pass
+    else:
+        raise AssertionError("the run with bad lines was not stopped")
+    fact = spark.read.parquet(f"{root}/wh/songplays").select(F.lit("visible").alias("kind"), F.col("songplay_id").alias("value"))
+    rejects = spark.read.parquet(f"{root}/wh/rejects/run_date=2024-01-31")
+    return fact.unionAll(rejects.select(F.lit("rejected"), "text"))
+
+
 @query(
     f"""WITH {LOG_SQL} SELECT artist, song, CAST(CAST(event_id % 1000 AS INTEGER) AS VARCHAR) AS "itemInSession",
 CAST(userId AS VARCHAR) AS "userId", CAST(sessionId AS VARCHAR) AS "sessionId" FROM log WHERE artist IS NOT NULL"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from starloom.operators.joins import sliced_join
@@ -9,7 +11,8 @@ from starloom.operators.keys import dense_ids
 from starloom.queries.registry import query, table
 from starloom.schemas import contract
 from starloom.session import scratch_path
-from starloom.sinks.loads import insert_if_absent, load, load_query, read_as, upsert
+from starloom.sinks import versioned
+from starloom.sinks.loads import insert_if_absent, insert_sorted, load, load_query, load_sorted, read_as, upsert
 
 COLUMNS = ["event_id", "user_id", "event_type", "value"]
 PICK = "event_id, user_id, event_type, value"
@@ -72,6 +75,29 @@ def upsert_last_write(spark, folder):
     return read_as(first, path)
 
 
+@query(f"WITH {BATCHES} SELECT * FROM two UNION ALL SELECT * FROM one WHERE event_id NOT IN (SELECT event_id FROM two)")
+def upsert_bucketed(spark, folder):
+    """The same batches into buckets of the key: only buckets that the batch touches are written anew."""
+    first, second = _batches(spark, folder)
+    older = second.withColumn("value", F.col("value") - 500)
+    name, root = f"upsert_{uuid.uuid4().hex}", scratch_path(spark, "upsert-bucketed")
+    versioned.create(spark, name, first.schema, root, ["event_id"], 8)
+    versioned.upsert(spark, name, first, ["value"])
+    versioned.upsert(spark, name, older.unionAll(second), ["value"])
+    return versioned.read(spark, name)
+
+
+@query(f"WITH {BATCHES} SELECT * FROM one UNION ALL SELECT * FROM two WHERE event_id NOT IN (SELECT event_id FROM one)")
+def insert_sorted_keys(spark, folder):
+    """The partition is not in the key: key ranges of the batch, not partitions, limit what is read."""
+    first, second = _batches(spark, folder)
+    path = scratch_path(spark, "insert-sorted")
+    load_sorted(first, path, ["event_id"], partition_by=["event_type"])
+    for _ in range(2):
+        insert_sorted(second.unionAll(second), path, ["event_id"], ["value"], ["event_type"])
+    return read_as(first, path)
+
+
 @query("SELECT nullif(user_id % 50, 0) AS k, min(value) AS value FROM events GROUP BY 1")
 def insert_if_absent_null_key(spark, folder):
     """NULL is a key like any other: three loads of a batch leave one row for it."""

@@ -15,6 +15,8 @@ from starloom.sources.files import subfolders
 
 # Partitions of one batch that are named one by one in the filter on the target.
 LITERAL_PARTITIONS = 500
+# Stretches of a batch's sorted keys that become a filter on a sorted target.
+KEY_RANGES = 64
 
 LOAD_MODES = ("append", "overwrite", "errorifexists")
 
@@ -87,23 +89,77 @@ def _touched(target: DataFrame, batch: DataFrame, partition_by: list[str]) -> Da
     return target.where(reduce(lambda a, b: a | b, wanted, F.lit(False)))
 
 
-def insert_if_absent(
+def load_sorted(
+    df: DataFrame, path: str, keys: list[str], mode: str = "errorifexists", partition_by: list[str] | None = None
+) -> DataFrame:
+    """Write a table whose files hold narrow, sorted ranges of the key, so that ``in_key_ranges`` can skip most of them.
+
+    Equal keys may be cut over several files, so a hot one does not make a large file.
+    """
+    if mode not in LOAD_MODES:
+        raise ValueError(f"load mode <{mode}> is not one of {LOAD_MODES}")
+    spread = F.xxhash64(*df.columns)
+    placed = df.repartitionByRange(*keys, spread).sortWithinPartitions(*(partition_by or []), *keys)
+    writer = placed.write.mode(mode).option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return read_as(df, path)
+
+
+def in_key_ranges(target: DataFrame, batch: DataFrame, key: str, ranges: int = KEY_RANGES) -> DataFrame:
+    """The rows of ``target`` whose ``key`` lies between two neighbouring keys of ``batch``; no row of its keys is lost.
+
+    The batch is cut into at most ``ranges`` stretches of its sorted keys. Their ends become a filter
+    that reaches the scan, where it skips the files and row groups outside all stretches.
+    """
+    parts = batch.select(key).distinct().repartitionByRange(ranges, key).select(key, F.spark_partition_id().alias("_part"))
+    ends = parts.groupBy("_part").agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count_if(F.col(key).isNull()).alias("gaps"))
+    wanted = F.lit(False)
+    for low, high, gaps in ends.select("low", "high", "gaps").collect():
+        if gaps:
+            wanted = wanted | F.col(key).isNull()
+        if low is not None:
+            kind = target.schema[key].dataType
+            wanted = wanted | F.col(key).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+    return target.where(wanted)
+
+
+def insert_sorted(
     batch: DataFrame, path: str, keys: list[str], order: list[str], partition_by: list[str] | None = None
 ) -> None:
-    """Append the rows whose key the table does not hold; rerunning a batch adds nothing.
+    """Insert if absent into a table of ``load_sorted``, whose partition columns need not be part of the key.
+
+    The rows read from the table fall with the batch: only key ranges that the batch has keys in.
+    """
+    if table_exists(batch.sparkSession, path):
+        target = in_key_ranges(read_as(batch, path), batch, keys[0])
+        new = absent_rows(target, batch, keys, order)
+    else:
+        new = absent_rows(batch.limit(0), batch, keys, order)
+    load_sorted(new, path, keys, "append", partition_by)
+
+
+def rows_to_insert(
+    batch: DataFrame, path: str, keys: list[str], order: list[str], partition_by: list[str] | None = None
+) -> DataFrame:
+    """The first row per key of ``batch`` whose key the table at ``path``, if there is one, does not hold.
 
     When the partition columns are part of the key, only the table's
     partitions that the batch touches are read.
     """
-    spark = batch.sparkSession
-    if not table_exists(spark, path):
+    if not table_exists(batch.sparkSession, path):
         # the same reduction a present, empty table would lead to
-        load(absent_rows(batch.limit(0), batch, keys, order), path, partition_by=partition_by)
-        return
+        return absent_rows(batch.limit(0), batch, keys, order)
     target = read_as(batch, path)
     if partition_by and set(partition_by) <= set(keys):
         target = _touched(target, batch, partition_by)
-    load(absent_rows(target, batch, keys, order), path, "append", partition_by)
+    return absent_rows(target, batch, keys, order)
+
+
+def insert_if_absent(
+    batch: DataFrame, path: str, keys: list[str], order: list[str], partition_by: list[str] | None = None
+) -> None:
+    """Append the rows whose key the table does not hold; rerunning a batch adds nothing."""
+    load(rows_to_insert(batch, path, keys, order, partition_by), path, "append", partition_by)
 
 
 def upsert(

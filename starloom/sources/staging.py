@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_BAD = "_rejected_text"
+REJECTED = "_rejected_text"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -33,18 +33,26 @@ def stage_by_path(
     return lines.select(*(keep or []), *mapped)
 
 
+def marked(lines: DataFrame, text: str, schema: T.StructType, keep: list[str] | None = None) -> DataFrame:
+    """The lines under the schema and, in ``REJECTED``, the text of those that do not fit it (else NULL).
+
+    Good and bad lines are told apart by one parse, so both can be written and counted in one pass.
+    """
+    keep = keep or []
+    checked = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+    return lines.select(
+        *keep,
+        F.from_json(text, checked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED}).alias("_row"),
+    ).select(*keep, "_row.*")
+
+
 def split_rejects(
     lines: DataFrame, text: str, schema: T.StructType, keep: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(good, bad): rows that fit the schema, and the text of those that do not."""
-    keep = keep or []
-    checked = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
-    parsed = lines.select(
-        *keep,
-        F.from_json(text, checked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}).alias("_row"),
-    ).select(*keep, "_row.*")
-    good = parsed.where(F.col(_BAD).isNull()).drop(_BAD)
-    bad = parsed.where(F.col(_BAD).isNotNull()).select(*keep, F.col(_BAD).alias("text"))
+    parsed = marked(lines, text, schema, keep)
+    good = parsed.where(F.col(REJECTED).isNull()).drop(REJECTED)
+    bad = parsed.where(F.col(REJECTED).isNotNull()).select(*(keep or []), F.col(REJECTED).alias("text"))
     return good, bad
 
 

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-import __spark_entry__ as contract
+from starloom.queries import QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -12,10 +12,10 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="given tables
 
 
 def plan_of(spark, name):
-    return contract.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_no_window_no_python(spark, name):
     plan = plan_of(spark, name)
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "MapInArrow"):
