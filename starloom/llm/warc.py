@@ -104,12 +104,18 @@ def parsed(chunks: Iterator[bytes]) -> Iterator[tuple[dict, bytes]]:
     """Headers (names in lower case) and block of each record in a stream of archives.
 
     Records are cut by their stated length, so a payload may hold gaps, line
-    ends or whole archives. At most one chunk and one record are in memory.
+    ends or whole archives. Line ends before a record are skipped: an archive whose last payload ends in one is
+    cut by the text source before that line end, which then gets a gap of its own. At most one chunk and one
+    record are in memory.
     """
     rest = b""
     for chunk in chunks:
         data, at = rest + chunk, 0
-        while (head := data.find(GAP, at)) >= 0:
+        while True:
+            while data.startswith(b"\r\n", at):
+                at += 2
+            if (head := data.find(GAP, at)) < 0:
+                break
             lines = data[at:head].decode("utf-8", "replace").split("\r\n")
             if not lines[0].startswith("WARC/"):
                 raise ValueError(f"no record at <{lines[0][:40]}>")

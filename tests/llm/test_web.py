@@ -29,6 +29,41 @@ def test_archives(spark):
     assert warc.archived(pages.limit(0), scratch_path(spark, "test-warc")).count() == 0
 
 
+ENDS = ["abc\r\n", "\r\n", "x" * 2000 + "\r\n", "a\r\nb\r\n\r\n", "\r\n" * 5, "\r", "\n", "q\r\n\r", "q\n\r\n", "\r\n\r\n\r", ""]
+
+
+@pytest.mark.parametrize("html", ENDS)
+def test_line_ends_at_the_end_of_an_archive(spark, html):
+    """Sole, last and repeated records whose payload ends in line ends."""
+    for payloads in ([html], ["first", html], [html, html], [html, "last"]):
+        pages = spark.createDataFrame([(i, "http://a/", p) for i, p in enumerate(payloads)], "page_id long, url string, html string")
+        path = scratch_path(spark, "test-ends")
+        got = {r.page_id: r for r in warc.archived(pages.coalesce(1), path).collect()}
+        assert {i: (r.payload_bytes, r.payload_digest) for i, r in got.items()} == {
+            i: (len(p), hashlib.sha1(p.encode()).hexdigest()) for i, p in enumerate(payloads)
+        }
+
+
+def test_several_archives_in_one_task(spark):
+    pages = spark.createDataFrame([(i, "http://a/", p) for i, p in enumerate(ENDS * 2)], "page_id long, url string, html string")
+    path = scratch_path(spark, "test-ends")
+    warc.write_archives(warc.records(pages.repartition(7)), path)
+    lines = spark.read.option("lineSep", warc.GAP.decode()).schema("value string").text(path).coalesce(1)
+    rows = lines.mapInArrow(lambda batches: warc._rows(batches, False), warc.READ).collect()
+    assert sorted(r.page_id for r in rows) == list(range(len(ENDS) * 2))
+
+
+def test_record_over_many_chunks():
+    body = b"GET\r\n\r\n" * 5000
+    data = b"WARC/1.1\r\nContent-Length: %d\r\n\r\n%b\r\n\r\n" % (len(body), body)
+    stream = data + b"\r\n\r\n" + data
+    for size in (1, 7, 4096):
+        if size > 1:
+            assert [b for _, b in warc.parsed(stream[i : i + size] for i in range(0, len(stream), size))] == [body, body]
+    small = b"WARC/1.1\r\nContent-Length: 2\r\n\r\n\r\n\r\n\r\n\r\n\r\n"
+    assert [b for _, b in warc.parsed(small[i : i + 1] for i in range(len(small)))] == [b"\r\n"]
+
+
 def test_parser_refuses_broken_archives():
     with pytest.raises(ValueError):
         list(warc.parsed([b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc\r\n\r\n"]))
