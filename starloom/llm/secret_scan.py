@@ -6,6 +6,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import partial
+from itertools import accumulate
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -91,11 +92,25 @@ def candidates(text: str) -> list[tuple[int, int]]:
     return sorted((start, end) for start, end in found if end - start >= LEAST)
 
 
+def _without_copies(around: str, string: str) -> str:
+    """``around`` without other copies of ``string``, whole ones or such that its ends cut through."""
+    around = around.replace(string, "")
+    for n in range(min(len(string) - 1, len(around)), LEAST // 2, -1):
+        if around.startswith(string[-n:]):
+            around = around[n:]
+            break
+    for n in range(min(len(string) - 1, len(around)), LEAST // 2, -1):
+        if around.endswith(string[:n]):
+            return around[:-n]
+    return around
+
+
 def marginal_bytes(text: str, start: int, end: int, compressor: zstandard.ZstdCompressor) -> int:
-    """Compressed bytes that the span adds to the text around it."""
-    before, after = text[max(0, start - SURROUNDING) : start].encode(), text[end : end + SURROUNDING].encode()
-    without = len(compressor.compress(after + before))
-    return len(compressor.compress(after + before + text[start:end].encode())) - without
+    """Compressed bytes that the span adds to the text around it, less the span's own copies there."""
+    string = text[start:end]
+    sides = (text[end : end + SURROUNDING], text[max(0, start - SURROUNDING) : start])
+    around = b"".join(_without_copies(side, string).encode() for side in sides)
+    return len(compressor.compress(around + string.encode())) - len(compressor.compress(around))
 
 
 def secret_spans(text: str | None, compressor: zstandard.ZstdCompressor, novelty: float = NOVELTY) -> list[tuple]:
@@ -107,9 +122,12 @@ def secret_spans(text: str | None, compressor: zstandard.ZstdCompressor, novelty
         return []
     base = base_spans(text)
     spans = [(*span, None) for span in base]
+    starts = sorted(start for _, start, _ in base)
+    ends = list(accumulate((end for _, _, end in sorted(base, key=lambda span: span[1])), max))
 
     def novel(start: int, end: int, cuts: tuple) -> Iterator[tuple]:
-        if end - start < LEAST or any(s <= start and end <= e for _, s, e in base):
+        before = bisect_right(starts, start)
+        if end - start < LEAST or (before and end <= ends[before - 1]):  # short, or inside a base span
             return
         marginal = marginal_bytes(text, start, end, compressor)
         if marginal >= novelty * (end - start):
