@@ -1,245 +1,109 @@
-"""Language-model scoring by cross-entropy difference.
-
-``word_scored`` models the words of the corpus; ``scored`` is the small model of folded bytes.
-"""
+"""Language-model scoring by cross-entropy difference over pairs of pieces of a public tokenizer."""
 
 from __future__ import annotations
 
-import re
+import os
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
+from starloom.llm.bpe import id_type, special_pattern, special_tokens, split_words
 from starloom.llm.support import bounded_batches
+from starloom.operators.joins import dim_join
 from starloom.session import materialize
 
-# Both models share one vocabulary of SYMBOLS characters, so a table of all n-grams has a fixed largest size.
-ORDER = 4
-BITS = 6
-SYMBOLS = 1 << BITS
-TABLE = 1 << (BITS * ORDER)
-PUNCTUATION = ".,!?'\"-:;()/%#$&*@=_<>|"
-
-# Words as written, and each other mark; scripts without blanks between words go by characters.
-_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
-WORD = re.compile(rf"[^\W{_UNSPACED}]+|[{_UNSPACED}]|[^\w\s]")
-# Names of words are 64-bit hashes; this one stands before the first word of a text.
-BEGIN = 0
-# The most frequent pairs of words, which tasks look up by themselves; all others are joined.
-# Contexts and words with more than HOT_PAIRS distinct pairs are broadcast, at most HOT_NAMES of them, all others
-# shuffled. Both only choose the way to the same result.
+# The most frequent pairs, at most so many, which tasks look up by themselves; all others are joined.
+# Contexts and pieces with more than HOT_PAIRS distinct pairs are broadcast, at most HOT_NAMES of them, all others
+# shuffled. All three only choose the way to the same result.
 FREQUENT = 1 << 18
 HOT_PAIRS = 1000
 HOT_NAMES = 100_000
-_CACHED_WORDS = 500_000
+_CACHED_WORDS = 400_000
+_HELD_PAIRS = 1 << 20
 
 
-def vocabulary() -> np.ndarray:
-    """Symbol of each byte of UTF-8 text.
+class _Pieces(dict):
+    """Ids of each word met, as the bytes of their numbers; encoded once as long as memory allows."""
 
-    Blank 0, letters 1-26 without case, digits 27, common punctuation one symbol each, other ASCII
-    one symbol, and the bytes of other characters twelve classes.
-    """
-    symbol = np.full(256, 28 + len(PUNCTUATION), np.uint8)
-    symbol[[9, 10, 11, 12, 13, 32]] = 0
-    for lower, upper in zip(range(97, 123), range(65, 91)):
-        symbol[[lower, upper]] = lower - 96
-    symbol[48:58] = 27
-    for place, mark in enumerate(PUNCTUATION):
-        symbol[ord(mark)] = 28 + place
-    symbol[128:] = SYMBOLS - 12 + np.arange(128) % 12
-    return symbol
+    def __init__(self, model: str):
+        super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.tokenizer = Tokenizer.from_str(model)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.kind = id_type(self.tokenizer)
 
+    def learn(self, words: list[str]) -> None:
+        new = [w for w in dict.fromkeys(words) if w not in self]
+        if len(self) + len(new) > _CACHED_WORDS:
+            self.clear()
+            new = list(dict.fromkeys(words))
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            for word, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
+                self[word] = np.array(found.ids, self.kind).tobytes()
 
-def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram that ends at each byte of the texts, as a number below TABLE, and the bytes per text.
 
-    Each text starts after blanks, so n-grams do not reach into the text before. NULL is empty.
-    """
-    texts = [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
-    lengths = np.array([len(x) for x in texts], np.int64)
-    pad = b" " * (ORDER - 1)
-    data = vocabulary()[np.frombuffer(b"".join(x for t in texts for x in (pad, t)), np.uint8)].astype(np.int32)
-    joined = np.zeros(max(0, len(data) - ORDER + 1), np.int32)
-    for k in range(ORDER):
-        joined = (joined << BITS) | data[k : len(data) - ORDER + 1 + k]
-    ends = np.cumsum(lengths + ORDER - 1)
-    use = np.ones(len(joined), bool)
-    for k in range(ORDER - 1):  # windows that end in the blanks before a text
-        starts = ends[:-1] - 1 - k
-        use[starts[(starts >= 0) & (starts < len(use))]] = False
-    return joined[use], lengths
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    every, target = np.zeros(TABLE, np.uint32), np.zeros(TABLE, np.uint32)
+def _encode(batches: Iterator[pa.RecordBatch], model: str, special) -> Iterator[pa.RecordBatch]:
+    pieces = _Pieces(model)
     for batch in batches:
-        found, lengths = grams(batch.column("text"))
-        np.add.at(every, found, 1)
-        wanted = np.repeat(batch.column("target").to_numpy(zero_copy_only=False).astype(bool), lengths)
-        np.add.at(target, found[wanted], 1)
-        if every.max() > 1 << 31:
-            yield _nonzero(every, target)
-            every[:], target[:] = 0, 0
-    yield _nonzero(every, target)
-
+        ids = []
+        for text in batch.column("text"):
+            words = split_words(text.as_py() or "", special)
+            pieces.learn(words)
+            ids.append(b"".join(map(pieces.__getitem__, words)))
+        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(ids, pa.binary())], ["key", "ids"])
 
-def _nonzero(every: np.ndarray, target: np.ndarray) -> pa.RecordBatch:
-    seen = np.flatnonzero(every)
-    columns = [pa.array(seen.astype(np.int32)), *[pa.array(x[seen].astype(np.int64)) for x in (every, target)]]
-    return pa.RecordBatch.from_arrays(columns, ["gram", "every", "target"])
 
+def pairs_of(column: pa.Array, kind: str, begin: int) -> tuple[np.ndarray, np.ndarray]:
+    """(code, pieces per text): each piece with the one before it, ``begin`` at the start, as one exact number."""
+    parts = [np.frombuffer(x.as_py(), kind).astype(np.int64) for x in column]
+    lengths = np.array([len(p) for p in parts], np.int64)
+    word = np.concatenate([np.empty(0, np.int64), *parts])
+    before = np.roll(word, 1)
+    before[(np.cumsum(lengths) - lengths)[lengths > 0]] = begin
+    return before << 32 | word, lengths
 
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """``(gram, every, target)`` over whole texts of ``(text, target)``; tasks send sums, not occurrences."""
-    bounded_batches(docs.sparkSession)
-    partial_sums = docs.mapInArrow(_count, "gram int, every bigint, target bigint")
-    return partial_sums.groupBy("gram").agg(F.sum("every").alias("every"), F.sum("target").alias("target"))
 
+def _merged(held: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code, every, target) added up by code."""
+    codes, *sums = (np.concatenate(x) for x in zip(*held))
+    found, place = np.unique(codes, return_inverse=True)
+    return found, *[np.bincount(place, weights=s, minlength=len(found)).astype(np.int64) for s in sums]
 
-def losses(counts: DataFrame) -> DataFrame:
-    """``(gram, target_loss, background_loss)``: bits that either model pays for the last symbol of the n-gram.
 
-    Both models are matched: same order, same vocabulary, same smoothing (Witten-Bell, each order
-    backed by the next lower one, the lowest by equal shares). The background is the whole corpus.
-    """
-    sides = ("every", "target")
-    level = {ORDER: counts}
-    for order in range(ORDER - 1, 0, -1):
-        kept = F.col("gram").bitwiseAND((1 << (BITS * order)) - 1).alias("gram")
-        level[order] = materialize(
-            level[order + 1].groupBy(kept).agg(*[F.sum(s).alias(s) for s in sides]), f"grams-{order}"
-        )
-    total = level[1].agg(*[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in sides]).first()
-    lower = level[1].select(
-        F.col("gram").alias("rest"), *[((F.col(s) + 1) / F.lit(total[s] + SYMBOLS)).alias(f"low_{s}") for s in sides]
-    )
-    for order in range(2, ORDER + 1):
-        grams_here = level[order].select(
-            "*",
-            F.shiftright("gram", BITS).alias("context"),
-            F.col("gram").bitwiseAND((1 << (BITS * (order - 1))) - 1).alias("rest"),
-        )
-        kinds = [F.count_if(F.col(s) > 0).alias(f"kinds_{s}") for s in sides]
-        contexts = grams_here.groupBy("context").agg(*[F.sum(s).alias(f"sum_{s}") for s in sides], *kinds)
-        joined = grams_here.join(contexts, "context").join(lower, "rest")
-
-        def chance(s: str):
-            mixed = F.try_divide(
-                F.col(s) + F.col(f"kinds_{s}") * F.col(f"low_{s}"), F.col(f"sum_{s}") + F.col(f"kinds_{s}")
-            )
-            return F.coalesce(mixed, F.col(f"low_{s}"))
-
-        found = materialize(joined.select("gram", *[chance(s).alias(f"low_{s}") for s in sides]), f"chances-{order}")
-        lower = found.withColumnRenamed("gram", "rest")
-    return found.select(
-        "gram", (-F.log2("low_target")).alias("target_loss"), (-F.log2("low_every")).alias("background_loss")
-    )
+def _count_pairs(batches: Iterator[pa.RecordBatch], kind: str, begin: int) -> Iterator[pa.RecordBatch]:
+    held: list[tuple] = []
 
+    def out() -> pa.RecordBatch:
+        code, *sums = _merged(held)
+        columns = [code >> 32, code & 0xFFFFFFFF, *sums]
+        return pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["before", "word", "every", "target"])
 
-def shared_table(table: DataFrame) -> Broadcast:
-    """The losses for all tasks: at most TABLE n-grams, 200 MB, however large the corpus."""
-    rows = table.select(
-        "gram", F.col("target_loss").cast("float"), F.col("background_loss").cast("float")
-    ).toArrow()
-    return table.sparkSession.sparkContext.broadcast([rows[n].to_numpy() for n in rows.column_names])
-
-
-def _score(batches: Iterator[pa.RecordBatch], table: Broadcast) -> Iterator[pa.RecordBatch]:
-    seen, *sides = table.value
-    dense = []
-    for side in sides:
-        values = np.zeros(TABLE, np.float32)
-        values[seen] = side
-        dense.append(values)
     for batch in batches:
-        found, lengths = grams(batch.column("text"))
-        ends = np.cumsum(lengths)
-        per_token = []
-        for values in dense:
-            sums = np.concatenate([[0.0], np.cumsum(values[found], dtype=np.float64)])
-            with np.errstate(invalid="ignore"):
-                per_token.append((sums[ends] - sums[ends - lengths]) / lengths)
-        worded = lengths > 0
-        shown = [pa.array(x, mask=~worded) for x in (*per_token, per_token[0] - per_token[1])]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("key"), pa.array(lengths), *shown],
-            ["key", "n_tokens", "target_loss", "background_loss", "score"],
-        )
-
-
-def scored(docs: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: ``key``, ``n_tokens``, ``target_loss``, ``background_loss`` and ``score``.
-
-    The target model counts the documents whose key is in ``targets`` (one column ``key``,
-    repeats and NULLs do no harm), the background model counts all. Losses are bits per token, ``score`` is target
-    minus background: the lower, the more a document is like the target. Whole texts are counted and scored. Empty and NULL texts have
-    no tokens and NULL losses. Without target documents the target model gives equal shares. Repeated rows get the
-    same answer each. An empty table gives no rows; other columns do not matter.
-    """
-    bounded_batches(docs.sparkSession)
-    lean = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    wanted = materialize(targets.select("key").where("key is not null").distinct(), "targets")
-    flagged = lean.join(wanted.withColumn("target", F.lit(True)), "key", "left")
-    counts = materialize(gram_counts(flagged.select("text", F.coalesce("target", F.lit(False)).alias("target"))), "grams")
-    table = shared_table(losses(counts))
-    kind = lean.schema["key"].dataType.simpleString()
-    schema = f"key {kind}, n_tokens bigint, target_loss double, background_loss double, score double"
-    return lean.mapInArrow(partial(_score, table=table), schema).withColumnRenamed("key", key)
-
-
-class _Names(dict):
-    """Name of each word met, hashed once."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
-        self[word] = name = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return name
-
-
-def word_pairs(column: pa.Array, names: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Names of the word before and of the word, for each word of the texts, and the words per text. NULL is empty."""
-    before, words, lengths = [], [], np.zeros(len(column), np.int64)
-    for i, text in enumerate(column):
-        found = [names[w] for w in WORD.findall(text.as_py() or "")]
-        lengths[i] = len(found)
-        if found:
-            before.append(BEGIN)
-            before += found[:-1]
-            words += found
-    return np.array(before, np.uint64).view(np.int64), np.array(words, np.uint64).view(np.int64), lengths
-
-
-def _pair_code(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """One number per pair of names, for grouping inside a task."""
-    return (before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ word.view(np.uint64)
-
-
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = _Names()
-    for batch in batches:
-        before, word, lengths = word_pairs(batch.column("text"), names)
+        code, lengths = pairs_of(batch.column("ids"), kind, begin)
         wanted = np.repeat(batch.column("target").to_numpy(zero_copy_only=False).astype(bool), lengths)
-        _, first, group, every = np.unique(_pair_code(before, word), return_index=True, return_inverse=True, return_counts=True)
-        target = np.bincount(group[wanted], minlength=len(first)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (before[first], word[first], every.astype(np.int64), target)],
-            ["before", "word", "every", "target"],
-        )
+        held.append(_merged([(code, np.ones(len(code)), wanted.astype(float))]))
+        if sum(len(h[0]) for h in held) > _HELD_PAIRS:
+            held = [_merged(held)]
+            if len(held[0][0]) > _HELD_PAIRS // 2:
+                yield out()
+                held = []
+    if held:
+        yield out()
 
 
-def pair_counts(docs: DataFrame) -> DataFrame:
-    """``(before, word, every, target)`` over whole texts of ``(text, target)``; tasks send sums, not occurrences."""
-    bounded_batches(docs.sparkSession)
-    partial_sums = docs.mapInArrow(_count_pairs, "before bigint, word bigint, every bigint, target bigint")
-    return partial_sums.groupBy("before", "word").agg(F.sum("every").alias("every"), F.sum("target").alias("target"))
+def pair_counts(ids: DataFrame, kind: str, begin: int) -> DataFrame:
+    """``(before, word, every, target)`` over whole texts of ``(ids, target)``; tasks send sums, not occurrences."""
+    count = partial(_count_pairs, kind=kind, begin=begin)
+    sums = ids.mapInArrow(count, "before bigint, word bigint, every bigint, target bigint")
+    return sums.groupBy("before", "word").agg(F.sum("every").alias("every"), F.sum("target").alias("target"))
 
 
 def _looked_up(rows: DataFrame, table: DataFrame, on: str, pairs: str) -> DataFrame:
@@ -257,10 +121,10 @@ def _looked_up(rows: DataFrame, table: DataFrame, on: str, pairs: str) -> DataFr
 
 
 def pair_losses(counts: DataFrame) -> DataFrame:
-    """``(before, word, every, target_loss, background_loss)``: bits that either model pays for the word after ``before``.
+    """``(before, word, every, target_loss, background_loss)``: bits that either model pays for the piece after ``before``.
 
-    Both models are matched: same order, same vocabulary (all words of the corpus), same smoothing:
-    Witten-Bell pairs backed by single words, and these by equal shares.
+    Both models are matched: same order, same vocabulary (all pieces of the corpus), same smoothing:
+    Witten-Bell pairs backed by single pieces, and these by equal shares.
     """
     sides = ("every", "target")
     words = materialize(
@@ -287,13 +151,30 @@ def pair_losses(counts: DataFrame) -> DataFrame:
     return joined.select("before", "word", "every", loss("target").alias("target_loss"), loss("every").alias("background_loss"))
 
 
-def _sum_pairs(batches: Iterator[pa.RecordBatch], frequent: Broadcast) -> Iterator[pa.RecordBatch]:
-    """Per text one row with its words and the losses of its frequent pairs, and one per other pair."""
+def frequent_pairs(losses: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code, target loss, background loss), sorted by code, of at most ``most`` pairs: all from some count on.
+
+    The pairs are first counted by the power of two of their count, one row each, so no task sends more than it must.
+    """
+    power = F.floor(F.log2("every")).cast("int")
+    sizes = {r.power: r.n for r in losses.groupBy(power.alias("power")).agg(F.count("*").alias("n")).collect()}
+    least, taken = 63, 0
+    for at in sorted(sizes, reverse=True):
+        if taken + sizes[at] > most:
+            break
+        least, taken = at, taken + sizes[at]
+    top = losses.where(F.col("every") >= 1 << least if least < 63 else F.lit(False)).toArrow()
+    code = top["before"].to_numpy() << 32 | top["word"].to_numpy()
+    order = np.argsort(code)
+    return code[order], top["target_loss"].to_numpy()[order], top["background_loss"].to_numpy()[order]
+
+
+def _sum_pairs(batches: Iterator[pa.RecordBatch], frequent: Broadcast, kind: str, begin: int) -> Iterator[pa.RecordBatch]:
+    """Per text one row with its pieces and the losses of its frequent pairs, and one per other distinct pair."""
     codes, *losses = frequent.value
-    names = _Names()
     for batch in batches:
-        before, word, lengths = word_pairs(batch.column("text"), names)
-        doc, code = np.repeat(np.arange(len(lengths)), lengths), _pair_code(before, word)
+        code, lengths = pairs_of(batch.column("ids"), kind, begin)
+        doc = np.repeat(np.arange(len(lengths)), lengths)
         place = np.minimum(np.searchsorted(codes, code), max(len(codes) - 1, 0))
         known = codes[place] == code if len(codes) else np.zeros(len(code), bool)
         sums = [np.bincount(doc[known], weights=x[place[known]], minlength=len(lengths)).astype(float) for x in losses]
@@ -310,48 +191,57 @@ def _sum_pairs(batches: Iterator[pa.RecordBatch], frequent: Broadcast) -> Iterat
                 pa.concat_arrays([batch.column("key"), pa.nulls(some, batch.column("key").type)]),
                 pa.concat_arrays([pa.array(lengths), pa.nulls(some, pa.int64())]),
                 *[pa.concat_arrays([pa.array(x), pa.nulls(some, pa.float64())]) for x in sums],
-                *[pa.concat_arrays([pa.nulls(len(lengths), pa.int64()), pa.array(x[rest])]) for x in (before, word)],
+                pa.concat_arrays([pa.nulls(len(lengths), pa.int64()), pa.array(code[rest])]),
                 pa.concat_arrays([pa.nulls(len(lengths), pa.int32()), pa.array(times.astype(np.int32))]),
             ],
-            ["row", "key", "n_tokens", "target_sum", "background_sum", "before", "word", "times"],
+            ["row", "key", "n_tokens", "target_sum", "background_sum", "code", "times"],
         )
 
 
-def word_scored(
-    docs: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", frequent: int = FREQUENT
+def scored(
+    docs: DataFrame,
+    targets: DataFrame,
+    tokenizer: str,
+    key: str = "doc_id",
+    text: str = "text",
+    frequent: int = FREQUENT,
 ) -> DataFrame:
     """One row per document: ``key``, ``n_tokens``, ``target_loss``, ``background_loss`` and ``score``.
 
-    Both models count pairs of words over the vocabulary of all documents. The target model counts the documents
+    Both models count pairs of pieces over the vocabulary of all documents, the pieces of ``tokenizer`` (the path of a
+    byte-level file) that occur there. The target model counts the documents
     whose key is in ``targets`` (one column ``key``, repeats and NULLs do no harm), the background model counts all.
-    Losses are bits per word, ``score`` is target minus background: the lower, the more a document is like the target. Whole texts
-    are counted and scored; counts and losses stay tables, and only the ``frequent`` most frequent pairs
-    reach the driver, to spare their join. Texts without words and NULL have NULL losses. Without target documents the target
-    model gives equal shares. Repeated rows get the same answer each. An empty table gives no rows; other columns do not matter.
+    Losses are bits per piece, ``score`` is target minus background: the lower, the more a document is like the target. Whole texts
+    are encoded once, counted and scored; counts and losses stay tables that grow with the corpus, and only the most
+    frequent pairs, at most ``frequent``, reach the driver, to spare their join. Texts without pieces and NULL have NULL
+    losses. Without target documents the target model gives equal shares. Repeated rows get the same answer each. An
+    empty table gives no rows; other columns do not matter.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
+    with open(tokenizer, encoding="utf-8") as file:
+        model = file.read()  # a vocabulary file of a few MB; tasks need no path to it
+    known = Tokenizer.from_str(model)
+    number, begin = id_type(known), 1 + max(known.get_vocab(with_added_tokens=True).values(), default=0)
     lean = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    wanted = materialize(targets.select("key").where("key is not null").distinct(), "targets")
-    flagged = lean.join(wanted.withColumn("target", F.lit(True)), "key", "left")
-    counts = materialize(pair_counts(flagged.select("text", F.coalesce("target", F.lit(False)).alias("target"))), "pairs")
-    losses = materialize(pair_losses(counts), "pair-losses")
-    top = losses.orderBy(F.desc("every"), "before", "word").limit(frequent).drop("every").toArrow()
-    before, word, *values = (top[n].to_numpy() for n in top.column_names)
-    code = _pair_code(before, word)
-    order = np.argsort(code)
-    shared = spark.sparkContext.broadcast([x[order] for x in (code, *values)])
     kind = lean.schema["key"].dataType.simpleString()
-    schema = (
-        f"row bigint, key {kind}, n_tokens bigint, target_sum double, background_sum double, before bigint, word bigint, times int"
-    )
-    parts = lean.withColumn("row", F.monotonically_increasing_id()).mapInArrow(partial(_sum_pairs, frequent=shared), schema)
-    # The row that stands for the text meets no pair: it goes anywhere.
-    pair = F.xxhash64("before", "word")
-    at = F.when(F.col("times").isNull(), F.xxhash64("row")).otherwise(pair)
-    sent = parts.select("row", "key", "n_tokens", "target_sum", "background_sum", "times", at.alias("at"))
-    priced = losses.select(pair.alias("at"), "target_loss", "background_loss")
-    joined = sent.join(priced, "at", "left")
+    encode = partial(_encode, model=model, special=special_pattern(special_tokens(tokenizer)))
+    ids = materialize(lean.mapInArrow(encode, f"key {kind}, ids binary"), "lm-ids")
+    wanted = targets.select(F.col("key").cast(kind)).where("key is not null").distinct()
+    wanted = materialize(wanted, "targets").withColumn("target", F.lit(True))
+    # pieces move where the targets are too many to broadcast, two bytes each; a hot key is sliced
+    flagged = dim_join(ids, wanted, ["key"], "left").select("ids", F.coalesce("target", F.lit(False)).alias("target"))
+    counts = materialize(pair_counts(flagged, number, begin), "pairs")
+    losses = materialize(pair_losses(counts), "pair-losses")
+    shared = spark.sparkContext.broadcast(frequent_pairs(losses, frequent))
+    schema = f"row bigint, key {kind}, n_tokens bigint, target_sum double, background_sum double, code bigint, times int"
+    score = partial(_sum_pairs, frequent=shared, kind=number, begin=begin)
+    sent = ids.withColumn("row", F.monotonically_increasing_id()).mapInArrow(score, schema)
+    # The row that stands for the text meets no pair: its place, below 0, is no code.
+    sent = sent.withColumn("code", F.coalesce("code", -1 - F.col("row")))
+    code = F.shiftleft("before", 32).bitwiseOR(F.col("word"))
+    priced = losses.select(code.alias("code"), "target_loss", "background_loss")
+    joined = sent.join(priced, "code", "left")
     sides = ("target", "background")
     own = [F.coalesce(f"{s}_sum", F.col("times") * F.col(f"{s}_loss")).alias(f"{s}_sum") for s in sides]
     whole = (

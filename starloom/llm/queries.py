@@ -92,9 +92,9 @@ def op8_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op9_lm_score(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents under a word model of the well rated ones and one of the whole corpus."""
+    """All documents under a model of the well rated ones and one of the whole corpus, over pieces of the tokenizer."""
     good = table(spark, folder, "labels").where("quality = 1 and toxic = 0").selectExpr("doc_id AS key")
-    return lm_score.word_scored(table(spark, folder, "documents"), good)
+    return lm_score.scored(table(spark, folder, "documents"), good, public_tokenizers.path(TOKENIZER))
 
 
 @query()

@@ -45,7 +45,7 @@ def test_secrets(spark):
     ]
     df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, spans string")
     got = {r.doc_id: r for r in secret_scan.digest(secret_scan.scanned(df)).collect()}
-    assert got[0].spans == "assign:0:16,assign:18:31" if got[0].n_assign == 2 else got[0].n_assign == 1
+    assert (got[0].n_assign, got[0].spans) == (2, "assign:0:16,assign:18:31")
     assert got[1].n_assign == 0 and got[2].spans == "access:0:20" and got[3].spans == "hex:0:24"
     assert (got[4].n_assign, got[5].spans, got[6].spans) == (1, "", "")
     assert got[7].spans.startswith("assign:2:")
@@ -134,7 +134,7 @@ def test_quality_on_held_out_documents(spark):
     assert right >= 190
     assert got[500].tail_probability == 0 and not got[None].selected
     kept = quality.selected(docs, model)
-    assert kept.columns == docs.columns and abs(kept.count() - sum(g > 0 for g in grades)) <= 3
+    assert kept.columns == docs.columns and abs(kept.count() - sum(g == 2 for g in grades)) <= 15
     untrained = quality.fit(docs, labels.limit(0))
     assert quality.selected(docs, untrained).count() == 400 and quality.graded(docs.limit(0), model, ["doc_id"]).count() == 0
 
@@ -158,51 +158,11 @@ def test_selection_drops_toxic_and_keeps_clean_documents(spark):
 
 
 def _brute_losses(texts, wanted):
-    """Witten-Bell by dictionaries, for both models, per n-gram."""
-    symbol = lm_score.vocabulary()
-    counts = [{}, {}]
-    for t, w in zip(texts, wanted):
-        s = (0, 0, 0, *(int(symbol[b]) for b in (t or "").encode()))
-        for side in (0, 1) if w else (0,):
-            for end in range(3, len(s)):
-                for n in range(1, 5):
-                    gram = s[end - n + 1 : end + 1]
-                    counts[side][gram] = counts[side].get(gram, 0) + 1
-
-    def chance(c, gram):
-        if not gram[1:]:
-            return (c.get(gram, 0) + 1) / (sum(v for g, v in c.items() if len(g) == 1) + 64)
-        after = [v for g, v in c.items() if len(g) == len(gram) and g[:-1] == gram[:-1]]
-        lower = chance(c, gram[1:])
-        return (c.get(gram, 0) + len(after) * lower) / (sum(after) + len(after)) if after else lower
+    """Witten-Bell over pairs of pieces, for both models, per text."""
+    from tokenizers import Tokenizer
 
-    found = []
-    for t in texts:
-        s = (0, 0, 0, *(int(symbol[b]) for b in (t or "").encode()))
-        grams = [s[i - 3 : i + 1] for i in range(3, len(s))]
-        found.append([-sum(np.log2(chance(counts[k], g)) for g in grams) / len(grams) if grams else None for k in (1, 0)])
-    return found
-
-
-def test_language_model_losses(spark):
-    texts = ["the cat sat.", "THE dog", None, "", "ünï 12!", "the cat sat.", "x"]
-    df = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, target int")
-    targets = spark.createDataFrame([(0,), (0,), (4,), (None,), (99,)], "key long")
-    got = {r.doc_id: r for r in lm_score.scored(df, targets).collect()}
-    for i, (t, b) in enumerate(_brute_losses(texts, [i in (0, 4) for i in range(len(texts))])):
-        r = got[i]
-        assert r.n_tokens == len((texts[i] or "").encode())
-        if t is None:
-            assert r.target_loss is None and r.score is None
-        else:
-            assert r.target_loss == pytest.approx(t, rel=1e-4) and r.background_loss == pytest.approx(b, rel=1e-4)
-            assert r.score == pytest.approx(t - b, abs=1e-3)
-    assert lm_score.scored(df.limit(0), targets).count() == 0
-
-
-def _brute_word_losses(texts, wanted):
-    """Witten-Bell over pairs of words, for both models, per text."""
-    split = [lm_score.WORD.findall(t or "") for t in texts]
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    split = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
     kinds = len({w for ws in split for w in ws})
     found = []
     for side in ([w for w, use in zip(split, wanted) if use], split):
@@ -224,31 +184,103 @@ def _brute_word_losses(texts, wanted):
     return list(zip([len(ws) for ws in split], *found))
 
 
-@pytest.mark.parametrize("frequent", [0, 3, 1000])
-def test_word_model_losses(spark, monkeypatch, frequent):
+@pytest.mark.parametrize("frequent", [0, 30, 100_000])
+def test_language_model_losses(spark, monkeypatch, frequent):
     monkeypatch.setattr(lm_score, "HOT_PAIRS", 2)
     rng = random.Random(7)
-    words = ["the", "The", "cat", "dog", "sat", "é", "õ", "12", "13", "мир", "мыр", "漢字", ".", ","]
-    texts = ["the cat sat.", "THE dog", None, "", " ", "é", "õ", "the cat sat."]
+    words = ["the", "The", "cat", "dog", "sat", "é", "õ", "12", "13", "мир", "мыр", "漢字", ".", ",", "<|endoftext|>"]
+    texts = ["the cat sat.", "THE dog", None, "", " ", "é", "õ", "the cat sat.", "one long text " * 3000]
     texts += [" ".join(rng.choices(words, k=rng.randrange(1, 30))) for _ in range(30)]
-    df = spark.createDataFrame([(i if i != 9 else None, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, target int")
+    df = spark.createDataFrame(
+        [(i if i != 10 else None, t, 0, "x") for i, t in enumerate(texts)], "doc_id long, text string, target int, ids string"
+    )
     targets = spark.createDataFrame([(0,), (0,), (5,), (11,), (None,), (99,)], "key long")
-    got = {r.doc_id if r.doc_id is not None else 9: r for r in lm_score.word_scored(df, targets, frequent=frequent).collect()}
-    expected = _brute_word_losses(texts, [i in (0, 5, 11) for i in range(len(texts))])
-    assert len(got) == len(texts)
+    rows = lm_score.scored(df.repartition(3), targets, TOKENIZER, frequent=frequent).collect()
+    got = {r.doc_id if r.doc_id is not None else 10: r for r in rows}
+    expected = _brute_losses(texts, [i in (0, 5, 11) for i in range(len(texts))])
+    assert len(rows) == len(got) == len(texts)
     for i, (n, t, b) in enumerate(expected):
         r = got[i]
         assert r.n_tokens == n
         assert (r.target_loss, r.background_loss, r.score) == ((None,) * 3 if t is None else pytest.approx((t, b, t - b)))
     assert got[5].score < got[6].score  # letters outside ASCII are told apart
-    assert lm_score.word_scored(df.limit(0), targets).count() == 0
-
-
-def test_query_scores_words(spark):
-    from starloom.llm.queries import QUERIES
-
-    folder = "/root/testdata/sf0.001"
-    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
-    rows = QUERIES["op9_lm_score"](spark, folder).collect()
-    assert len(rows) == len(texts)
-    assert all(r.n_tokens == len(lm_score.WORD.findall(texts[r.doc_id] or "")) for r in rows)
+    assert lm_score.scored(df.limit(0), targets, TOKENIZER).count() == 0
+
+
+def test_repeated_rows_and_no_targets(spark):
+    df = spark.createDataFrame([(1, "a b c")] * 3 + [(None, "a b")] * 2, "doc_id long, text string")
+    rows = lm_score.scored(df, df.limit(0).selectExpr("doc_id AS key"), TOKENIZER).collect()
+    assert len(rows) == 5 and len({tuple(r) for r in rows}) == 2
+
+
+def test_pairs_are_exact_numbers():
+    import pyarrow as pa
+
+    column = pa.array([np.array(x, "<u4").tobytes() for x in ([1, 2, 70000], [], [5])], pa.binary())
+    code, lengths = lm_score.pairs_of(column, "<u4", 99)
+    assert [(c >> 32, c & 0xFFFFFFFF) for c in code.tolist()] == [(99, 1), (1, 2), (2, 70000), (99, 5)]
+    assert lengths.tolist() == [3, 0, 1]
+
+
+def _compressor():
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=3)
+
+
+def test_secrets_that_stand_twice(spark):
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    for copies in (1, 2, 5):
+        secret = "".join(rng.choices(letters, k=32))
+        line = f"Authorization: Bearer {secret}\n"
+        spans = secret_spans_of(line * copies)
+        assert [s[:3] for s in spans] == [("novel", n * len(line) + 22, n * len(line) + 54) for n in range(copies)]
+    # a copy that the border of the surroundings cuts through does not count either
+    text = secret + " " * (secret_scan.SURROUNDING - 16) + f"token {secret}"
+    assert [s[1] for s in secret_spans_of(text)] == [text.rindex(secret)]
+
+
+def secret_spans_of(text):
+    return secret_scan.secret_spans(text, _compressor())
+
+
+def test_long_texts_of_secrets_take_time_in_proportion():
+    import time
+
+    took = []
+    for n in (2_000, 16_000):
+        start = time.process_time()
+        spans = secret_spans_of("password=abcd1234efgh token_for_x => q9Zx7Lk2Vb8Wn4Rt6Yp1 " * n)
+        took.append(time.process_time() - start)
+        assert len(spans) == 2 * n
+    assert took[1] < 8 * took[0] * 2.5
+
+
+def test_candidates_inside_fixed_spans_add_nothing():
+    """Against a comparison with every fixed span."""
+    rng = random.Random(9)
+    parts = ["password=", "token: ", "secret_", "AKIA", "deadbeef" * 4, " ", "x.y", "Zq8Lr2Vw9Kd7Xs4Tn1Bm6", "\n", "bearer "]
+    for _ in range(200):
+        text = "".join(rng.choices(parts, k=40))
+        base = secret_scan.base_spans(text)
+        for kind, start, end, _ in secret_spans_of(text):
+            if kind == "novel":
+                assert not any(s <= start and end <= e for _, s, e in base)
+        assert [s[:3] for s in secret_spans_of(text) if s[0] != "novel"] == sorted(
+            base, key=lambda s: (s[1], secret_scan.KINDS.index(s[0]))
+        )
+
+
+def test_recall_of_random_strings():
+    """Random strings of 24 characters at random places of plain text are found."""
+    rng = random.Random(11)
+    words = "the of and to in is that was for on are with as his they at be this from have or by".split()
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    found = 0
+    for _ in range(300):
+        secret = "".join(rng.choices(letters, k=24))
+        left, right = (" ".join(rng.choices(words, k=rng.randint(5, 200))) for _ in range(2))
+        text = f"{left} Authorization: Bearer {secret} {right}"
+        found += any(s[0] == "novel" and s[1] == text.index(secret) for s in secret_spans_of(text))
+    assert found >= 285
