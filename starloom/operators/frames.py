@@ -83,6 +83,18 @@ def pivot_sum(
     return spread.agg(F.sum(value))
 
 
+def pivot_map(df: DataFrame, keys: list[str], pivot: str, value: str, name: str = "sums") -> DataFrame:
+    """The sums of ``pivot_sum`` as one map per row, keyed by the pivot value as text.
+
+    Needs no list of the values: none passes the driver, and there may be any number of them. A pivot value
+    of NULL has the key ``null``, as its column would; pairs without a sum are left out.
+    """
+    sums = df.groupBy(*keys, F.coalesce(F.col(pivot).cast("string"), F.lit("null")).alias("_key"))
+    sums = sums.agg(F.sum(value).alias("_sum")).where(F.col("_sum").isNotNull())
+    entries = F.array_sort(F.collect_list(F.struct("_key", "_sum")))
+    return sums.groupBy(*keys).agg(F.map_from_entries(entries).alias(name))
+
+
 def sum_numeric(df: DataFrame, keys: list[str]) -> DataFrame:
     """Roll up to ``keys``: the sum of every other numeric column, under its own name."""
     numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in keys]

@@ -63,7 +63,7 @@ def build_music_star(
     """Build the five tables below ``out``/tables under one of the rule sets of ``plans.music``.
 
     Dimensions are written before the fact, and the fact is matched against
-    the written songs and artists. ``mode="insert_if_absent"`` (``keyed`` rules only)
+    the written songs and artists (``warehouse``: against the staged songs). ``mode="insert_if_absent"`` (``keyed`` rules only)
     adds what the tables do not hold yet; song-play ids go on from the largest.
     """
     pin_utc(spark)
@@ -98,13 +98,13 @@ def build_music_star(
             start = (have.agg(F.max("songplay_id")).first()[0] or 0) + 1
         fact = dense_ids(found, ["start_time", "user_id"], "songplay_id", start)
     elif rules == "warehouse":
-        song_dim = save("songs", music.songs_dim(metadata))
+        save("songs", music.songs_dim(metadata))
         save("artists", music.artists_dim(metadata, defaults=True))
         save("users", music.users_dim(log))
         hours = F.date_trunc("hour", epoch_ms_to_ts(F.col("ts")))
         save("time", music.time_dim(log, hours, weekday="sunday0"), MONTHS)
         fact = dense_ids(
-            music.songplays_warehouse(log, song_dim),
+            music.songplays_warehouse(log, metadata),  # the staged songs: one staged twice repeats its plays
             ["start_time", "user_id", "session_id", "song_id", "user_agent", "location", "level", "artist_id"],
             "songplay_id",
             start=0,

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from starloom.functions.text import strip_quotes
 from starloom.operators.dedup import last_per_key
 from starloom.schemas import LOOKUP_TABLES
-from starloom.sinks.layout import write_lookup
+from starloom.sinks.layout import write_clustered, write_lookup
 
 
 def lookup_rows(events: DataFrame, table: str, order: list[str] | None = None, without_quotes: bool = False) -> DataFrame:
@@ -65,3 +65,25 @@ def plays_of_session(spark: SparkSession, root: str, user: int, session: int) ->
 def listeners_of_song(spark: SparkSession, root: str, song: str) -> DataFrame:
     table = spark.read.parquet(f"{root}/userInfo")
     return find(table, ["song", "firstName", "lastName"], song=song)
+
+
+# What the lookups filter by; one copy clustered by all of them serves each.
+CLUSTERED_BY = ["sessionId", "userId", "song"]
+
+
+def build_one_copy(events: DataFrame, path: str, order: list[str] | None = None, row_group: int | None = None) -> None:
+    """One table in place of three: all columns that some lookup needs, clustered by all lookup keys."""
+    names = dict.fromkeys(n for spec in LOOKUP_TABLES.values() for n in spec["columns"].names)
+    write_clustered(events.select(*dict.fromkeys([*names, *(order or [])])), path, CLUSTERED_BY, row_group=row_group)
+
+
+def find_in_copy(
+    spark: SparkSession, path: str, table: str, columns: list[str], order: list[str] | None = None, **key
+) -> DataFrame:
+    """What ``find`` on the lookup table ``table`` gives, from the copy of ``build_one_copy``.
+
+    The filter reaches the scan; only the rows it leaves are reduced to one per primary key of that table.
+    """
+    rows = find(spark.read.parquet(path), ["*"], **key)
+    found = lookup_rows(rows, table, order).select(*columns, *LOOKUP_TABLES[table]["clustering"])
+    return found.orderBy(*LOOKUP_TABLES[table]["clustering"]).select(*columns)

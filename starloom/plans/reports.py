@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.joins import dim_join
+from starloom.plans.rollups import weekdays_of_daily
+
 
 def plays_by_user(
     songplays: DataFrame,
@@ -73,15 +75,7 @@ def arrivals_by_weekday(fact: DataFrame, dates: DataFrame, cities: DataFrame, st
     then has more rows than the calendar has days, and no day more than there are ports.
     """
     daily = fact.groupBy("arrdate_ts", "i94port").agg(F.count(F.lit(1)).alias("n"))
-    ports = cities.where(F.col("state_code") == state).select(F.col("city_id").alias("i94port"))
-    days = dates.select(F.col("date").alias("arrdate_ts"), "weekday")
-    there = dim_join(daily, ports, ["i94port"], hot_rows=None)
-    return (
-        dim_join(there, days, ["arrdate_ts"], hot_rows=None)
-        .groupBy("weekday")
-        .agg(F.sum("n").alias("arrivals"))
-        .orderBy("weekday")
-    )
+    return weekdays_of_daily(daily, dates, cities, state)
 
 
 def song_artist_pairs(songs: DataFrame, artists: DataFrame) -> DataFrame:

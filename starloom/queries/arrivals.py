@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from starloom.functions import text
 from starloom.functions.timeparts import date_to_sas_day, sas_day_to_date
 from starloom.operators.clean import not_before
-from starloom.operators.frames import distinct_union, pivot_sum
+from starloom.operators.frames import distinct_union, pivot_map, pivot_sum
 from starloom.operators.joins import code_join, name_join, role_join
-from starloom.plans import arrivals, reports
+from starloom.plans import arrivals, reports, rollups
 from starloom.queries.inputs import (
     ARRIVALS_SQL,
     DAY_ONE,
@@ -23,6 +23,8 @@ from starloom.queries.inputs import (
     temperatures,
 )
 from starloom.queries.registry import query, table
+from starloom.session import scratch_path
+from starloom.sinks.loads import load
 
 FIRST = f"date_diff('day', DATE '1960-01-01', DATE '{DAY_ONE}')"
 TO_DATE = "strftime(DATE '1960-01-01' + CAST({} AS INTEGER), '%Y-%m-%d')"
@@ -273,6 +275,17 @@ def run_pivot_sum(spark, folder):
     return pivot_sum(counts, ["State_Code"], "Race", "Count", SEGMENTS)
 
 
+@query(
+    """SELECT l_returnflag, coalesce(CAST(nullif(l_partkey % 20000, 7) AS VARCHAR), 'null') AS part,
+CAST(sum(l_linenumber) AS BIGINT) AS lines FROM lineitem GROUP BY 1, 2"""
+)
+def pivot_many_values(spark, folder):
+    """As many pivot values as there are parts, one map per row, shown entry by entry."""
+    lines = table(spark, folder, "lineitem").selectExpr("l_returnflag", "nullif(l_partkey % 20000, 7) AS part", "l_linenumber")
+    wide = pivot_map(lines, ["l_returnflag"], "part", "l_linenumber")
+    return wide.select("l_returnflag", F.explode("sums").alias("part", "lines"))
+
+
 @query(
     f"""WITH {DEMOGRAPHICS_SQL}, cities AS (SELECT {TUPLE}, {SPREAD} FROM demo GROUP BY {TUPLE})
 SELECT state_code, state, {', '.join(f'CAST(sum({c}) AS BIGINT) AS {c}' for c in TUPLE.split(', ')[2:])},
@@ -282,11 +295,12 @@ def pivot_then_rollup(spark, folder):
     return arrivals.states_table(demographics(spark, folder), SEGMENTS)
 
 
-@query(
-    f"""WITH {ARRIVALS_SQL}, {FACT}, {CITIES}
+WEEKDAYS = f"""WITH {ARRIVALS_SQL}, {FACT}, {CITIES}
 SELECT CAST(isodow(CAST(f.arrdate_ts AS DATE)) - 1 AS INTEGER) AS weekday, count(*) AS arrivals
 FROM fact f JOIN cities c ON c.city_id = 'X' || substr(f.i94port, 2) WHERE c.st = 'MA' GROUP BY 1"""
-)
+
+
+@query(WEEKDAYS)
 def star_weekday_by_state(spark, folder):
     """Arrivals per weekday at the ports of one state."""
     ports = F.concat(F.lit("X"), F.substring("i94port", 2, 2))
@@ -295,3 +309,15 @@ def star_weekday_by_state(spark, folder):
     # the state's rows are found before the distinct over 16 columns; they hold all dates that the report can meet
     local = reports.arrivals_in_state(stage, cities, "MA")
     return reports.arrivals_by_weekday(arrivals.arrivals_fact(local), arrivals.date_table(local), cities, "MA")
+
+
+@query(WEEKDAYS)
+def weekday_from_daily_counts(spark, folder):
+    """The same report from counts that the load keeps; the first half of the year is loaded again."""
+    ports = F.concat(F.lit("X"), F.substring("i94port", 2, 2))
+    fact = load(_fact(spark, folder).withColumn("i94port", ports).distinct(), scratch_path(spark, "arrivals-fact"))
+    path = scratch_path(spark, "daily-arrivals")
+    for months in ("true", "i94mon <= 6"):
+        daily = rollups.keep_daily_arrivals(fact.where(months), path)
+    cities = arrivals.cities_table(label_lines(spark, folder), ["c_custkey"])
+    return rollups.weekdays_of_daily(daily, arrivals.date_table(fact), cities, "MA")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from starloom.functions.timeparts import epoch_ms_to_ts
-from starloom.operators.keys import dense_ids, gap_ids
-from starloom.plans import music, reports
+from starloom.operators.keys import dense_ids, gap_ids, reserved_ids
+from starloom.plans import music, reports, rollups
 from starloom.queries.inputs import LOG_SQL, META_SQL, PLAY, activity_log, song_metadata
 from starloom.queries.registry import as_text, plain, query, table
+from starloom.session import scratch_path
+from starloom.sinks.loads import load
 
 BASE = f"WITH {LOG_SQL},\n{META_SQL}\n"
 STAMP = "make_timestamp(ts * 1000)"
@@ -207,11 +211,27 @@ def surrogate_key_gaps(spark, folder):
     return ids.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids"))
 
 
+@query("SELECT count(*) AS rows, count(*) AS ids, count(*) AS customers FROM orders")
+def surrogate_key_two_writers(spark, folder):
+    """Two loads number their half of the orders at the same time; no id comes twice."""
+    orders, root = table(spark, folder, "orders").select("o_orderkey", "o_custkey"), scratch_path(spark, "reserved")
+
+    def write(half):
+        mine = orders.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(2)) == half)
+        load(reserved_ids(mine, ["o_orderkey"], "id", f"{root}/ids", block=1000), f"{root}/half{half}")
+
+    with ThreadPoolExecutor(2) as writers:
+        list(writers.map(write, (0, 1)))
+    both = spark.read.parquet(f"{root}/half0", f"{root}/half1")
+    return both.agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("id").alias("ids"), F.count("o_custkey").alias("customers")
+    )
+
+
 # -- reports -------------------------------------------------------------------
 
 
-@query(
-    f"""{BASE}, {HOURLY},
+PLAYS_BY_USER = f"""{BASE}, {HOURLY},
 users AS (SELECT DISTINCT userId AS user_id, lastName AS last_name FROM log WHERE userId IS NOT NULL),
 songs AS (SELECT DISTINCT song_id FROM meta), artists AS (SELECT DISTINCT artist_id FROM meta),
 time AS (SELECT DISTINCT date_trunc('hour', make_timestamp(ts * 1000)) AS start_time FROM log)
@@ -220,7 +240,9 @@ SELECT p.user_id, u.last_name, count(DISTINCT p.song_id) AS songs_played,
 FROM hourly p JOIN users u ON u.user_id = p.user_id JOIN songs s ON s.song_id = p.song_id
 JOIN time t ON t.start_time = p.start_time JOIN artists a ON a.artist_id = p.artist_id
 WHERE month(t.start_time) = 1 GROUP BY p.user_id, u.last_name"""
-)
+
+
+@query(PLAYS_BY_USER)
 def star_plays_by_user(spark, folder):
     """Distinct songs and artists per user in January, over the fact and its four dimensions."""
     log, metadata = activity_log(spark, folder), song_metadata(spark, folder)
@@ -235,6 +257,21 @@ def star_plays_by_user(spark, folder):
     )
 
 
+@query(PLAYS_BY_USER)
+def plays_by_user_bitmaps(spark, folder):
+    """The same report from bitmaps kept per ten days, of which the last are loaded twice, merged over all of January."""
+    log, metadata = activity_log(spark, folder), song_metadata(spark, folder)
+    plays = music.songplays_warehouse(log, metadata)
+    root, day = scratch_path(spark, "listening"), F.dayofmonth("start_time")
+    half = F.pmod(F.xxhash64("song_id"), F.lit(2)) == 0
+    numbers = {}
+    for known in (metadata.where(half), metadata):  # half of the songs become known later
+        numbers = {key: rollups.number_keys(known, f"{root}/{key}", key) for key in rollups.HEARD}
+    for days in (day < 20, day >= 20, day >= 20):
+        kept = rollups.keep_listening(plays.where(days), numbers, F.floor(day / 10), f"{root}/bits")
+    return rollups.heard_by_user(kept, music.users_dim(log), 0, 3)
+
+
 @query(
     f"""WITH {META_SQL}, names AS (SELECT DISTINCT artist_id, artist_name FROM meta)
 SELECT m.song_id, m.title, m.artist_id, m.year, m.duration, n.artist_name AS name

@@ -105,14 +105,15 @@ def lookup_listeners_of_song(spark, folder):
     return last_per_key(heard, ["song", "userId"], ["firstName"]).select("song", "firstName", "lastName", "userId")
 
 
-@query(
-    f"""{ROWS}, written AS (SELECT *, row_number() OVER (PARTITION BY sessionId, itemInSession
+ANSWERS = f"""{ROWS}, written AS (SELECT *, row_number() OVER (PARTITION BY sessionId, itemInSession
   ORDER BY ts DESC, artist DESC, song DESC, length DESC) AS rn FROM rows)
 SELECT 'play' AS asked, song, artist, NULL AS firstName, NULL AS lastName FROM written
   WHERE sessionId = 91 AND itemInSession = 1 AND rn = 1
 UNION ALL SELECT 'session', song, artist, firstName, lastName FROM written WHERE userId = 9 AND sessionId = 91 AND rn = 1
 UNION ALL SELECT DISTINCT 'listeners', song, NULL, firstName, lastName FROM rows WHERE song = 'Track 9'"""
-)
+
+
+@query(ANSWERS)
 def lookup_tables_answers(spark, folder):
     """The three laid-out tables are written (the last write per key wins), then each answers its question."""
     root = scratch_path(spark, "lookups")
@@ -125,3 +126,19 @@ def lookup_tables_answers(spark, folder):
     return outer_union(*[rows.withColumn("asked", F.lit(asked)) for asked, rows in answers.items()]).select(
         "asked", "song", "artist", "firstName", "lastName"
     )
+
+
+@query(ANSWERS)
+def lookup_one_copy(spark, folder):
+    """The same questions to one table that is clustered by all their keys."""
+    path = scratch_path(spark, "one-copy")
+    lookups.build_one_copy(_event_rows(spark, folder), path, ["ts"])
+    ask = lambda *args, **key: lookups.find_in_copy(spark, path, *args, ["ts"], **key)
+    answers = {
+        "play": ask("songInfo", ["artist", "song"], sessionId=91, itemInSession=1),
+        "session": ask("sessionInfo", ["artist", "song", "firstName", "lastName"], userId=9, sessionId=91),
+        "listeners": ask("userInfo", ["song", "firstName", "lastName"], song="Track 9"),
+    }
+    return outer_union(*[rows.withColumn("asked", F.lit(asked)) for asked, rows in answers.items()]).select(
+        "asked", "song", "artist", "firstName", "lastName"
+    )

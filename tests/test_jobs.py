@@ -64,6 +64,13 @@ def test_music_star(spark, music_files, rules, plays):
     assert again["songplays"].count() == plays
 
 
+def test_song_staged_twice_repeats_its_plays_under_the_warehouse_rules(spark, music_files):
+    write(music_files / "song/A/A/A/again.json", song("S1", "A1", "One", "Band", 200.4, 2000))
+    args = (spark, str(music_files / "log/2018/11"), str(music_files / "song"), str(music_files / "twice"), "warehouse")
+    tables = jobs.build_music_star(*args)
+    assert tables["songs"].count() == 2 and tables["songplays"].count() == 6
+
+
 def test_second_batch_goes_on(spark, music_files):
     out = str(music_files / "grown")
     args = (spark, str(music_files / "log/2018/11"), str(music_files / "song"), out, "keyed", "insert_if_absent")
