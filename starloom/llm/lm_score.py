@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 from functools import partial
 
@@ -37,27 +38,26 @@ class _Pieces(dict):
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.kind = id_type(self.tokenizer)
+        self.letter = {"<u2": "H", "<u4": "I"}[id_type(self.tokenizer)]
 
-    def learn(self, words: list[str]) -> None:
-        new = [w for w in dict.fromkeys(words) if w not in self]
-        if len(self) + len(new) > _CACHED_WORDS:
+    def learn(self, texts: list[list[str]]) -> None:
+        """Make sure that all words of ``texts`` are known."""
+        met = set().union(*texts)
+        if len(self) + len(met) > _CACHED_WORDS:
             self.clear()
-            new = list(dict.fromkeys(words))
+        new = sorted(met.difference(self))
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
             for word, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self[word] = np.array(found.ids, self.kind).tobytes()
+                self[word] = array(self.letter, found.ids).tobytes()
 
 
 def _encode(batches: Iterator[pa.RecordBatch], model: str, special) -> Iterator[pa.RecordBatch]:
     pieces = _Pieces(model)
     for batch in batches:
-        ids = []
-        for text in batch.column("text"):
-            words = split_words(text.as_py() or "", special)
-            pieces.learn(words)
-            ids.append(b"".join(map(pieces.__getitem__, words)))
+        texts = [split_words(text.as_py() or "", special) for text in batch.column("text")]
+        pieces.learn(texts)
+        ids = [b"".join(map(pieces.__getitem__, words)) for words in texts]
         yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(ids, pa.binary())], ["key", "ids"])
 
 
@@ -71,6 +71,14 @@ def pairs_of(column: pa.Array, kind: str, begin: int) -> tuple[np.ndarray, np.nd
     return before << 32 | word, lengths
 
 
+def _counted(code: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code, every, target) of occurrences; one plain sort, with the mark of the target as lowest bit."""
+    marked = np.sort(code << 1 | wanted)
+    found = np.flatnonzero(np.diff(marked >> 1, prepend=-1))
+    every = np.diff(np.append(found, len(marked)))
+    return marked[found] >> 1, every, np.add.reduceat(marked & 1, found) if len(found) else every
+
+
 def _merged(held: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(code, every, target) added up by code."""
     codes, *sums = (np.concatenate(x) for x in zip(*held))
@@ -88,8 +96,8 @@ def _count_pairs(batches: Iterator[pa.RecordBatch], kind: str, begin: int) -> It
 
     for batch in batches:
         code, lengths = pairs_of(batch.column("ids"), kind, begin)
-        wanted = np.repeat(batch.column("target").to_numpy(zero_copy_only=False).astype(bool), lengths)
-        held.append(_merged([(code, np.ones(len(code)), wanted.astype(float))]))
+        wanted = np.repeat(batch.column("target").to_numpy(zero_copy_only=False).astype(np.int64), lengths)
+        held.append(_counted(code, wanted))
         if sum(len(h[0]) for h in held) > _HELD_PAIRS:
             held = [_merged(held)]
             if len(held[0][0]) > _HELD_PAIRS // 2:
