@@ -20,6 +20,8 @@ def build_session(app: str = "starloom", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # HotSpot compiles no method above 8000 bytes: wide stages run faster split into operators
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
     )
     if master:
