@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.components import connected_components
 from starloom.llm.support import FILE, PLACE, bounded_batches, hex_of, keep_located, located
+from starloom.operators.joins import dim_join
 from starloom.session import materialize
 
 SHINGLE_WORDS = 3
@@ -22,8 +23,9 @@ SEED = 42
 POSITIONS = 8  # a 64-bit fingerprint is eight bytes
 # Bytes that one posting key holds together: the lists stay short up to billions of fingerprints.
 KEY_BYTES = 4
-# A posting list longer than this is cut into slices that are compared pair by pair.
+# A posting list longer than this is told apart by longer keys.
 LIST_ROWS = 2000
+LIST = ["mask", "bits"]
 _HASHES_AT_ONCE = 1 << 16
 
 
@@ -76,25 +78,56 @@ def shared_bytes(a: Column, b: Column) -> Column:
     return reduce(lambda x, y: x + y, [s.cast("int") for s in same])
 
 
-def _postings(prints: DataFrame, max_bits: int) -> DataFrame:
-    """``(slot, bytes, fp)``: each fingerprint under every choice of positional bytes that a partner must share.
+def _mask(units: tuple[int, ...], width: int) -> int:
+    """The signed 64-bit number whose bits are set in these units of ``width`` bits."""
+    mask = sum(((1 << width) - 1) << (width * i) for i in units)
+    return mask - (1 << 64) if mask >> 63 else mask
 
-    At most ``max_bits`` positions differ, so among the first ``size + max_bits``
-    positions at least ``size`` agree: partners meet under at least one choice.
+
+def key_masks(max_bits: int) -> list[list[int]]:
+    """Masks of the posting keys, three levels from short to long keys.
+
+    At most ``max_bits`` bytes differ, so among the first ``size + max_bits``
+    positions at least ``size`` agree, and among all eight at least ``8 - max_bits``. Of the
+    ``2 * max_bits`` half bytes that are then left, at least ``max_bits`` agree. Partners therefore share the bits
+    of at least one mask on each level, and one on the next level that holds it.
     """
     size = min(KEY_BYTES, POSITIONS - max_bits)
-    choices = list(combinations(range(size + max_bits), size))
-    byte = lambda i: F.shiftright(F.col("fp"), 8 * i).bitwiseAND(255)
-    packed = [
-        F.struct(
-            F.lit(slot).alias("slot"),
-            reduce(lambda x, y: x.bitwiseOR(y), [F.shiftleft(byte(i), 8 * k) for k, i in enumerate(choice)]).alias(
-                "bytes"
-            ),
-        )
-        for slot, choice in enumerate(choices)
-    ]
-    return prints.select("fp", F.inline(F.array(*packed)))
+    first = [_mask(c, 8) for c in combinations(range(size + max_bits), size)]
+    whole = list(combinations(range(POSITIONS), POSITIONS - max_bits))
+    rest = [[h for i in range(POSITIONS) if i not in c for h in (2 * i, 2 * i + 1)] for c in whole]
+    halves = {_mask(c, 8) | _mask(h, 4) for c, r in zip(whole, rest) for h in combinations(r, max_bits)}
+    return [first, [_mask(c, 8) for c in whole], sorted(halves)]
+
+
+def _under(rows: DataFrame, masks: list[int], shorter: Column | None = None) -> DataFrame:
+    """``(mask, bits, fp)``: each fingerprint under every mask, or every one that holds the ``shorter`` mask."""
+    kept = F.lit(masks).cast("array<bigint>")
+    if shorter is not None:
+        kept = F.filter(kept, lambda m: m.bitwiseAND(shorter) == shorter)
+    spread = rows.select("fp", F.explode(kept).alias("mask"))
+    return spread.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("bits"), "fp")
+
+
+def posting_lists(prints: DataFrame, max_bits: int, list_rows: int = LIST_ROWS) -> DataFrame:
+    """``(mask, bits, fp)``: an inverted index in which partners share at least one list.
+
+    A list of more than ``list_rows`` fingerprints is replaced by lists under longer keys: first all bytes that partners
+    must share, then half bytes as well. The last leave ``4 * max_bits`` bits open, 256 fingerprints for two bits,
+    so the rows of a list are bounded however many fingerprints share bytes.
+    """
+    first, *longer = key_masks(max_bits)
+    open_lists, done = _under(prints, first), []
+    for masks in longer:
+        counted = open_lists.groupBy(*LIST).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > list_rows)
+        too_long = materialize(counted.select(*LIST), "long-lists")
+        if too_long.isEmpty():
+            break
+        done.append(dim_join(open_lists, too_long, LIST, "left_anti"))
+        rows = dim_join(open_lists, too_long, LIST, "left_semi")
+        # several short keys lead to the same longer one
+        open_lists = materialize(_under(rows, masks, F.col("mask")).distinct(), "longer-keys")
+    return reduce(DataFrame.unionAll, [*done, open_lists])
 
 
 def close_fingerprints(prints: DataFrame, max_bits: int = MAX_BITS, list_rows: int = LIST_ROWS) -> DataFrame:
@@ -102,34 +135,16 @@ def close_fingerprints(prints: DataFrame, max_bits: int = MAX_BITS, list_rows: i
 
     Inverted index over positional bytes. Fingerprints that meet in a list
     have their shared positional bytes tallied; a pair below the guaranteed
-    ``8 - max_bits`` goes, the rest is verified by counting bits. A list of more
-    than ``list_rows`` fingerprints is cut into slices and each pair of slices
-    meets in a task of its own. No fingerprint has more than a few thousand
-    partners within two bits, so the pairs grow with the fingerprints.
+    ``8 - max_bits`` goes, the rest is verified by counting bits. Lists stay
+    below a fixed length (``posting_lists``), so the pairs that meet grow with the fingerprints.
     """
     if not 1 <= max_bits < POSITIONS:
         raise ValueError("the index needs a distance from 1 to 7 bits")
-    on = ["slot", "bytes"]
-    postings = _postings(prints, max_bits)
-    long_lists = materialize(
-        postings.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > list_rows), "long-lists"
-    )
-    if long_lists.isEmpty():
-        cut = postings.select(*on, "fp", F.lit(1).alias("slices"), F.lit(0).alias("slice"))
-    else:
-        slices = F.coalesce(F.ceil(F.col("n") / list_rows).cast("int"), F.lit(1))
-        cut = postings.join(long_lists, on, "left").withColumn("slices", slices)
-        cut = cut.withColumn("slice", F.pmod(F.xxhash64("fp"), F.col("slices")).cast("int"))
-    left = cut.select(
-        *on, F.col("fp").alias("a"), F.col("slice").alias("i"), F.explode(F.expr("sequence(slice, slices - 1)")).alias("j")
-    )
-    right = cut.select(
-        *on, F.col("fp").alias("b"), F.col("slice").alias("j"), F.explode(F.expr("sequence(0, slice)")).alias("i")
-    )
-    met = left.join(right, [*on, "i", "j"]).where("i < j or a < b")
+    lists = posting_lists(prints, max_bits, list_rows)
+    met = lists.withColumnRenamed("fp", "a").join(lists.withColumnRenamed("fp", "b"), LIST).where("a < b")
     tallied = met.where(shared_bytes(F.col("a"), F.col("b")) >= POSITIONS - max_bits)
     verified = tallied.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).between(1, max_bits))
-    return verified.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return verified.select("a", "b").distinct()
 
 
 def near_groups(

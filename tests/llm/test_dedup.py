@@ -105,6 +105,25 @@ def test_all_close_fingerprints_are_found(spark, list_rows):
     assert {tuple(r) for r in found.collect()} == {(a, b) for a in signed for b in signed if a < b and close(a, b)}
 
 
+@pytest.mark.parametrize("max_bits", [1, 2, 3])
+def test_families_that_share_bytes(spark, max_bits):
+    """Thousands of fingerprints under one key of four bytes, and of six: longer keys hold the lists down."""
+    rng = random.Random(6)
+    base = 0x8123456789ABCDEF
+    prints = {base ^ rng.getrandbits(32) << 32 for _ in range(1500)} | {base ^ rng.getrandbits(16) << 16 for _ in range(700)}
+    prints |= {p ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64) for p in list(prints)[:300]}
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    rows = spark.createDataFrame([(p,) for p in signed], "fp long")
+    found = simhash.close_fingerprints(rows, max_bits, list_rows=100).collect()
+    values = np.array(sorted(signed))
+    bits = np.bitwise_count((values[:, None] ^ values).view(np.uint64))
+    i, j = np.nonzero(np.triu(bits <= max_bits, 1))
+    assert {tuple(r) for r in found} == set(zip(values[i].tolist(), values[j].tolist())) and len(found) == len(i)
+    lists = simhash.posting_lists(rows, max_bits, list_rows=100)
+    longest = lists.groupBy(*simhash.LIST).count().agg({"count": "max"}).first()[0]
+    assert longest <= max(100, 1 << 4 * max_bits)
+
+
 def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(1000, 1000 + i) for i in range(1, 80)] + [(7, 7), (None, 3), (1, 0)]
     got = dict(map(tuple, components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
