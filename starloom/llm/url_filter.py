@@ -18,12 +18,21 @@ RULES = (
 )
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# A tag holds no further "<", so a page of unclosed tags is still read once.
-TAGS = r"(?i)<(?:link|meta)\b[^<>]*>"
-CANONICAL = r"(?i)\brel\s*=\s*[\"']?canonical\b"
-REFRESH = r"(?i)\bhttp-equiv\s*=\s*[\"']?refresh\b"
-HREF = r"(?i)\bhref\s*=\s*[\"']?([^\"'\s<>]+)"
-REFRESH_URL = r"(?i)\burl\s*=\s*[\"']?([^\"'\s<>;]+)"
+# A tag holds "<" and ">" in quoted values only. What follows a tag name is read possessively, without recursion.
+TAGS = r"""(?i)<(?:link|meta)\b(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
+SQL_TAGS = r"""(?i)<(?:link|meta)\b(?:[^<>"']+|"[^"]*"|'[^']*')*>"""
+# "canonical" may be any word of the value.
+CANONICAL = (
+    r"""(?i)[\s"'/]rel\s*=\s*(?:"(?:[^"]*\s)?canonical(?:\s[^"]*)?"|'(?:[^']*\s)?canonical(?:\s[^']*)?'|canonical[\s/>])"""
+)
+REFRESH = r"""(?i)[\s"'/]http-equiv\s*=\s*["']?\s*refresh\b"""
+# Quoted values may hold blanks; of the three groups at most one is not empty.
+HREF = r"""(?i)[\s"'/]href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>]+))"""
+REFRESH_URL = r"""(?i)\burl\s*=\s*["']?([^"'\s<>]+)"""
+# The named character references that stand in addresses.
+NAMED = (("amp;", "&"), ("lt;", "<"), ("gt;", ">"), ("quot;", '"'), ("apos;", "'"))
+# Dots are resolved in paths of up to this many segments; servers take no longer ones.
+SEGMENTS = 4096
 
 
 def _after_scheme(url: Column) -> Column:
@@ -56,21 +65,76 @@ def matched_rule(host: Column, path: Column, rules: tuple = RULES) -> Column:
     return found
 
 
+def _character(code: Column) -> Column:
+    """The character of a code point; NULL if there is none."""
+    real = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    return F.when(real, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+
+def unescaped(value: Column) -> Column:
+    """``value`` with its numeric and the named character references of addresses decoded, once each."""
+
+    def decoded(part: Column) -> Column:
+        tens = F.regexp_extract(part, r"^#0*([0-9]{1,7});", 1)
+        sixteens = F.regexp_extract(part, r"^#[xX]0*([0-9a-fA-F]{1,6});", 1)
+        code = F.when(tens != "", tens.try_cast("bigint")).when(
+            sixteens != "", F.conv(sixteens, 16, 10).try_cast("bigint")
+        )
+        rest = F.substring(part, F.instr(part, ";") + 1, F.length(part))
+        found = F.when(code.isNotNull(), F.concat(_character(code), rest))
+        for name, character in NAMED:
+            found = found.when(part.startswith(name), F.concat(F.lit(character), rest))
+        return F.coalesce(found, F.concat(F.lit("&"), part))
+
+    parts = F.split(value, "&")
+    tail = F.transform(F.slice(parts, 2, F.size(parts)), decoded)
+    plain = F.array_join(F.concat(F.slice(parts, 1, 1), tail), "")
+    return F.when(value.contains("&"), plain).otherwise(value)
+
+
+def without_dots(url: Column) -> Column:
+    """An absolute url whose path has ``.`` and ``..`` resolved, as far as the root."""
+    whole = r"^(.*?://[^/?#]*)([^?#]*)(.*)$"
+    site, path, rest = (F.regexp_extract(url, "(?s)" + whole, i) for i in (1, 2, 3))
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+    steps = F.concat(F.slice(parts, 2, F.size(parts)), F.when(last.isin(".", ".."), F.array(F.lit(""))).otherwise(F.array()))
+    kept = F.aggregate(
+        steps,
+        F.array().cast("array<string>"),
+        lambda done, step: F.when(step == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(step == ".", done)
+        .otherwise(F.concat(done, F.array(step))),
+    )
+    dotted = path.rlike(r"/\.\.?(?:/|$)") & (F.size(parts) <= SEGMENTS)
+    return F.when(dotted, F.concat(site, F.lit("/"), F.array_join(kept, "/"), rest)).otherwise(url)
+
+
 def link_targets(html: Column, url: Column) -> Column:
-    """Absolute targets of the canonical links and refresh redirects of a page."""
+    """Absolute targets of the canonical links and refresh redirects of a page.
+
+    Character references are decoded, blanks around a target go, relative targets start from the page's
+    folder and dot segments are resolved.
+    """
     tags = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(TAGS), F.lit(0))
-    hrefs = F.transform(tags, lambda t: F.when(t.rlike(CANONICAL), F.regexp_extract(t, HREF, 1)))
-    urls = F.transform(tags, lambda t: F.when(t.rlike(REFRESH), F.regexp_extract(t, REFRESH_URL, 1)))
-    found = F.filter(F.concat(hrefs, urls), lambda x: x.isNotNull() & (x != ""))
+    href = lambda t: F.concat(*[F.regexp_extract(t, HREF, i) for i in (1, 2, 3)])
+    hrefs = F.transform(tags, lambda t: F.when(t.rlike(CANONICAL), href(t)))
+    urls = F.transform(tags, lambda t: F.when(t.rlike(REFRESH), F.regexp_extract(unescaped(t), REFRESH_URL, 1)))
+    found = F.transform(F.concat(F.transform(hrefs, unescaped), urls), lambda x: F.trim(x))
+    found = F.filter(found, lambda x: x.isNotNull() & (x != ""))
     scheme = F.regexp_extract(url, r"^(.*?)://", 1)
-    folder = F.regexp_replace(F.regexp_extract(url, r"^[^?#]*", 0), r"(?<=[^/:]/)[^/]*$", "")
-    return F.transform(
+    base = F.regexp_extract(url, r"^[^?#]*", 0)
+    folder = F.when(base.rlike(r"://[^/]*$"), F.concat(base, F.lit("/"))).otherwise(F.regexp_replace(base, r"[^/]*$", ""))
+    absolute = F.transform(
         found,
         lambda x: F.when(x.startswith("//"), F.concat(scheme, F.lit(":"), x))
-        .when(x.contains("://"), x)
+        .when(x.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), x)
         .when(x.startswith("/"), F.concat(scheme, F.lit("://"), host_of(url), x))
+        .when(x.startswith("?"), F.concat(base, x))
+        .when(x.startswith("#"), url)
         .otherwise(F.concat(folder, x)),
     )
+    return F.transform(absolute, without_dots)
 
 
 def alias_links(pages: DataFrame, url: str, html: str, redirects: DataFrame | None = None) -> DataFrame:
@@ -138,6 +202,10 @@ def judged(
     )
 
 
+# The SQL follows links as they are written: it neither decodes character references nor resolves dots, which the
+# given pages do not have. The tests hold these against verdicts written by hand.
+_quoted = {name: value.replace("'", "''") for name, value in
+           (("tags", SQL_TAGS), ("canonical", CANONICAL), ("refresh", REFRESH), ("href", HREF), ("url", REFRESH_URL))}
 _RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
 SQL = rf"""
 WITH RECURSIVE rules(verdict, host, path) AS (VALUES {_RULE_ROWS}),
@@ -151,14 +219,15 @@ cut AS (
     FROM cut
 ), named AS (SELECT *, host || regexp_extract(rest, '^[^/?#]*([^#]*)', 1) AS name FROM parts),
 tags AS (
-    SELECT name, url, host, unnest(regexp_extract_all(coalesce(html, ''), '(?i)<(?:link|meta)\b[^<>]*>')) AS tag
+    SELECT name, url, host, unnest(regexp_extract_all(coalesce(html, ''), '{_quoted["tags"]}')) AS tag
     FROM named WHERE contains(url, '://')
 ), hrefs AS (
-    SELECT name, url, host, regexp_extract(tag, '(?i)\bhref\s*=\s*["'']?([^"''\s<>]+)', 1) AS x FROM tags
-    WHERE regexp_matches(tag, '(?i)\brel\s*=\s*["'']?canonical\b')
+    SELECT name, url, host, trim(regexp_extract(tag, '{_quoted["href"]}', 1) || regexp_extract(tag, '{_quoted["href"]}', 2)
+           || regexp_extract(tag, '{_quoted["href"]}', 3)) AS x FROM tags
+    WHERE regexp_matches(tag, '{_quoted["canonical"]}')
     UNION ALL
-    SELECT name, url, host, regexp_extract(tag, '(?i)\burl\s*=\s*["'']?([^"''\s<>;]+)', 1) FROM tags
-    WHERE regexp_matches(tag, '(?i)\bhttp-equiv\s*=\s*["'']?refresh\b')
+    SELECT name, url, host, regexp_extract(tag, '{_quoted["url"]}', 1) FROM tags
+    WHERE regexp_matches(tag, '{_quoted["refresh"]}')
 ), targets AS (
     SELECT name, CASE
         WHEN starts_with(x, '//') THEN substr(x, 3)

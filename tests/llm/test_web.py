@@ -90,3 +90,51 @@ def test_verdicts_follow_aliases(spark):
     got = url_filter.judged(pages).collect()
     assert sorted(map(tuple, got), key=repr) == sorted([(i, *r) for i, _, _, *r in rows], key=repr)
     assert url_filter.judged(pages.limit(0)).count() == 0
+
+
+# (url of the page, html, what the verdict must be): each page links to a blocked address in its own way, or to none
+EDGES = [
+    ("http://a0.org/", '<link rel="alternate canonical" href="http://block.net/fr/a">', "block"),
+    ("http://a1.org/", "<link rel='canonical nofollow' href='http://block.net/fr/a'>", "block"),
+    ("http://a2.org/", '<link rel="canonical-ish" href="http://block.net/fr/a">', "allow"),
+    ("http://a3.org/", '<link title="a > b < c" rel=canonical href=http://block.net/fr/a>', "block"),
+    ("http://a4.org/", '<link rel="canonical" href="http://block.net/es/../fr/./a">', "block"),
+    ("http://a5.org/", '<link rel="canonical" href="http://block.net/x/fr/a/../../..//fr/">', "allow"),
+    ("http://block.net/fr2/deep/x", '<link rel="canonical" href="../../fr/a">', "block"),
+    ("http://block.net/fr3/deep/x?q=/", '<link rel="canonical" href="../fr/a">', "allow"),
+    ("http://block.net/fr4", '<link rel="canonical" href="./fr/a">', "block"),
+    ("http://block.net/f5/x", '<link rel="canonical" href="../../../../fr/.">', "block"),
+    ("http://block.net", '<link rel="canonical" href="fr/a">', "block"),
+    ("http://a6.org/", '<link rel="canonical" href="http://hub.org/?x=1&amp;y=2">', "block"),
+    ("http://a7.org/", '<link rel="canonical" href="http://hub.org/?x=1&#38;y=2">', "block"),
+    ("http://a8.org/", '<meta http-equiv="refresh" content="0;url=http://hub.org/?x=1&#x26;y=2">', "block"),
+    ("http://a9.org/", '<link rel="canonical" href="http://hub.org/?x=1&amp;amp;y=2">', "allow"),
+    ("http://hub.org/?x=1&y=2", "<meta content='3; URL=\"http://block.net/es/;v=1\"' http-equiv=Refresh>", "block"),
+    ("http://b0.org/", '<link rel="canonical" href=" http://block.net/fr/a ">', "block"),
+    ("http://b1.org/", '<link data-rel="canonical" href="http://block.net/fr/a">', "allow"),
+    ("http://b2.org/", '<link rel="canonical" href="//block.net/fr/a#top">', "block"),
+    ("http://b3.org/", '<link rel="canonical" data-href="http://block.net/fr/a" href="/">', "allow"),
+    ("http://b4.org/", '<link rel="canonical" href="http://block.net/fr/a', "allow"),
+    ("http://b5.org/", '<link rel="canonical" href="http://b6.org/&#1114112;&#xD800;&nope;">', "allow"),
+    ("http://b7.org/", '<link rel="canonical" href="http://caf&#233;.net/es/">', "block"),
+    ("http://b8.org/", "<link rel=canonical href='/?go=http://block.net/fr/a'>", "allow"),
+    ("http://b9.org/?", "x" * 300_000 + "<link " * 50_000 + "\"'" * 50_000 + '<link rel="canonical" href="http://block.net/fr/a">', "block"),
+    ("http://c0.org/", "<link " + "a='b' " * 30_000 + ' rel="canonical" href="http://block.net/fr/a">', "block"),
+    ("http://c1.org/", f'<link rel="canonical" href="http://block.net{"/./.." * 100_000}/fr/a">', "allow"),
+    ("http://c2.org/", f'<link rel="canonical" href="http://block.net{"/z" * 1000}{"/.." * 1000}/fr/a">', "block"),
+]
+
+
+def test_edges_of_real_pages(spark):
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(EDGES)], "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filter.judged(pages).collect()}
+    assert {EDGES[i][0]: v for i, v in got.items()} == {u: v for u, _, v in EDGES}
+
+
+def test_redirects_that_a_crawler_followed(spark):
+    urls = ["http://a.org/1", "http://b.org/2", "http://c.org/3", "http://www.example.com/en/4", None]
+    pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    steps = [("http://a.org/1", "https://b.org/2#x"), ("http://b.org/2", "http://q.net/es/"), (urls[3], urls[0]), (None, urls[2])]
+    followed = spark.createDataFrame(steps, "from string, to string")
+    got = {r.page_id: r.verdict for r in url_filter.judged(pages, redirects=followed).collect()}
+    assert got == {0: "block", 1: "block", 2: "allow", 3: "allow", 4: "allow"}
