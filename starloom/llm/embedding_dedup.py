@@ -24,7 +24,7 @@ _STRIP = 1 << 21  # pairs looked at together inside a task
 _VERIFY = 1 << 15
 _SLACK = 1e-5  # of single precision distances, which only preselect
 
-ROTATED = "cls bigint, copies bigint, dims int, unit array<double>, places array<struct<block:int,cell:int,home:boolean>>"
+PLACED = "cls bigint, copies bigint, dims int, unit array<double>, places array<struct<block:int,cell:int,home:boolean>>"
 _PLACES = pa.list_(pa.struct([("block", pa.int32()), ("cell", pa.int32()), ("home", pa.bool_())]))
 FOUND = "cls bigint, links bigint, other bigint"
 
@@ -53,25 +53,35 @@ def subspaces(dims: int, least: float, blocks: int = BLOCKS) -> list[tuple[int,
     return [(int(a), int(b), total * (b - a) / dims * (1 + 1e-9) + 1e-12) for a, b in zip(edges, edges[1:])]
 
 
-def _rotate(batches: Iterator[pa.RecordBatch], least: float, blocks: int) -> Iterator[pa.RecordBatch]:
-    turned: dict[int, np.ndarray] = {}
+def turned(units: np.ndarray, seed: int = SEED) -> np.ndarray:
+    """Rotated rows. Sums run coordinate by coordinate, so a row comes out the same whatever rows are beside it."""
+    matrix = rotation(units.shape[1], seed)
+    out = np.zeros(units.shape)
+    for d in range(units.shape[1]):
+        out += units[:, d, None] * matrix[:, d]
+    return out
+
+
+def _place(batches: Iterator[pa.RecordBatch], least: float, blocks: int) -> Iterator[pa.RecordBatch]:
+    """Unit vectors as given, and the cells of each subspace that their rotation visits."""
     for batch in batches:
         rows = batch.to_pydict()
-        units, places = [], []
+        units, places = [], [None] * batch.num_rows
         for vector in rows["vector"]:
             x = np.asarray(vector, float)
-            dims = len(x)
-            if dims not in turned:
-                turned[dims] = rotation(dims)
             x = x / np.abs(x).max()
-            unit = turned[dims] @ (x / np.sqrt((x * x).sum()))
-            units.append(unit.tolist())
-            own = []
-            for block, (first, _, budget) in enumerate(subspaces(dims, least, blocks)):
-                radius = budget**0.5
-                home, last = int(unit[first] // (2 * radius)), int((unit[first] + radius) // (2 * radius))
-                own += [{"block": block, "cell": cell, "home": cell == home} for cell in range(home, last + 1)]
-            places.append(own)
+            units.append(x / np.sqrt((x * x).sum()))
+        lengths = np.array([len(u) for u in units])
+        for dims in np.unique(lengths):
+            here = np.flatnonzero(lengths == dims)
+            spins = turned(np.stack([units[i] for i in here]))
+            for row, spun in zip(here, spins):
+                own = []
+                for block, (first, _, budget) in enumerate(subspaces(int(dims), least, blocks)):
+                    radius = budget**0.5
+                    home, last = int(spun[first] // (2 * radius)), int((spun[first] + radius) // (2 * radius))
+                    own += [{"block": block, "cell": cell, "home": cell == home} for cell in range(home, last + 1)]
+                places[row] = own
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("cls"),
@@ -97,23 +107,22 @@ def _joined(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         np.minimum.at(labels, np.maximum(a, b), np.minimum(a, b))
 
 
-def _within(a: np.ndarray, b: np.ndarray, spaces: list, block: int, least: float) -> np.ndarray:
+def _within(a: np.ndarray, b: np.ndarray, spun_a: np.ndarray, spun_b: np.ndarray, spaces: list, block: int, least: float):
     """Which pairs of rows are linked and belong to this subspace, the first whose budget they keep.
 
+    The rotated rows decide on the subspace, the given ones on the cosine.
     Sums run coordinate by coordinate: they come out the same in whatever task a pair is looked at.
     """
     keep = np.ones(len(a), bool)
     dot = np.zeros(len(a))
-    for k, (first, end, budget) in enumerate(spaces):
+    for d in range(a.shape[1]):
+        dot += a[:, d] * b[:, d]
+    for k, (first, end, budget) in enumerate(spaces[: block + 1]):
         apart = np.zeros(len(a))
         for d in range(first, end):
-            gap = a[:, d] - b[:, d]
+            gap = spun_a[:, d] - spun_b[:, d]
             apart += gap * gap
-            dot += a[:, d] * b[:, d]
-        if k < block:
-            keep &= apart > budget
-        elif k == block:
-            keep &= apart <= budget
+        keep &= apart <= budget if k == block else apart > budget
     return keep & (dot >= least)
 
 
@@ -123,16 +132,17 @@ def _compare(keys: tuple, table: pa.Table, least: float, blocks: int) -> pa.Tabl
     chunk, home = table["chunk"].to_numpy(), np.asarray(table["home"].to_numpy(zero_copy_only=False), bool)
     cls, copies = table["cls"].to_numpy(), table["copies"].to_numpy()
     units = table["unit"].combine_chunks().flatten().to_numpy().reshape(-1, dims)
+    spun = turned(units)
     spaces = subspaces(dims, least, blocks)
     first, end, budget = spaces[block]
     rows, cols = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
     links, labels = np.zeros(len(cls), np.int64), np.arange(len(cls))
-    right = units[cols, first:end].astype(np.float32)
+    right = spun[cols, first:end].astype(np.float32)
     right_norm = (right * right).sum(axis=1)
     strip = max(1, _STRIP // max(1, len(cols)))
     for begin in range(0, len(rows), strip):
         part = rows[begin : begin + strip]
-        left = units[part, first:end].astype(np.float32)
+        left = spun[part, first:end].astype(np.float32)
         near = (left * left).sum(axis=1)[:, None] + right_norm - 2 * (left @ right.T) <= budget + _SLACK
         near &= home[part][:, None] | home[cols]
         if i == j:
@@ -141,7 +151,7 @@ def _compare(keys: tuple, table: pa.Table, least: float, blocks: int) -> pa.Tabl
         a, b = part[a], cols[b]
         for at in range(0, len(a), _VERIFY):
             x, y = a[at : at + _VERIFY], b[at : at + _VERIFY]
-            linked = _within(units[x], units[y], spaces, block, least)
+            linked = _within(units[x], units[y], spun[x], spun[y], spaces, block, least)
             x, y = x[linked], y[linked]
             np.add.at(links, x, copies[y])
             np.add.at(links, y, copies[x])
@@ -177,13 +187,13 @@ def linked_classes(classes: DataFrame, least: float = LEAST_COSINE, blocks: int
     counted once without a shuffle of pairs.
     """
     bounded_batches(classes.sparkSession)
-    rotated = materialize(
-        classes.select("cls", "copies", "vector").mapInArrow(partial(_rotate, least=least, blocks=blocks), ROTATED),
-        "rotated",
+    placed = materialize(
+        classes.select("cls", "copies", "vector").mapInArrow(partial(_place, least=least, blocks=blocks), PLACED),
+        "placed",
     )
     cell = ["dims", "block", "cell"]
-    placed = rotated.select("cls", "copies", "dims", "unit", F.inline("places"))
-    groups = chunk_pairs(placed, cell, rows).groupBy(*cell, "i", "j")
+    visits = placed.select("cls", "copies", "dims", "unit", F.inline("places"))
+    groups = chunk_pairs(visits, cell, rows).groupBy(*cell, "i", "j")
 
     def compare(keys, table):
         return _compare(keys, table, least, blocks)
