@@ -53,10 +53,13 @@ def subspaces(dims: int, least: float, blocks: int = BLOCKS) -> list[tuple[int,
     return [(int(a), int(b), total * (b - a) / dims * (1 + 1e-9) + 1e-12) for a, b in zip(edges, edges[1:])]
 
 
-def turned(units: np.ndarray, seed: int = SEED) -> np.ndarray:
-    """Rotated rows. Sums run coordinate by coordinate, so a row comes out the same whatever rows are beside it."""
-    matrix = rotation(units.shape[1], seed)
-    out = np.zeros(units.shape)
+def turned(units: np.ndarray, first: int = 0, end: int | None = None) -> np.ndarray:
+    """Rotated rows, coordinates from ``first`` to ``end``.
+
+    Sums run coordinate by coordinate, so a row comes out the same whatever rows and coordinates are beside it.
+    """
+    matrix = rotation(units.shape[1])[first:end]
+    out = np.zeros((len(units), len(matrix)))
     for d in range(units.shape[1]):
         out += units[:, d, None] * matrix[:, d]
     return out
@@ -107,7 +110,7 @@ def _joined(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         np.minimum.at(labels, np.maximum(a, b), np.minimum(a, b))
 
 
-def _within(a: np.ndarray, b: np.ndarray, spun_a: np.ndarray, spun_b: np.ndarray, spaces: list, block: int, least: float):
+def _within(a: np.ndarray, b: np.ndarray, spaces: list, block: int, least: float) -> np.ndarray:
     """Which pairs of rows are linked and belong to this subspace, the first whose budget they keep.
 
     The rotated rows decide on the subspace, the given ones on the cosine.
@@ -118,10 +121,10 @@ def _within(a: np.ndarray, b: np.ndarray, spun_a: np.ndarray, spun_b: np.ndarray
     for d in range(a.shape[1]):
         dot += a[:, d] * b[:, d]
     for k, (first, end, budget) in enumerate(spaces[: block + 1]):
+        gaps = turned(a, first, end) - turned(b, first, end)
         apart = np.zeros(len(a))
-        for d in range(first, end):
-            gap = spun_a[:, d] - spun_b[:, d]
-            apart += gap * gap
+        for d in range(end - first):
+            apart += gaps[:, d] * gaps[:, d]
         keep &= apart <= budget if k == block else apart > budget
     return keep & (dot >= least)
 
@@ -132,17 +135,17 @@ def _compare(keys: tuple, table: pa.Table, least: float, blocks: int) -> pa.Tabl
     chunk, home = table["chunk"].to_numpy(), np.asarray(table["home"].to_numpy(zero_copy_only=False), bool)
     cls, copies = table["cls"].to_numpy(), table["copies"].to_numpy()
     units = table["unit"].combine_chunks().flatten().to_numpy().reshape(-1, dims)
-    spun = turned(units)
     spaces = subspaces(dims, least, blocks)
     first, end, budget = spaces[block]
+    spun = turned(units, first, end)
     rows, cols = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
     links, labels = np.zeros(len(cls), np.int64), np.arange(len(cls))
-    right = spun[cols, first:end].astype(np.float32)
+    right = spun[cols].astype(np.float32)
     right_norm = (right * right).sum(axis=1)
     strip = max(1, _STRIP // max(1, len(cols)))
     for begin in range(0, len(rows), strip):
         part = rows[begin : begin + strip]
-        left = spun[part, first:end].astype(np.float32)
+        left = spun[part].astype(np.float32)
         near = (left * left).sum(axis=1)[:, None] + right_norm - 2 * (left @ right.T) <= budget + _SLACK
         near &= home[part][:, None] | home[cols]
         if i == j:
@@ -151,7 +154,7 @@ def _compare(keys: tuple, table: pa.Table, least: float, blocks: int) -> pa.Tabl
         a, b = part[a], cols[b]
         for at in range(0, len(a), _VERIFY):
             x, y = a[at : at + _VERIFY], b[at : at + _VERIFY]
-            linked = _within(units[x], units[y], spun[x], spun[y], spaces, block, least)
+            linked = _within(units[x], units[y], spaces, block, least)
             x, y = x[linked], y[linked]
             np.add.at(links, x, copies[y])
             np.add.at(links, y, copies[x])
