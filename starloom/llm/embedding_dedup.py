@@ -141,17 +141,19 @@ def _compare(keys: tuple, table: pa.Table, least: float, blocks: int) -> pa.Tabl
     rows, cols = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
     links, labels = np.zeros(len(cls), np.int64), np.arange(len(cls))
     right = spun[cols].astype(np.float32)
-    right_norm = (right * right).sum(axis=1)
+    # one product gives the squared distances: (-2x, |x|^2, 1) by (y, 1, |y|^2)
+    right = np.column_stack([right, np.ones(len(cols), np.float32), (right * right).sum(axis=1)]).T.copy()
     strip = max(1, _STRIP // max(1, len(cols)))
     for begin in range(0, len(rows), strip):
         part = rows[begin : begin + strip]
         left = spun[part].astype(np.float32)
-        near = (left * left).sum(axis=1)[:, None] + right_norm - 2 * (left @ right.T) <= budget + _SLACK
-        near &= home[part][:, None] | home[cols]
-        if i == j:
-            near &= part[:, None] < cols
-        a, b = np.nonzero(near)
+        left = np.column_stack([-2 * left, (left * left).sum(axis=1), np.ones(len(part), np.float32)])
+        a, b = np.nonzero(left @ right <= budget + _SLACK)
         a, b = part[a], cols[b]
+        counts = home[a] | home[b]
+        if i == j:
+            counts &= a < b
+        a, b = a[counts], b[counts]
         for at in range(0, len(a), _VERIFY):
             x, y = a[at : at + _VERIFY], b[at : at + _VERIFY]
             linked = _within(units[x], units[y], spaces, block, least)
