@@ -45,6 +45,7 @@ def weekdays_of_daily(daily: DataFrame, dates: DataFrame, cities: DataFrame, sta
 # -- distinct songs and artists per user ------------------------------------------
 
 HEARD = {"song_id": "songs_played", "artist_id": "artists_played"}
+WORD_BITS = 64  # fixed value: bits of a long
 
 
 def number_keys(keys: DataFrame, path: str, key: str) -> DataFrame:
@@ -62,23 +63,33 @@ def number_keys(keys: DataFrame, path: str, key: str) -> DataFrame:
 
 
 def listening(songplays: DataFrame, numbers: dict[str, DataFrame], period: Column) -> DataFrame:
-    """``(user_id, period, kind, bucket, bits)``: which songs and artists each user heard in a period, as bitmaps.
+    """``(user_id, period, kind, bucket, words)``: which songs and artists each user heard in a period, as bitmaps.
 
     ``numbers`` has the numbered keys per column of ``HEARD``; keys without a number do not count. A bitmap
-    covers 32768 numbers and takes 4 KB before compression, whatever it holds: the table pays for users who
-    hear many songs, and for reports that are asked often. Plays are reduced to distinct keys before they are
-    joined, and bits are set on the map side, so a hot user or song is never gathered as rows.
+    covers 32768 numbers as words of 64 bits and holds only the words in which a bit is set, so it takes what
+    the user heard: 512 words at most, one for a single song. Plays are reduced to distinct keys before they are
+    joined, and a bitmap is made of 32768 of them at most, so a hot user or song is never gathered as rows.
     """
     parts = []
     plays = songplays.where(F.col("user_id").isNotNull()).withColumn("period", period)
     for kind in HEARD:
         heard = plays.select("user_id", "period", kind).where(F.col(kind).isNotNull()).distinct()
         numbered = dim_join(heard, numbers[kind].select(kind, "number"), [kind], hot_from=songplays)
-        bits = numbered.groupBy(
-            "user_id", "period", F.lit(kind).alias("kind"), F.bitmap_bucket_number("number").alias("bucket")
+        place = numbered.withColumn("place", F.bitmap_bit_position("number"))
+        parts.append(
+            place.select(
+                "user_id",
+                "period",
+                F.lit(kind).alias("kind"),
+                F.bitmap_bucket_number("number").alias("bucket"),
+                F.expr(f"cast(place div {WORD_BITS} as int)").alias("word"),
+                F.expr(f"shiftleft(1L, cast(place % {WORD_BITS} as int))").alias("bit"),
+            )
         )
-        parts.append(bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits")))
-    return parts[0].unionByName(parts[1])
+    by = ["user_id", "period", "kind", "bucket"]
+    # one shuffle for both steps; a single long is the state of the first
+    words = parts[0].unionByName(parts[1]).repartition(*by).groupBy(*by, "word").agg(F.bit_or("bit").alias("bits"))
+    return words.groupBy(*by).agg(F.collect_list(F.struct("word", "bits")).alias("words"))
 
 
 def keep_listening(songplays: DataFrame, numbers: dict[str, DataFrame], period: Column, path: str) -> DataFrame:
@@ -91,15 +102,16 @@ def keep_listening(songplays: DataFrame, numbers: dict[str, DataFrame], period:
 def heard_by_user(kept: DataFrame, users: DataFrame, first, last) -> DataFrame:
     """Exact distinct songs and artists per user over the periods from ``first`` to ``last``; no fact is read.
 
-    Bitmaps are merged by OR, which is combined on the map side, then counted.
+    Bitmaps are merged by OR, word by word and combined on the map side, then counted.
     """
     merged = (
         kept.where(F.col("period").between(first, last))
-        .groupBy("user_id", "kind", "bucket")
-        .agg(F.bitmap_or_agg("bits").alias("bits"))
+        .select("user_id", "kind", "bucket", F.inline("words"))
+        .groupBy("user_id", "kind", "bucket", "word")
+        .agg(F.bit_or("bits").alias("bits"))
     )
     counts = [
-        F.coalesce(F.sum(F.when(F.col("kind") == kind, F.bitmap_count("bits"))), F.lit(0)).alias(name)
+        F.coalesce(F.sum(F.when(F.col("kind") == kind, F.bit_count("bits"))), F.lit(0)).alias(name)
         for kind, name in HEARD.items()
     ]
     heard = merged.groupBy("user_id").agg(*counts)

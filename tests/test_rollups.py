@@ -102,6 +102,36 @@ def test_numbers_beyond_one_bitmap(spark, tmp_path):
     assert kept.where("kind = 'song_id'").count() == 4
 
 
+def test_bitmaps_take_what_was_heard(spark, tmp_path):
+    songs = spark.range(40_000).selectExpr("concat('s', id) AS song_id", "'a' AS artist_id")
+    numbers = numbered(spark, songs, tmp_path)
+    plays = songs.where("substr(song_id, -3) = '123'").selectExpr(
+        "cast(substr(song_id, 2) as int) % 7 AS user_id", "*", "1 AS month"
+    )
+    kept = rollups.keep_listening(plays, numbers, F.col("month"), str(tmp_path / "bits"))
+    per_user = kept.selectExpr("user_id", "octet_length(to_json(struct(*))) AS size").groupBy("user_id").sum("size")
+    assert max(r[1] for r in per_user.collect()) < 2000
+    users = plays.selectExpr("user_id", "'x' AS last_name").distinct()
+    assert rows(rollups.heard_by_user(kept, users, 1, 1)) == brute(plays, users, 1, 1)
+    # no aggregate sorts its state
+    for made in (rollups.listening(plays, numbers, F.col("month")), rollups.heard_by_user(kept, users, 1, 1)):
+        assert "SortAggregate" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_place_of_a_bitmap_counts_once(spark, tmp_path):
+    plays = spark.range(70_000).selectExpr(
+        "id % 2 AS user_id", "concat('s', lpad(id, 6, '0')) AS song_id", "'a' AS artist_id", "id % 3 AS month"
+    )
+    numbers = numbered(spark, plays, tmp_path)
+    edges = numbers["song_id"].where("number IN (1, 63, 64, 65, 128, 32767, 32768, 32769, 65536, 65537)").select("song_id")
+    few = plays.join(edges, "song_id").select(*plays.columns)
+    both = few.unionByName(few.withColumn("month", F.lit(7)))
+    users = spark.createDataFrame([(0, "x"), (1, "y")], "user_id int, last_name string")
+    kept = rollups.keep_listening(both, numbers, F.col("month"), str(tmp_path / "bits"))
+    for first, last in ((0, 7), (0, 1), (7, 7)):
+        assert rows(rollups.heard_by_user(kept, users, first, last)) == brute(both, users, first, last)
+
+
 def test_pivot_map_equals_the_pivot(spark):
     df = spark.createDataFrame(
         [("a", "x", 1), ("a", "x", 2), ("a", None, 5), ("b", "y", 7), ("b", "z", None)], "k string, p string, v int"
