@@ -127,14 +127,19 @@ class BallTree:
         starts = np.cumsum(sizes) - sizes
         return np.arange(sizes.sum()) + np.repeat(self.starts[rows] - starts, sizes), starts
 
+    def _dots(self, entries: np.ndarray, starts: np.ndarray, terms, values) -> np.ndarray:
+        """Inner products of the rows of ``entries`` with a sparse point."""
+        self._scratch[terms] = values
+        dots = np.add.reduceat(self.scaled[entries] * self._scratch[self.terms[entries]], starts)
+        self._scratch[terms] = 0
+        return dots
+
     def _squared(self, rows: np.ndarray, entries: np.ndarray, starts: np.ndarray, terms, values) -> np.ndarray:
         """Squared distances of ``rows`` from a sparse point, never below the true ones.
 
         A sum of m rounded products is off by at most m units in the last place of the sum of their sizes.
         """
-        self._scratch[terms] = values
-        dots = np.add.reduceat(self.scaled[entries] * self._scratch[self.terms[entries]], starts)
-        self._scratch[terms] = 0
+        dots = self._dots(entries, starts, terms, values)
         own = float(values @ values)
         slack = (self.norms[rows] + own) * (8 + self.width) * 2.0**-50
         return np.maximum(self.norms[rows] + own - 2 * dots, 0) + slack
@@ -162,10 +167,12 @@ class BallTree:
             if leaf:
                 continue
             far = self._point(rows[squares.argmax()])
-            from_far = self._squared(rows, entries, starts, *far)
-            other = self._squared(rows, entries, starts, *self._point(rows[from_far.argmax()]))
-            # the half nearer to one of them; by rank, so that both halves shrink whatever the spread
-            order = np.argsort(from_far - other, kind="stable")
+            near = self._dots(entries, starts, *far)
+            from_far = self.norms[rows] - 2 * near
+            other = self._dots(entries, starts, *self._point(rows[from_far.argmax()]))
+            # the half nearer to one of them; by rank, so that both halves shrink whatever the spread. Rows that
+            # share no term with either are exactly even, which their distances would be up to rounding only
+            order = np.lexsort((self.terms[entries[starts]], other - near))
             half = len(rows) // 2
             waiting += [(rows[order[:half]], node, 0), (rows[order[half:]], node, 1)]
 

@@ -120,6 +120,19 @@ def test_bounds_hold_and_prune():
     assert scored < len(rows) / 2
 
 
+@pytest.mark.parametrize("seed", [5, 6, 8])
+def test_rows_far_from_both_ends_stay_with_their_like(seed):
+    """Rows that share no term with the two far rows are halved by their terms, not by rounding."""
+    rng = np.random.default_rng(seed)
+    weights = rng.integers(1, 9000, 400)
+    rows = [
+        (i, np.sort(rng.choice(40, 12, replace=False) + i % 10 * 40).astype(np.int32), rng.integers(1, 900_000, 12))
+        for i in range(1500)
+    ]
+    asked, counts = np.arange(40, 52, dtype=np.int32), np.ones(12, dtype=np.int64)
+    assert search.BallTree(rows, weights, 10).search(asked, counts, weights, [], 10) < 300
+
+
 @pytest.mark.parametrize("text, expected", [(None, []), ("A_b-C9é", [b"a", b"b", "c9é".encode()]), ("İ x", ["İ x".encode()])])
 def test_terms(text, expected):
     assert search.terms_of(text) == expected and [w.encode() for w in words(text)] == expected
