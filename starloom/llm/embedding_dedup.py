@@ -1,32 +1,39 @@
-"""Near-duplicate vectors: a pigeonhole join over subspaces of rotated vectors."""
+"""Near-duplicate vectors: blocks of vectors meet in place, leading coordinates of a rotation preselect pairs."""
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from starloom.llm.components import connected_components
 from starloom.llm.support import bounded_batches
 from starloom.session import materialize
 
 LEAST_COSINE = 0.95
-# Subspaces that a rotated vector is split into.
+# The first of so many parts of a rotated vector preselects pairs, but at least LEAD coordinates.
 BLOCKS = 4
-# A cell with more vectors is cut into chunks of about this many; a task compares two chunks.
-CHUNK = 8192
+LEAD = 24
+# Vectors and bytes that one block holds at most; a pair of blocks meets in one step of a task.
+CHUNK = 1 << 15
+BLOCK_BYTES = 8 << 20
 SEED = 11
-_STRIP = 1 << 21  # pairs looked at together inside a task
-_VERIFY = 1 << 15
-_SLACK = 1e-5  # of single precision distances, which only preselect
-
-PLACED = "cls bigint, copies bigint, dims int, unit array<double>, places array<struct<block:int,cell:int,home:boolean>>"
-_PLACES = pa.list_(pa.struct([("block", pa.int32()), ("cell", pa.int32()), ("home", pa.bool_())]))
+_TILE = 512  # rows and columns of the distances looked at together inside a task
+_PORTION = 1 << 15  # pairs handed on together
+# Tasks, and so files of links, at most.
+_TASKS = 10_000
+# Blocks in a row group: bounds what writers and readers hold.
+_ROW_GROUP = {"parquet.block.row.count.limit": "4"}
+
+_HELD = ["cls", "copies", "low", "name"]
 FOUND = "cls bigint, links bigint, other bigint"
+_FOUND = pa.schema([("cls", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
 
 
 def usable(vector: Column) -> Column:
@@ -35,66 +42,54 @@ def usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+@lru_cache(8)
 def rotation(dims: int, seed: int = SEED) -> np.ndarray:
     """A fixed orthogonal matrix that spreads any distance over all coordinates."""
     q, r = np.linalg.qr(np.random.default_rng([seed, dims]).normal(size=(dims, dims)))
     return q * np.sign(np.diag(r))
 
 
-def subspaces(dims: int, least: float, blocks: int = BLOCKS) -> list[tuple[int, int, float]]:
-    """(first, end, budget) of each subspace.
+def named(vector: Column) -> Column:
+    """16 bytes of the SHA-256 of a vector's text; equal vectors have one name, 0.0 being equal to -0.0."""
+    text = F.regexp_replace(vector.cast("string"), r"-0\.0([,\]])", "0.0$1")
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
 
-    Unit vectors of cosine c are ``2 - 2c`` apart, squared. The budgets share that
-    in proportion to the coordinates of a subspace, so a linked pair is within
-    the budget of at least one subspace. The last digits leave room for rounding.
-    """
-    edges = np.linspace(0, dims, min(blocks, dims) + 1).astype(int)
-    total = 2 - 2 * least
-    return [(int(a), int(b), total * (b - a) / dims * (1 + 1e-9) + 1e-12) for a, b in zip(edges, edges[1:])]
 
+def _pack(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of vectors of one length, a row each, in the order they come in."""
 
-def turned(units: np.ndarray, first: int = 0, end: int | None = None) -> np.ndarray:
-    """Rotated rows, coordinates from ``first`` to ``end``.
+    def block(table: pa.Table, dims: int) -> pa.RecordBatch:
+        ends = pa.array([0, table.num_rows], pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, table[c].combine_chunks()) for c in _HELD]
+        vectors = table["vector"].combine_chunks().flatten().to_numpy().tobytes()
+        values = [pa.array([dims], pa.int32()), table["cls"].combine_chunks()[:1], *lists, pa.array([vectors], pa.binary())]
+        return pa.RecordBatch.from_arrays(values, ["dims", "first", *_HELD, "vectors"])
 
-    Sums run coordinate by coordinate, so a row comes out the same whatever rows and coordinates are beside it.
-    """
-    matrix = rotation(units.shape[1])[first:end]
-    out = np.zeros((len(units), len(matrix)))
-    for d in range(units.shape[1]):
-        out += units[:, d, None] * matrix[:, d]
-    return out
+    held: dict[int, list] = defaultdict(list)
+    for batch in batches:
+        lengths = batch.column("vector").value_lengths().to_numpy()
+        for dims in np.unique(lengths).tolist():
+            held[dims].append(batch.take(pa.array(np.flatnonzero(lengths == dims))))
+            most = _block_rows(rows, dims, batch.column("vector").type.value_type)
+            if sum(part.num_rows for part in held[dims]) >= most:
+                table = pa.Table.from_batches(held[dims])
+                whole = table.num_rows // most * most
+                for at in range(0, whole, most):
+                    yield block(table.slice(at, most), dims)
+                held[dims] = table.slice(whole).to_batches()
+    for dims, parts in held.items():
+        if parts:
+            yield block(pa.Table.from_batches(parts), dims)
 
 
-def _place(batches: Iterator[pa.RecordBatch], least: float, blocks: int) -> Iterator[pa.RecordBatch]:
-    """Unit vectors as given, and the cells of each subspace that their rotation visits."""
-    for batch in batches:
-        rows = batch.to_pydict()
-        units, places = [], [None] * batch.num_rows
-        for vector in rows["vector"]:
-            x = np.asarray(vector, float)
-            x = x / np.abs(x).max()
-            units.append(x / np.sqrt((x * x).sum()))
-        lengths = np.array([len(u) for u in units])
-        for dims in np.unique(lengths):
-            here = np.flatnonzero(lengths == dims)
-            spins = turned(np.stack([units[i] for i in here]))
-            for row, spun in zip(here, spins):
-                own = []
-                for block, (first, _, budget) in enumerate(subspaces(int(dims), least, blocks)):
-                    radius = budget**0.5
-                    home, last = int(spun[first] // (2 * radius)), int((spun[first] + radius) // (2 * radius))
-                    own += [{"block": block, "cell": cell, "home": cell == home} for cell in range(home, last + 1)]
-                places[row] = own
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("cls"),
-                batch.column("copies"),
-                pa.array([len(u) for u in units], pa.int32()),
-                pa.array(units, pa.list_(pa.float64())),
-                pa.array(places, _PLACES),
-            ],
-            ["cls", "copies", "dims", "unit", "places"],
-        )
+def _block_rows(rows: int, dims: int, kind: pa.DataType) -> int:
+    return max(1, min(rows, BLOCK_BYTES // (dims * kind.bit_width // 8)))
+
+
+def _units(vectors: bytes, dims: int, kind: str) -> np.ndarray:
+    x = np.frombuffer(vectors, kind).reshape(-1, dims).astype(float)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
 def _joined(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -110,100 +105,130 @@ def _joined(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         np.minimum.at(labels, np.maximum(a, b), np.minimum(a, b))
 
 
-def _within(a: np.ndarray, b: np.ndarray, spaces: list, block: int, least: float) -> np.ndarray:
-    """Which pairs of rows are linked and belong to this subspace, the first whose budget they keep.
+def _linked(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
+    """Which pairs of rows are linked.
 
-    The rotated rows decide on the subspace, the given ones on the cosine.
     Sums run coordinate by coordinate: they come out the same in whatever task a pair is looked at.
     """
-    keep = np.ones(len(a), bool)
-    dot = np.zeros(len(a))
-    for d in range(a.shape[1]):
-        dot += a[:, d] * b[:, d]
-    for k, (first, end, budget) in enumerate(spaces[: block + 1]):
-        gaps = turned(a, first, end) - turned(b, first, end)
-        apart = np.zeros(len(a))
-        for d in range(end - first):
-            apart += gaps[:, d] * gaps[:, d]
-        keep &= apart <= budget if k == block else apart > budget
-    return keep & (dot >= least)
-
-
-def _compare(keys: tuple, table: pa.Table, least: float, blocks: int) -> pa.Table:
-    """Links inside one pair of chunks: degrees, and a forest that connects the same vectors."""
-    dims, block, _, i, j = (int(k.as_py()) for k in keys)
-    chunk, home = table["chunk"].to_numpy(), np.asarray(table["home"].to_numpy(zero_copy_only=False), bool)
-    cls, copies = table["cls"].to_numpy(), table["copies"].to_numpy()
-    units = table["unit"].combine_chunks().flatten().to_numpy().reshape(-1, dims)
-    spaces = subspaces(dims, least, blocks)
-    first, end, budget = spaces[block]
-    spun = turned(units, first, end)
-    rows, cols = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
-    links, labels = np.zeros(len(cls), np.int64), np.arange(len(cls))
-    right = spun[cols].astype(np.float32)
-    # one product gives the squared distances: (-2x, |x|^2, 1) by (y, 1, |y|^2)
-    right = np.column_stack([right, np.ones(len(cols), np.float32), (right * right).sum(axis=1)]).T.copy()
-    strip = max(1, _STRIP // max(1, len(cols)))
-    for begin in range(0, len(rows), strip):
-        part = rows[begin : begin + strip]
-        left = spun[part].astype(np.float32)
-        left = np.column_stack([-2 * left, (left * left).sum(axis=1), np.ones(len(part), np.float32)])
-        a, b = np.nonzero(left @ right <= budget + _SLACK)
-        a, b = part[a], cols[b]
-        counts = home[a] | home[b]
-        if i == j:
-            counts &= a < b
-        a, b = a[counts], b[counts]
-        for at in range(0, len(a), _VERIFY):
-            x, y = a[at : at + _VERIFY], b[at : at + _VERIFY]
-            linked = _within(units[x], units[y], spaces, block, least)
-            x, y = x[linked], y[linked]
-            np.add.at(links, x, copies[y])
-            np.add.at(links, y, copies[x])
-            labels = _joined(labels, x, y)
-    found = np.flatnonzero(links)
-    return pa.table({"cls": cls[found], "links": links[found], "other": cls[labels[found]]})
-
-
-def chunk_pairs(places: DataFrame, cell: list[str], rows: int = CHUNK) -> DataFrame:
-    """``places`` with ``chunk``, ``i`` and ``j``: every row once per pair of chunks of its cell that holds its chunk.
-
-    A cell of many rows is cut by a hash of ``cls``; each pair of chunks is a
-    group of at most about ``2 * rows`` rows, however hot the cell.
-    """
-    counts = places.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("chunks"))
-    cut = places.join(materialize(counts, "cells"), cell)
-    cut = cut.withColumn("chunk", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"))
-    spread = cut.withColumn("mate", F.explode(F.expr("sequence(0, chunks - 1)")))
-    return spread.withColumns({"i": F.least("chunk", "mate"), "j": F.greatest("chunk", "mate")}).drop("mate", "chunks")
+    dot = np.zeros(len(x))
+    for d in range(x.shape[1]):
+        dot += x[:, d] * y[:, d]
+    return dot >= least
 
 
-def linked_classes(classes: DataFrame, least: float = LEAST_COSINE, blocks: int = BLOCKS, rows: int = CHUNK) -> DataFrame:
-    """``(cls, links, other)`` for distinct vectors ``(cls, vector, copies)``.
+def linked_pairs(left: np.ndarray, right: np.ndarray, least: float, blocks: int, same: bool) -> Iterator[tuple]:
+    """Rows ``(i, j)`` of unit vectors whose cosine is at least ``least``, in portions; of one block with itself only ``i < j``.
 
-    ``links`` of a class sum up to the copies of the classes it is linked with;
-    ``other`` connects it to a class of the same component.
-
-    Pigeonhole join. Each subspace is a range join of its own: a grid over its first coordinate brings
-    together what may be within the budget, the distance inside the subspace selects, and the
-    cosine of the whole vectors verifies. A vector visits the cells that its
-    radius reaches above it; a pair counts in the home cell of the upper one, and
-    only in the first subspace whose budget it keeps. So every linked pair is
-    counted once without a shuffle of pairs.
+    Unit vectors of cosine c are ``2 - 2c`` apart, squared, and no further apart in the leading
+    coordinates of a rotation: these, then whole vectors, are compared in single precision with room for its
+    rounding, and only what is too close to call is decided in double precision.
     """
+    dims = left.shape[1]
+    room = (dims + 8) * 2.0**-23
+    lead = rotation(dims)[: min(dims, max(LEAD, -(-dims // blocks)))].T
+    a, b = (left @ lead).astype(np.float32), (right @ lead).astype(np.float32)
+    # one product gives the squared distances: (-2x, |x|^2, 1) by (y, 1, |y|^2)
+    a = np.column_stack([-2 * a, (a * a).sum(axis=1), np.ones(len(a), np.float32)])
+    b = np.column_stack([b, np.ones(len(b), np.float32), (b * b).sum(axis=1)])
+    b = [(at, b[at : at + _TILE].T.copy()) for at in range(0, len(b), _TILE)]
+    single, other = left.astype(np.float32), right.astype(np.float32)
+    most = np.float32(2 - 2 * least + 4 * room)
+    held: list[tuple] = []
+    for top in range(0, len(a), _TILE):
+        strip = a[top : top + _TILE]
+        for at, tile in b:
+            if same and at + tile.shape[1] <= top:
+                continue
+            close = strip @ tile <= most
+            i, j = np.nonzero(close) if close.size % 8 else _hits(close)
+            if same:
+                i, j = i[ahead := top + i < at + j], j[ahead]
+            if not len(i):
+                continue
+            if 32 * len(i) > close.size:
+                dots = (single[top : top + _TILE] @ other[at : at + _TILE].T)[i, j]
+                i, j = i + top, j + at
+            else:
+                i, j = i + top, j + at
+                dots = np.einsum("ij,ij->i", single[i], other[j])
+            sure = dots >= least + room
+            near, step = np.flatnonzero(~sure & (dots >= least - room)), max(1, (1 << 21) // dims)
+            for k in (near[n : n + step] for n in range(0, len(near), step)):
+                sure[k] = _linked(left[i[k]], right[j[k]], least)
+            if sure.any():
+                held.append((i[sure], j[sure]))
+                if sum(len(part) for part, _ in held) >= _PORTION:
+                    yield tuple(map(np.concatenate, zip(*held)))
+                    held = []
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
+def _hits(close: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``np.nonzero`` that looks at eight cells at a time: hardly any is true."""
+    words = np.flatnonzero(close.reshape(-1).view(np.uint64))
+    at = (words[:, None] * 8 + np.arange(8)).ravel()
+    return np.divmod(at[close.reshape(-1)[at]], close.shape[1])
+
+
+def _compare(batches: Iterator[pa.RecordBatch], least: float, blocks: int, kind: str) -> Iterator[pa.RecordBatch]:
+    """Links between the two blocks of a row: degrees, and a forest that connects the same vectors."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            cls, copies, others, more = (
+                batch.column(c)[at].values.to_numpy() for c in ("cls", "copies", "other_cls", "other_copies")
+            )
+            dims, same = batch.column("dims")[at].as_py(), cls[0] == others[0]
+            left = _units(batch.column("vectors")[at].as_buffer(), dims, kind)
+            right = left if same else _units(batch.column("other_vectors")[at].as_buffer(), dims, kind)
+            shift = 0 if same else len(cls)
+            if not same:
+                cls, copies = np.concatenate([cls, others]), np.concatenate([copies, more])
+            links, labels = np.zeros(len(cls), np.int64), np.arange(len(cls))
+            for i, j in linked_pairs(left, right, least, blocks, bool(same)):
+                j = j + shift
+                np.add.at(links, i, copies[j])
+                np.add.at(links, j, copies[i])
+                labels = _joined(labels, i, j)
+            found = np.flatnonzero(links)
+            values = [pa.array(x) for x in (cls[found], links[found], cls[labels[found]])]
+            yield pa.RecordBatch.from_arrays(values, schema=_FOUND)
+
+
+def packed(classes: DataFrame, rows: int = CHUNK) -> DataFrame:
+    """``(cls, vector, copies, low, name)`` as blocks of at most ``rows`` vectors of one length, a row each."""
     bounded_batches(classes.sparkSession)
-    placed = materialize(
-        classes.select("cls", "copies", "vector").mapInArrow(partial(_place, least=least, blocks=blocks), PLACED),
-        "placed",
-    )
-    cell = ["dims", "block", "cell"]
-    visits = placed.select("cls", "copies", "dims", "unit", F.inline("places"))
-    groups = chunk_pairs(visits, cell, rows).groupBy(*cell, "i", "j")
+    kinds = {c: classes.schema[c].dataType.simpleString() for c in _HELD}
+    schema = ["dims int", "first bigint", *(f"{c} array<{kind}>" for c, kind in kinds.items()), "vectors binary"]
+    blocks = classes.select(*_HELD, "vector").mapInArrow(partial(_pack, rows=rows), ", ".join(schema))
+    return materialize(blocks, "blocks", **_ROW_GROUP)
+
+
+def block_pairs(blocks: DataFrame) -> DataFrame:
+    """Every two blocks of one length, and each block with itself, once.
 
-    def compare(keys, table):
-        return _compare(keys, table, least, blocks)
+    No column is equal on both sides, so the join is Spark's Cartesian product: a task reads
+    two portions of the table and nothing is shuffled or copied to disk.
+    A hash says which block of two comes first, which spreads the pairs over the tasks.
+    """
+    own = ["dims", "first", "cls", "copies", "vectors"]
+    left, right = blocks.select(*own), blocks.select(*(F.col(c).alias(f"other_{c}") for c in own))
+    one, two = F.col("first"), F.col("other_first")
+    odd = F.pmod(F.xxhash64(F.least(one, two), F.greatest(one, two)), F.lit(2)) == 1
+    # not an equality: all blocks of the usual length would meet in one task
+    alike = (F.col("dims") <= F.col("other_dims")) & (F.col("dims") >= F.col("other_dims"))
+    return left.join(right, alike & ((one == two) | (one < two) & odd | (one > two) & ~odd))
+
+
+def linked_classes(blocks: DataFrame, kind: str, least: float = LEAST_COSINE, parts: int = BLOCKS) -> DataFrame:
+    """``(cls, links, other)`` for the ``packed`` distinct vectors, of numpy's ``kind``.
 
-    return materialize(groups.applyInArrow(compare, FOUND), "links")
+    ``links`` of a class sum up to the copies of the classes it is linked with;
+    ``other`` connects it to a class of the same component. Every pair of vectors
+    is in one pair of blocks, so it is counted once, without a shuffle of vectors or of pairs.
+    """
+    pairs = block_pairs(blocks).drop("first", "other_first", "other_dims").coalesce(_TASKS)
+    return materialize(pairs.mapInArrow(partial(_compare, least=least, blocks=parts, kind=kind), FOUND), "links")
 
 
 def near_vectors(
@@ -224,11 +249,15 @@ def near_vectors(
     compares it with the key, NULL equal to NULL. Repeated rows count one by
     one. An empty table gives no rows; other columns do not matter.
     """
-    lean = vectors.select(F.col(key).alias("key"), F.col(vector).alias("vector"))
-    good = lean.where(usable(F.col("vector")))
-    grouped = good.groupBy("vector").agg(F.min("key").alias("low"), F.count(F.lit(1)).alias("copies"))
-    classes = materialize(grouped.withColumn("cls", F.monotonically_increasing_id()), "classes")
-    found = linked_classes(classes, least, blocks, rows)
+    single = isinstance(vectors.schema[vector].dataType.elementType, FloatType)
+    given = F.col(vector) if single else F.col(vector).cast("array<double>")
+    lean = vectors.select(F.col(key).alias("key"), given.alias("vector"))
+    good = lean.where(usable(F.col("vector"))).withColumn("name", named(F.col("vector")))
+    grouped = good.groupBy("name", "vector").agg(F.min("key").alias("low"), F.count(F.lit(1)).alias("copies"))
+    packs = packed(grouped.withColumn("cls", F.monotonically_increasing_id()), rows)
+    found = linked_classes(packs, "<f4" if single else "<f8", least, blocks)
+    # from here on rows carry names, no vectors
+    classes = packs.select(F.inline(F.arrays_zip(*_HELD)))
     sums = found.groupBy("cls").agg(F.sum("links").alias("links"))
     edges = found.select(F.col("cls").alias("a"), F.col("other").alias("b")).where("a <> b")
     groups = connected_components(edges).withColumnRenamed("node", "cls")
@@ -236,7 +265,7 @@ def near_vectors(
         classes.join(sums, "cls", "left")
         .join(groups, "cls", "left")
         .select(
-            "vector",
+            "name",
             "low",
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
             F.coalesce("component", "cls").alias("component"),
@@ -248,7 +277,7 @@ def near_vectors(
     alone = lean.where(~usable(F.col("vector"))).select(
         "key", F.lit(0).cast("bigint").alias("n_links"), F.col("key").alias("component_id")
     )
-    rows_out = good.join(answers, "vector").select("key", "n_links", "component_id").unionByName(alone)
+    rows_out = good.select("key", "name").join(answers, "name").select("key", "n_links", "component_id").unionByName(alone)
     return rows_out.select(
         F.col("key").alias(key), "n_links", "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept")
     )

@@ -157,6 +157,49 @@ def test_near_vectors(spark, blocks, rows):
     assert any(n > 1 for _, n, *_ in expected)
 
 
+def test_vectors_are_not_shuffled_to_be_compared(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(f"k{i}", x.tolist()) for i, x in enumerate(rng.normal(size=(120, 8)).repeat(2, axis=0))]
+    rows += [("z", [0.0, 1.0]), ("y", [-0.0, 1.0])]
+    df = spark.createDataFrame(rows, "id string, v array<float>")
+    plans, kept = {}, embedding_dedup.materialize
+
+    def recorded(df, name, **options):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, name, **options)
+
+    monkeypatch.setattr(embedding_dedup, "materialize", recorded)
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = embedding_dedup.near_vectors(df, "id", "v", least=1 - 1e-9, rows=7)
+        last = got._jdf.queryExecution().executedPlan().toString()
+        found = {r["id"]: (r["n_links"], r["component_id"]) for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    assert "partitioning" not in plans["links"]
+    moved = [line for plan in (*plans.values(), last) for line in plan.splitlines() if "hashpartitioning" in line]
+    assert sum("vector" in line for line in moved) == 1
+    assert found == {f"k{i}": (1, min(f"k{i}", f"k{i ^ 1}")) for i in range(240)} | {"y": (1, "y"), "z": (1, "y")}
+
+
+@pytest.mark.parametrize("dims, least", [(64, 0.95), (64, -1.0), (40, 0.8), (3, 0.999), (1, 1.0)])
+def test_linked_pairs(dims, least):
+    rng = np.random.default_rng(dims)
+    base = rng.normal(size=(700, dims))
+    units = [base[:620], base[:300] + rng.normal(size=(300, dims)) * 0.1, base[:90] * 2, base[1] + rng.normal(size=(90, dims)) * 0.05]
+    units = np.concatenate(units)
+    units /= np.sqrt((units * units).sum(axis=1, keepdims=True))
+    left, right = units[:563], units[563:]
+    for one, two, same in ((left, right, False), (units, units, True)):
+        dots = sum(one[:, d, None] * two[:, d] for d in range(dims))
+        expected = np.triu(dots >= least, 1) if same else dots >= least
+        got = np.zeros_like(dots, int)
+        for i, j in embedding_dedup.linked_pairs(one, two, least, embedding_dedup.BLOCKS, same):
+            np.add.at(got, (i, j), 1)
+        assert (got == expected).all() and expected.any()
+
+
 def test_empty_tables(spark, docs):
     assert exact_dedup.exact_groups(docs.limit(0)).count() == 0
     assert simhash.near_groups(docs.limit(0)).count() == 0
