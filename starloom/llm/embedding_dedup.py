@@ -21,15 +21,15 @@ LEAST_COSINE = 0.95
 BLOCKS = 4
 LEAD = 24
 # Vectors and bytes that one block holds at most; a pair of blocks meets in one step of a task.
-CHUNK = 1 << 15
-BLOCK_BYTES = 8 << 20
+CHUNK = 1 << 16
+BLOCK_BYTES = 16 << 20
 SEED = 11
 _TILE = 512  # rows and columns of the distances looked at together inside a task
 _PORTION = 1 << 15  # pairs handed on together
 # Tasks, and so files of links, at most.
 _TASKS = 10_000
 # Blocks in a row group: bounds what writers and readers hold.
-_ROW_GROUP = {"parquet.block.row.count.limit": "4"}
+_ROW_GROUP = {"parquet.block.row.count.limit": "2"}
 
 _HELD = ["cls", "copies", "low", "name"]
 FOUND = "cls bigint, links bigint, other bigint"
